@@ -1,8 +1,8 @@
 """Registered queries (Spark form + SQL twin) and plan guards."""
 
-from . import series_queries
+from . import persona_queries, series_queries
 
-MODULES = [series_queries]
+MODULES = [series_queries, persona_queries]
 
 
 def all_queries():
