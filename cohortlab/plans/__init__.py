@@ -1,8 +1,8 @@
 """Registered queries (Spark form + SQL twin) and plan guards."""
 
-from . import persona_queries, series_queries
+from . import persona_queries, series_queries, text_queries
 
-MODULES = [series_queries, persona_queries]
+MODULES = [series_queries, persona_queries, text_queries]
 
 
 def all_queries():
