@@ -1,8 +1,8 @@
 """Registered queries (Spark form + SQL twin) and plan guards."""
 
-from . import experiment_queries, persona_queries, series_queries, text_queries
+from . import experiment_queries, persona_queries, regress_queries, series_queries, text_queries
 
-MODULES = [series_queries, persona_queries, text_queries, experiment_queries]
+MODULES = [series_queries, persona_queries, text_queries, experiment_queries, regress_queries]
 
 
 def all_queries():

@@ -124,10 +124,13 @@ fc AS (SELECT "user", friend, transaction_time, selected_match_type, lifetime_mo
 _TOTAL = " + ".join(f'"{k}"' for k in CATS)
 
 
-def _selfp(name: str, lo: int, hi: int, prefix: str = "") -> str:
+def _selfp(name: str, lo: int, hi: int, prefix: str = "", places: int | None = 6) -> str:
     known = ", ".join(f"'{k}'" for k in CATS)
-    shares = _cols('round(COUNT(*) FILTER (WHERE selected_match_type = \'{k}\') / '
-                   'NULLIF(COUNT(*) FILTER (WHERE selected_match_type IN (' + known + ')), 0), 6) AS "' + prefix + '{k}"')
+    share = ('COUNT(*) FILTER (WHERE selected_match_type = \'{k}\') / '
+             'NULLIF(COUNT(*) FILTER (WHERE selected_match_type IN (' + known + ')), 0)')
+    if places is not None:
+        share = f"round({share}, {places})"
+    shares = _cols(share + ' AS "' + prefix + '{k}"')
     return f"""{name} AS (SELECT "user" AS {prefix}user_key, {shares} FROM bsm
         WHERE "user" IS NOT NULL AND lifetime_month BETWEEN {lo} AND {hi} GROUP BY "user")"""
 
@@ -155,6 +158,15 @@ _RUNNING = """ra AS (SELECT "user", lifetime_month, {cols} FROM mo
                      RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""".format(
     cols=_cols('AVG("{k}") OVER w AS "{k}"'))
 
+def persona_sql(places: int | None = 6) -> str:
+    """Self persona left-joined with the row-wise community persona."""
+    c = 'COALESCE(round(cp."c_{k}", %d), 0) AS "c_{k}"' % places if places is not None \
+        else 'COALESCE(cp."c_{k}", 0) AS "c_{k}"'
+    return _BASE + ", " + _ROWWISE + ", " + _selfp("sp", START, END, "", places) + f"""
+        SELECT sp.user_key AS "user", {_cols('COALESCE(sp."{k}", 0) AS "{k}"')}, {_cols(c)}
+        FROM sp LEFT JOIN cp ON sp.user_key = cp."user" """
+
+
 ORACLE = {
     "both_sides": _BASE + " SELECT * FROM bs",
     "lifetime_month": _BASE + " SELECT * FROM bsm",
@@ -180,10 +192,7 @@ ORACLE = {
         SELECT user_key AS "user", * EXCLUDE (user_key) FROM sp""",
     "community_persona": _BASE + ", " + _ROWWISE + f""" SELECT "user",
         {_cols('round("c_{k}", 6) AS "c_{k}"')} FROM cp""",
-    "persona": _BASE + ", " + _ROWWISE + ", " + _selfp("sp", START, END) + f"""
-        SELECT sp.user_key AS "user", {_cols('COALESCE(sp."{k}", 0) AS "{k}"')},
-               {_cols('COALESCE(round(cp."c_{k}", 6), 0) AS "c_{k}"')}
-        FROM sp LEFT JOIN cp ON sp.user_key = cp."user" """,
+    "persona": persona_sql(6),
     "persona_before_after": _BASE + ", " + _selfp("b", 1, END) + ", "
         + _selfp("a", END + 1, LATER_END, "c_") + f"""
         SELECT b.user_key AS "user", {_cols('COALESCE(b."{k}", 0) AS "{k}"')},
