@@ -25,12 +25,12 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import lifetime_month as month_expr
 from ..functions.columns import q, row_sum, safe_div
-from ..plans.guards import salted_lookup_join
+from ..plans.guards import materialize, salted_lookup_join
 from . import reshape
 
 # The nine spending categories of the labelled payments.
@@ -101,24 +101,31 @@ def first_contacts(edges_m: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- pair aggregates
+def _cat_count(k: str) -> Column:
+    return F.count(F.when(F.col(CAT) == F.lit(k), 1))
+
+
 def pair_table(edges: DataFrame, categories: Sequence[str]) -> DataFrame:
-    """One row per (user, friend): first-contact time and the pair's count
-    per category (all times).  Both ends see the same pair counts, because
-    ``both_sides`` emits every transaction in both orientations."""
-    clean = edges.where(F.col(USER).isNotNull() & F.col(FRIEND).isNotNull())
-    counts = [F.count(F.when(F.col(CAT) == F.lit(k), 1)).alias(k) for k in categories]
-    return clean.groupBy(USER, FRIEND).agg(F.min(TIME).alias("t0"), *counts,
-                                           F.count(F.lit(1)).alias("_all"))
+    """One row per (user, friend): first-contact day ``d0``, the pair's count
+    per category and in total (all times).  Rows without a friend form the
+    (user, null) row, which only counts towards the user's first day.  Both
+    ends of a pair see the same counts, because ``both_sides`` emits every
+    transaction in both orientations."""
+    return (edges.where(F.col(USER).isNotNull())
+                 .groupBy(USER, FRIEND)
+                 .agg(F.min(F.to_date(TIME)).alias("d0"), *[_cat_count(k).alias(k) for k in categories],
+                      F.count(F.lit(1)).alias("_all")))
 
 
 def user_totals(pairs: DataFrame, categories: list[str]) -> DataFrame:
-    """Per user, count per category over all partners (from the pair table)."""
-    return pairs.groupBy(USER).agg(*[F.sum(q(k)).alias(k) for k in categories + ["_all"]])
+    """Per user, count per category (and in total) over all partners."""
+    return (pairs.where(F.col(FRIEND).isNotNull())
+                 .groupBy(USER).agg(*[F.sum(q(k)).alias(k) for k in categories + ["_all"]]))
 
 
 def friend_shares(edges: DataFrame, categories: Sequence[str] = CATEGORIES,
                   start: int | None = None, end: int | None = None,
-                  salt: int = HOT_KEY_SALT) -> DataFrame:
+                  salt: int = HOT_KEY_SALT, pairs: DataFrame | None = None) -> DataFrame:
     """``user, friend, lifetime_month`` + the friend's category shares over
     the friend's transactions with anyone but the user.
 
@@ -126,15 +133,21 @@ def friend_shares(edges: DataFrame, categories: Sequence[str] = CATEGORIES,
     with ``start``/``end`` only pairs first met in that range are kept.  A
     pair whose friend has no other transaction at all is dropped; one whose
     friend has others, none in ``categories``, keeps null shares.
+
+    The pair table feeds three consumers (first days, friend totals, the
+    pairs themselves); unless given, it is computed once and written to the
+    shared checkpoint folder.
     """
-    pairs = pair_table(edges, list(categories))
-    first = first_activity(edges).withColumnRenamed(USER, "_fu")
-    pm = (salted_lookup_join(pairs, first, USER, "_fu", "inner", salt, [USER, FRIEND])
-          .withColumn(MONTH, month_expr("t0", "first_time"))
+    cats = list(categories)
+    if pairs is None:
+        pairs = materialize(pair_table(edges, cats), "pairs")
+    first = pairs.groupBy(F.col(USER).alias("_fu")).agg(F.min("d0").alias("first_day"))
+    known = pairs.where(F.col(FRIEND).isNotNull())
+    pm = (salted_lookup_join(known, first, USER, "_fu", "inner", salt, [USER, FRIEND])
+          .withColumn(MONTH, month_expr("d0", "first_day"))
           .where(F.col(MONTH).isNotNull()))
     if start is not None and end is not None:
         pm = pm.where(F.col(MONTH).between(start, end))
-    cats = list(categories)
     totals = user_totals(pairs, cats).select(
         F.col(USER).alias("_fu2"), *[q(k).alias("_n_" + k) for k in cats + ["_all"]])
     joined = salted_lookup_join(pm, totals, FRIEND, "_fu2", "inner", salt, [USER, FRIEND])
@@ -150,29 +163,32 @@ def friend_activity(edges: DataFrame, salt: int = HOT_KEY_SALT) -> DataFrame:
     """``user, friend, category, n``: how many transactions of each category
     the friend made with others, counted once per first-contact row of the
     pair (the row count of joining first contacts to the friend's other
-    transactions, without materialising that join)."""
-    clean = edges.where(F.col(USER).isNotNull() & F.col(FRIEND).isNotNull())
-    per_time = (clean.where(F.col(TIME).isNotNull())
-                     .groupBy(USER, FRIEND, TIME).agg(F.count(F.lit(1)).alias("_c")))
-    ties = (per_time.groupBy(USER, FRIEND)
-                    .agg(F.min_by("_c", TIME).alias("ties")))
-    pair_cat = clean.groupBy(USER, FRIEND, CAT).agg(F.count(F.lit(1)).alias("pc"))
-    node_cat = (pair_cat.groupBy(USER, CAT).agg(F.sum("pc").alias("nk"))
-                        .select(F.col(USER).alias("_fu"), F.col(CAT).alias("_k"), "nk"))
-    # every category of the friend, for each pair that has a first contact
-    per_friend = salted_lookup_join(
-        ties, node_cat.groupBy("_fu").agg(F.collect_list(F.struct("_k", "nk")).alias("_cats")),
-        FRIEND, "_fu", "inner", salt, [USER, FRIEND])
-    # a friend's category list is bounded by the number of categories
-    expanded = per_friend.select(USER, FRIEND, "ties", F.inline("_cats"))
-    excl = pair_cat.select(F.col(USER).alias("_u"), F.col(FRIEND).alias("_f"),
-                           F.col(CAT).alias("_k2"), "pc")
-    cond = [expanded[USER] == excl["_u"], expanded[FRIEND] == excl["_f"],
-            expanded["_k"].eqNullSafe(excl["_k2"])]
-    j = expanded.join(excl, cond, "left")
-    n = F.col("ties") * (F.col("nk") - F.coalesce(F.col("pc"), F.lit(0)))
-    return (j.select(F.col(USER), F.col(FRIEND), F.col("_k").alias("category"), n.alias("n"))
-             .where(F.col("n") > 0))
+    transactions, without materialising that join).
+
+    All inputs come from one reduction to (user, friend, time, category)
+    counts.  Per-pair and per-user category lists are bounded by the number
+    of categories, so the lookups are array operations, not joins.
+    """
+    base = (edges.where(F.col(USER).isNotNull() & F.col(FRIEND).isNotNull())
+                 .groupBy(USER, FRIEND, TIME, CAT).agg(F.count(F.lit(1)).alias("c")))
+    ties = (base.where(F.col(TIME).isNotNull())
+                .groupBy(USER, FRIEND, TIME).agg(F.sum("c").alias("ct"))
+                .groupBy(USER, FRIEND).agg(F.min_by("ct", TIME).alias("ties")))
+    pair_cat = base.groupBy(USER, FRIEND, CAT).agg(F.sum("c").alias("pc"))
+    pair_list = pair_cat.groupBy(USER, FRIEND).agg(
+        F.collect_list(F.struct(F.col(CAT).alias("k"), F.col("pc").alias("v"))).alias("_own"))
+    node_list = (pair_cat.groupBy(USER, CAT).agg(F.sum("pc").alias("nk"))
+                         .groupBy(F.col(USER).alias("_fu"))
+                         .agg(F.collect_list(F.struct(F.col(CAT).alias("k"), F.col("nk").alias("v")))
+                              .alias("_cats")))
+    pairs = ties.join(pair_list, [USER, FRIEND])
+    per_friend = salted_lookup_join(pairs, node_list, FRIEND, "_fu", "inner", salt, [USER, FRIEND])
+    expanded = per_friend.select(USER, FRIEND, "ties", "_own", F.inline("_cats"))
+    own = F.aggregate(F.filter("_own", lambda x: x["k"].eqNullSafe(F.col("k"))),
+                      F.lit(0).cast("bigint"), lambda acc, x: acc + x["v"])
+    n = F.col("ties") * (F.col("v") - own)
+    return (expanded.select(USER, FRIEND, F.col("k").alias("category"), n.alias("n"))
+                    .where(F.col("n") > 0))
 
 
 # ---------------------------------------------------------------- self persona
@@ -181,28 +197,27 @@ def self_persona(edges: DataFrame, start: int = 1, end: int = 12,
     """``user`` + share of each category among the user's transactions whose
     lifetime month lies in ``[start, end]`` (null shares for a zero total).
 
-    Rows are first reduced to (user, day) counts: a lifetime month depends on
-    the day only, so the per-user join and sums work on at most one row per
-    user and active day, whatever the user's volume.
+    Rows are first reduced to (user, day) counts, combined map-side, so a hot
+    user's volume never reaches one task.  The first day is a window over
+    those rows: a user has at most one row per active day, so the window
+    partitions stay bounded whatever the user's volume, and no join is needed.
     """
-    e = edges.where(F.col(USER).isNotNull())
-    counts = [F.count(F.when(F.col(CAT) == F.lit(k), 1)).alias(k) for k in categories]
-    daily = e.groupBy(USER, F.to_date(TIME).alias("day")).agg(*counts)
-    first = daily.groupBy(USER).agg(F.min("day").alias("first_day"))
-    dm = (daily.join(first, USER)
-               .withColumn(MONTH, month_expr("day", "first_day"))
-               .where(F.col(MONTH).between(start, end)))
+    counts = [_cat_count(k).alias(k) for k in categories]
+    daily = (edges.where(F.col(USER).isNotNull())
+                  .groupBy(USER, F.to_date(TIME).alias("day")).agg(*counts))
+    first = F.min("day").over(Window.partitionBy(USER))
+    dm = daily.withColumn(MONTH, month_expr("day", first)).where(F.col(MONTH).between(start, end))
     sums = dm.groupBy(USER).agg(*[F.sum(q(k)).alias(k) for k in categories])
     return reshape.shares(sums, categories)
 
 
 def community_persona(edges: DataFrame, start: int = 1, end: int = 12,
                       categories: Sequence[str] = CATEGORIES, prefix: str = "c_",
-                      salt: int = HOT_KEY_SALT) -> DataFrame:
+                      salt: int = HOT_KEY_SALT, pairs: DataFrame | None = None) -> DataFrame:
     """``user`` + ``c_<category>``: mean over the user's months (of first
     contact, within ``[start, end]``) of the mean over friends met that month
     of the friend's shares.  Both means are unweighted; nulls are skipped."""
-    fs = friend_shares(edges, categories, start, end, salt)
+    fs = friend_shares(edges, categories, start, end, salt, pairs)
     monthly = fs.groupBy(USER, MONTH).agg(*[F.avg(q(k)).alias(k) for k in categories])
     return monthly.groupBy(USER).agg(*[F.avg(q(k)).alias(prefix + k) for k in categories])
 

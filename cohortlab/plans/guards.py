@@ -45,6 +45,20 @@ def salted_lookup_join(big: DataFrame, per_key: DataFrame, big_key: str, key: st
     return joined.drop(salted_big["_salt"]).drop(salted_small["_salt"])
 
 
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` as Parquet under the session's shared checkpoint folder
+    and read it back.
+
+    For an intermediate with several consumers: it is computed once, the
+    consumers read columnar files (with column pruning), and the lineage is
+    cut, so a lost executor costs a file re-read, not a recomputation.
+    """
+    from ..session import shared_dir
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     """The plan as text: ``explain`` output captured from stdout."""
     buf = io.StringIO()

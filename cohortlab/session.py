@@ -32,6 +32,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     conf = dict(RUNTIME_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
