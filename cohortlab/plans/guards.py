@@ -45,6 +45,17 @@ def salted_lookup_join(big: DataFrame, per_key: DataFrame, big_key: str, key: st
     return joined.drop(salted_big["_salt"]).drop(salted_small["_salt"])
 
 
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when its scan yields fewer
+    partitions than that (one large row group, say), before CPU-heavy row
+    work.  On cluster-sized inputs the scan already has more partitions and
+    this is a no-op.  Round-robin, not by key, so no hot key can concentrate."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` as Parquet under the session's shared checkpoint folder
     and read it back.
