@@ -1,9 +1,10 @@
 """One linear model per category: regress a user's own share of a category
 on the community shares, forecast, score, and save/load the model family.
 
-Fitting runs on Spark ML; the training frame is checkpointed to the
-session's checkpoint directory first, so the nine passes read materialised
-data (and survive lost executors) instead of recomputing the persona lineage.
+Fitting runs on Spark ML; the training frame is first written once as
+Parquet under the session's shared checkpoint folder, so the per-target
+passes read materialised columnar data (and survive lost executors) instead
+of recomputing the persona lineage.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ..functions.columns import md5_unit, q, row_sum
-from ..session import ensure_checkpoint_dir
+from ..plans.guards import materialize
 
 LABEL, FEATURE, PREDICT = "label_", "c_", "_predict"
 
@@ -48,10 +49,7 @@ def hash_split(df: DataFrame, key: str = "user", train_fraction: float = 0.8,
 def fit_targets(train: DataFrame, targets: Sequence[str], features_col: str = "features",
                 checkpoint: bool = True, **lr_params) -> dict[str, LinearRegressionModel]:
     """One ``LinearRegression`` per target column (``label_<k>``)."""
-    data = train
-    if checkpoint:
-        ensure_checkpoint_dir(train.sparkSession)
-        data = train.checkpoint(eager=True)
+    data = materialize(train, "train") if checkpoint else train
     models = {}
     for t in targets:
         lr = LinearRegression(featuresCol=features_col, labelCol=t, predictionCol="prediction", **lr_params)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import round_doubles
 from ..operators import persona as P
 from ..operators import regress as R
-from ..session import ensure_checkpoint_dir, shared_dir
+from ..plans.guards import materialize
+from ..session import shared_dir
 from ..sources import views
 from . import persona_queries
 
@@ -48,8 +49,7 @@ def q_fit_targets(spark, sf_dir):
 def q_fit_single_feature(spark, sf_dir):
     """Each target on its own community share, on the training part."""
     train, _ = _split(spark, sf_dir)
-    ensure_checkpoint_dir(spark)
-    train = train.checkpoint(eager=True)
+    train = materialize(train, "train-single")
     rows = []
     for k in CATS:
         data = R.assemble(train.select(F.col(R.LABEL + k), F.col(R.FEATURE + k)), [R.FEATURE + k], "f")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.guards import spread_if_narrow
 from .files import read_table
 
 # Fixed values of the contract.
@@ -31,7 +32,7 @@ def nation(spark, sf_dir) -> DataFrame:
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long time series ``dt, country, value`` (one reading per order)."""
-    o = _t(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
+    o = spread_if_narrow(_t(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice"))
     c = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     return (o.join(c, o.o_custkey == c.c_custkey)
              .join(nation(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -42,7 +43,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def emissions_wide(spark: SparkSession, sf_dir: str, years=EMISSION_YEARS) -> DataFrame:
     """Wide series: one column per year (``"1995"`` ..), key ``country``."""
-    li = _t(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_extendedprice")
+    li = spread_if_narrow(_t(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_extendedprice"))
     s = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     joined = (li.join(s, li.l_suppkey == s.s_suppkey)
                 .join(nation(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey")))
@@ -57,7 +58,7 @@ def emissions_wide(spark: SparkSession, sf_dir: str, years=EMISSION_YEARS) -> Da
 def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled two-sided transactions ``user1, user2, transaction_time,
     selected_match_type``: customer pays supplier, category = part type."""
-    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
+    li = spread_if_narrow(_t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey"))
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     p = _t(spark, sf_dir, "part").select("p_partkey", "p_type")
     return (li.join(o, li.l_orderkey == o.o_orderkey)
