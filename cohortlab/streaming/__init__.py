@@ -1,0 +1,10 @@
+"""Streaming.
+
+The analyses this library reproduces read batch files only: there is no
+stream, watermark, window over event time or stateful operator among them, so
+this package defines no operator of its own.
+
+The row-level text operators (``normalise_text``, and the labelling
+projections inside ``label_transactions`` before its per-story grouping) are
+plain projections and accept a streaming DataFrame unchanged.
+"""
