@@ -166,11 +166,12 @@ def friend_activity(edges: DataFrame, salt: int = HOT_KEY_SALT) -> DataFrame:
     transactions, without materialising that join).
 
     All inputs come from one reduction to (user, friend, time, category)
-    counts.  Per-pair and per-user category lists are bounded by the number
+    counts, written once to the shared folder (it has three consumers).  Per-pair and per-user category lists are bounded by the number
     of categories, so the lookups are array operations, not joins.
     """
-    base = (edges.where(F.col(USER).isNotNull() & F.col(FRIEND).isNotNull())
-                 .groupBy(USER, FRIEND, TIME, CAT).agg(F.count(F.lit(1)).alias("c")))
+    base = materialize(edges.where(F.col(USER).isNotNull() & F.col(FRIEND).isNotNull())
+                            .groupBy(USER, FRIEND, TIME, CAT).agg(F.count(F.lit(1)).alias("c")),
+                       "edge-counts")
     ties = (base.where(F.col(TIME).isNotNull())
                 .groupBy(USER, FRIEND, TIME).agg(F.sum("c").alias("ct"))
                 .groupBy(USER, FRIEND).agg(F.min_by("ct", TIME).alias("ties")))
