@@ -160,16 +160,17 @@ def itt_standard_error(df: DataFrame, z: str, y: str) -> DataFrame:
 def wald_standard_error(df: DataFrame, z: str, x: str, y: str) -> DataFrame:
     """Heteroskedasticity-robust (un-debiased) standard error of the 2SLS
     slope: ``sqrt(sum(e^2 (z - zbar)^2)) / |sum((z - zbar)(x - xbar))|`` with
-    ``e = y - a - b x``.  The first-pass moments enter the second pass as
-    scalar subqueries (computed once, no join)."""
+    ``e = y - a - b x``.  The first-pass moments come from one aggregate used
+    as a single scalar subquery (a struct), so the data is read twice in all
+    and nothing returns to the driver."""
     base = df.where(_all_not_null([z, x, y]))
-    zbar = base.select(F.avg(q(z))).scalar()
-    xbar = base.select(F.avg(q(x))).scalar()
-    ybar = base.select(F.avg(q(y))).scalar()
-    b = base.select(safe_div(F.covar_samp(q(z), q(y)), F.covar_samp(q(z), q(x)))).scalar()
-    a = ybar - b * xbar
+    m = base.select(F.struct(
+        F.avg(q(z)).alias("zbar"), F.avg(q(x)).alias("xbar"), F.avg(q(y)).alias("ybar"),
+        safe_div(F.covar_samp(q(z), q(y)), F.covar_samp(q(z), q(x))).alias("b"))).scalar()
+    b = m["b"]
+    a = m["ybar"] - b * m["xbar"]
     e = q(y) - a - b * q(x)
-    dz = q(z) - zbar
+    dz = q(z) - m["zbar"]
     num = F.sqrt(F.sum(e * e * dz * dz))
-    den = F.abs(F.sum(dz * (q(x) - xbar)))
+    den = F.abs(F.sum(dz * (q(x) - m["xbar"])))
     return base.agg(safe_div(num, den).alias("standard_error"))

@@ -1,19 +1,2 @@
-"""Registered queries (Spark form + SQL twin) and plan guards."""
-
-from . import experiment_queries, persona_queries, regress_queries, series_queries, text_queries
-
-MODULES = [series_queries, persona_queries, text_queries, experiment_queries, regress_queries]
-
-
-def all_queries():
-    out = {}
-    for m in MODULES:
-        out.update(m.QUERIES)
-    return out
-
-
-def all_oracles():
-    out = {}
-    for m in MODULES:
-        out.update(m.ORACLE)
-    return out
+"""Registered queries (Spark form + SQL twin, see ``registry``) and plan
+guards (``guards``)."""
