@@ -10,7 +10,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 def test_entry_runs(spark):
     df = E.entry(spark)
-    assert df.count() > 0 and df.columns == ["country", "value_range"]
+    assert df.count() > 0 and df.columns[0] == "user" and len(df.columns) == 13
 
 
 def test_every_oracle_has_a_query():
