@@ -224,11 +224,16 @@ def community_persona(edges: DataFrame, start: int = 1, end: int = 12,
 
 
 def persona(edges: DataFrame, start: int = 1, end: int = 12,
-            categories: Sequence[str] = CATEGORIES) -> DataFrame:
-    """Self persona left-joined with the community persona, gaps as 0."""
+            categories: Sequence[str] = CATEGORIES, path: str | None = None,
+            mode: str = "errorifexists") -> DataFrame:
+    """Self persona left-joined with the community persona, gaps as 0.
+    With ``path`` the result is also written as gzip Parquet."""
     selfp = self_persona(edges, start, end, categories)
     comm = community_persona(edges, start, end, categories)
-    return selfp.join(comm, USER, "left").fillna(0)
+    out = selfp.join(comm, USER, "left").fillna(0)
+    if path:
+        out.write.mode(mode).option("compression", "gzip").parquet(path)
+    return out
 
 
 def persona_before_after(edges: DataFrame, start: int, end: int,

@@ -22,6 +22,19 @@ def rows_at_max(df: DataFrame, value: str) -> DataFrame:
     return df.where(q(value) == top)
 
 
+def rows_at_max_sql(spark: SparkSession, df: DataFrame, value: str) -> DataFrame:
+    """``rows_at_max`` in SQL: a scalar subquery in the WHERE clause."""
+    return spark.sql(f"SELECT * FROM {{t}} WHERE `{value}` = (SELECT MAX(`{value}`) FROM {{t}})", t=df)
+
+
+def row_at_max(df: DataFrame, value: str, tie_break: Sequence[str]) -> DataFrame:
+    """One row holding the maximum; ties resolved by ``tie_break`` columns
+    (ascending), so the same row comes back on every run.  A top-1, not a
+    sort of the table."""
+    order = [q(value).desc()] + [q(c).asc() for c in tie_break]
+    return df.where(q(value).isNotNull()).orderBy(*order).limit(1)
+
+
 def value_range_top(df: DataFrame, group: str, value: str, n: int = 10,
                     out: str = "value_range") -> DataFrame:
     """Groups with the largest ``max - min`` of ``value``; ties broken by the
@@ -57,6 +70,16 @@ def yearly_average(df: DataFrame, date_col: str, group: str, value: str,
     return base.groupBy(q(group), "year").agg(F.avg(q(value)).alias(out))
 
 
+def yearly_average_sql(spark: SparkSession, df: DataFrame, date_col: str, group: str, value: str,
+                       start: int, end: int, out: str = "avg_value") -> DataFrame:
+    """``yearly_average`` in SQL, with the year taken in a derived table."""
+    text = (f"SELECT `{group}`, year, AVG(`{value}`) AS `{out}` FROM ("
+            f"SELECT `{group}`, year(`{date_col}`) AS year, `{value}` FROM {{t}} "
+            f"WHERE `{value}` IS NOT NULL) AS tmp WHERE year BETWEEN {int(start)} AND {int(end)} "
+            f"GROUP BY `{group}`, year ORDER BY `{group}`, year")
+    return spark.sql(text, t=df)
+
+
 def wide_years_to_long(df: DataFrame, id_col: str, year_cols: Sequence[str],
                        value_name: str) -> DataFrame:
     """Wide year columns to ``(id, year int, value)``, null cells dropped."""

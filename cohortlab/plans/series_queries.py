@@ -30,6 +30,19 @@ def q_rows_at_max(spark, sf_dir):
     return round_doubles(series.rows_at_max(views.readings(spark, sf_dir), "value"))
 
 
+def q_rows_at_max_sql(spark, sf_dir):
+    return round_doubles(series.rows_at_max_sql(spark, views.readings(spark, sf_dir), "value"))
+
+
+def q_row_at_max_first(spark, sf_dir):
+    return round_doubles(series.row_at_max(views.readings(spark, sf_dir), "value", ["dt", "country"]))
+
+
+def q_yearly_average_sql(spark, sf_dir):
+    return round_doubles(series.yearly_average_sql(spark, views.readings(spark, sf_dir), "dt", "country",
+                                                   "value", *YEARS))
+
+
 def q_range_top10(spark, sf_dir):
     return round_doubles(series.value_range_top(views.readings(spark, sf_dir), "country", "value", 10))
 
@@ -78,6 +91,9 @@ def q_parquet_gzip_roundtrip(spark, sf_dir):
 
 QUERIES = {
     "rows_at_max": q_rows_at_max,
+    "rows_at_max_sql": q_rows_at_max_sql,
+    "row_at_max_first": q_row_at_max_first,
+    "yearly_average_sql": q_yearly_average_sql,
     "range_top10": q_range_top10,
     "range_top10_sql": q_range_top10_sql,
     "yearly_average": q_yearly_average,
@@ -129,3 +145,8 @@ ORACLE = {
         SELECT dt, country, round(value, 6) AS value FROM readings""",
 }
 ORACLE["range_top10_sql"] = ORACLE["range_top10"]
+ORACLE["rows_at_max_sql"] = ORACLE["rows_at_max"]
+ORACLE["yearly_average_sql"] = ORACLE["yearly_average"]
+ORACLE["row_at_max_first"] = _W("readings") + """
+        SELECT dt, country, round(value, 6) AS value FROM readings WHERE value IS NOT NULL
+        ORDER BY value DESC, dt, country LIMIT 1"""

@@ -64,3 +64,15 @@ def test_pivot_counts_absent_and_unknown(spark):
     df = spark.createDataFrame([("u", "a"), ("u", "a"), ("u", "zz"), ("v", "b")], "k string, c string")
     out = {r.k: (r.a, r.b) for r in reshape.pivot_counts(df, ["k"], "c", ["a", "b"]).collect()}
     assert out == {"u": (2, None), "v": (None, 1)}
+
+
+def test_sql_twins(spark):
+    df = _readings(spark)
+    a = sorted(tuple(r) for r in series.rows_at_max(df, "value").collect())
+    b = sorted(tuple(r) for r in series.rows_at_max_sql(spark, df, "value").collect())
+    assert a == b and len(a) == 3
+    y1 = sorted(tuple(r) for r in series.yearly_average(df, "dt", "country", "value", 1960, 2014).collect())
+    y2 = sorted(tuple(r) for r in series.yearly_average_sql(spark, df, "dt", "country", "value", 1960, 2014).collect())
+    assert y1 == y2
+    first = series.row_at_max(df, "value", ["dt", "country"]).collect()
+    assert [(r.country, r.value) for r in first] == [("A", 9.0)]
