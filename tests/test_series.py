@@ -75,4 +75,4 @@ def test_sql_twins(spark):
     y2 = sorted(tuple(r) for r in series.yearly_average_sql(spark, df, "dt", "country", "value", 1960, 2014).collect())
     assert y1 == y2
     first = series.row_at_max(df, "value", ["dt", "country"]).collect()
-    assert [(r.country, r.value) for r in first] == [("A", 9.0)]
+    assert [(r.country, r.value) for r in first] == [("B", 9.0)]   # earliest date, then country
