@@ -25,12 +25,16 @@ def _inputs(spark, sf_dir):
 
 
 def _split(spark, sf_dir):
-    return R.hash_split(R.assemble(_inputs(spark, sf_dir), FEATURES), "user", TRAIN_FRACTION, SEED)
+    """Train and test parts of the assembled inputs.  The inputs are written
+    once to the shared folder, so fitting and forecasting read the same files
+    instead of recomputing the persona for each part."""
+    inputs = materialize(R.assemble(_inputs(spark, sf_dir), FEATURES), "regression-inputs")
+    return R.hash_split(inputs, "user", TRAIN_FRACTION, SEED)
 
 
 def _fitted(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    return R.fit_targets(train, TARGETS), test
+    return R.fit_targets(train, TARGETS, checkpoint=False), test
 
 
 def q_regression_inputs(spark, sf_dir):
@@ -49,7 +53,6 @@ def q_fit_targets(spark, sf_dir):
 def q_fit_single_feature(spark, sf_dir):
     """Each target on its own community share, on the training part."""
     train, _ = _split(spark, sf_dir)
-    train = materialize(train, "train-single")
     rows = []
     for k in CATS:
         data = R.assemble(train.select(F.col(R.LABEL + k), F.col(R.FEATURE + k)), [R.FEATURE + k], "f")
