@@ -56,10 +56,11 @@ def both_sides(df: DataFrame, a: str = "user1", b: str = "user2", time: str = TI
 
 
 def first_activity(edges: DataFrame) -> DataFrame:
-    """``user, first_time``: earliest transaction per user (combined
-    map-side, so a hot user is pre-reduced before the shuffle)."""
+    """``user, first_time, _rows``: earliest transaction and row count per
+    user (combined map-side, so a hot user is pre-reduced before the
+    shuffle)."""
     return (edges.where(F.col(USER).isNotNull())
-                 .groupBy(USER).agg(F.min(TIME).alias("first_time")))
+                 .groupBy(USER).agg(F.min(TIME).alias("first_time"), F.count(F.lit(1)).alias("_rows")))
 
 
 def with_lifetime_month(edges: DataFrame, salt: int = HOT_KEY_SALT) -> DataFrame:
@@ -70,9 +71,9 @@ def with_lifetime_month(edges: DataFrame, salt: int = HOT_KEY_SALT) -> DataFrame
     user would put all rows of a hot user into one task.
     """
     first = first_activity(edges).withColumnRenamed(USER, "_fu")
-    joined = salted_lookup_join(edges, first, USER, "_fu", "left", salt)
+    joined = salted_lookup_join(edges, first, USER, "_fu", "left", salt, count_col="_rows")
     return (joined.withColumn(MONTH, month_expr(TIME, "first_time"))
-                  .drop("_fu", "first_time"))
+                  .drop("_fu", "first_time", "_rows"))
 
 
 def with_lifetime_month_window(edges: DataFrame) -> DataFrame:
@@ -118,9 +119,11 @@ def pair_table(edges: DataFrame, categories: Sequence[str]) -> DataFrame:
 
 
 def user_totals(pairs: DataFrame, categories: list[str]) -> DataFrame:
-    """Per user, count per category (and in total) over all partners."""
+    """Per user, count per category (and in total) over all partners, and the
+    number of partners ``_pairs``."""
     return (pairs.where(F.col(FRIEND).isNotNull())
-                 .groupBy(USER).agg(*[F.sum(q(k)).alias(k) for k in categories + ["_all"]]))
+                 .groupBy(USER).agg(*[F.sum(q(k)).alias(k) for k in categories + ["_all"]],
+                                    F.count(F.lit(1)).alias("_pairs")))
 
 
 def friend_shares(edges: DataFrame, categories: Sequence[str] = CATEGORIES,
@@ -141,16 +144,18 @@ def friend_shares(edges: DataFrame, categories: Sequence[str] = CATEGORIES,
     cats = list(categories)
     if pairs is None:
         pairs = materialize(pair_table(edges, cats), "pairs")
-    first = pairs.groupBy(F.col(USER).alias("_fu")).agg(F.min("d0").alias("first_day"))
+    first = pairs.groupBy(F.col(USER).alias("_fu")).agg(F.min("d0").alias("first_day"),
+                                                         F.count(F.lit(1)).alias("_rows"))
     known = pairs.where(F.col(FRIEND).isNotNull())
-    pm = (salted_lookup_join(known, first, USER, "_fu", "inner", salt, [USER, FRIEND])
+    pm = (salted_lookup_join(known, first, USER, "_fu", "inner", salt, [USER, FRIEND], "_rows")
           .withColumn(MONTH, month_expr("d0", "first_day"))
           .where(F.col(MONTH).isNotNull()))
     if start is not None and end is not None:
         pm = pm.where(F.col(MONTH).between(start, end))
+    # pairs are symmetric, so a friend's partner count bounds its rows in pm
     totals = user_totals(pairs, cats).select(
-        F.col(USER).alias("_fu2"), *[q(k).alias("_n_" + k) for k in cats + ["_all"]])
-    joined = salted_lookup_join(pm, totals, FRIEND, "_fu2", "inner", salt, [USER, FRIEND])
+        F.col(USER).alias("_fu2"), *[q(k).alias("_n_" + k) for k in cats + ["_all"]], "_pairs")
+    joined = salted_lookup_join(pm, totals, FRIEND, "_fu2", "inner", salt, [USER, FRIEND], "_pairs")
     other = {k: F.col("_n_" + k) - q(k) for k in cats}
     total = row_sum(other.values())
     out = joined.select(USER, FRIEND, MONTH,
@@ -178,12 +183,12 @@ def friend_activity(edges: DataFrame, salt: int = HOT_KEY_SALT) -> DataFrame:
     pair_cat = base.groupBy(USER, FRIEND, CAT).agg(F.sum("c").alias("pc"))
     pair_list = pair_cat.groupBy(USER, FRIEND).agg(
         F.collect_list(F.struct(F.col(CAT).alias("k"), F.col("pc").alias("v"))).alias("_own"))
-    node_list = (pair_cat.groupBy(USER, CAT).agg(F.sum("pc").alias("nk"))
+    node_list = (pair_cat.groupBy(USER, CAT).agg(F.sum("pc").alias("nk"), F.count(F.lit(1)).alias("np"))
                          .groupBy(F.col(USER).alias("_fu"))
                          .agg(F.collect_list(F.struct(F.col(CAT).alias("k"), F.col("nk").alias("v")))
-                              .alias("_cats")))
+                              .alias("_cats"), F.sum("np").alias("_rows")))
     pairs = ties.join(pair_list, [USER, FRIEND])
-    per_friend = salted_lookup_join(pairs, node_list, FRIEND, "_fu", "inner", salt, [USER, FRIEND])
+    per_friend = salted_lookup_join(pairs, node_list, FRIEND, "_fu", "inner", salt, [USER, FRIEND], "_rows")
     expanded = per_friend.select(USER, FRIEND, "ties", "_own", F.inline("_cats"))
     own = F.aggregate(F.filter("_own", lambda x: x["k"].eqNullSafe(F.col("k"))),
                       F.lit(0).cast("bigint"), lambda acc, x: acc + x["v"])

@@ -25,21 +25,50 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
     return F.broadcast(df) if is_bounded(df, max_rows) else df
 
 
+# A key with more rows than this on the large side of a lookup join is split
+# over ``buckets`` tasks; the list of such keys is broadcast only when it has
+# at most ``MAX_HOT_KEYS`` entries.
+HOT_KEY_ROWS = 1_000_000
+MAX_HOT_KEYS = 100_000
+
+
 def salted_lookup_join(big: DataFrame, per_key: DataFrame, big_key: str, key: str,
                        how: str = "inner", buckets: int = 16,
-                       salt_from: list[str] | None = None) -> DataFrame:
+                       salt_from: list[str] | None = None, count_col: str | None = None,
+                       hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Join a large table to a table with one row per key, splitting hot keys.
 
-    Rows of ``big`` get a salt in ``[0, buckets)`` from a hash of
-    ``salt_from`` columns; each ``per_key`` row is repeated once per salt.  A
-    key holding a third of ``big`` is then spread over ``buckets`` tasks
-    instead of one.  ``per_key`` grows by ``buckets`` only, never by the data.
+    A hot key's rows on the large side get a salt in ``[0, buckets)`` from a
+    hash of the ``salt_from`` columns, and its ``per_key`` row is repeated
+    once per salt, so a key holding a third of ``big`` is spread over
+    ``buckets`` tasks instead of one.
+
+    With ``count_col`` (the number of ``big`` rows per key, or an upper bound,
+    carried by ``per_key``) only keys above ``hot_rows`` are split: their list
+    is small by construction (at most ``rows / hot_rows`` keys), checked
+    against ``MAX_HOT_KEYS`` and broadcast; every other key joins unsalted and
+    nothing is replicated for it.  Without it (or when the list is too long)
+    every key is salted and ``per_key`` grows by ``buckets``.
     """
     if buckets <= 1:
         return big.join(per_key, big[big_key] == per_key[key], how)
-    salt_cols = [F.col(c) for c in (salt_from or big.columns)]
-    salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*salt_cols), F.lit(buckets)))
-    salted_small = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    salt_hash = F.pmod(F.xxhash64(*[F.col(c) for c in (salt_from or big.columns)]), F.lit(buckets))
+    all_salts = F.sequence(F.lit(0), F.lit(buckets - 1))
+    hot = None
+    if count_col is not None:
+        hot = per_key.where(F.col(count_col) > F.lit(hot_rows)).select(F.col(key).alias("_hot"))
+        if not is_bounded(hot, MAX_HOT_KEYS):
+            hot = None
+    if hot is not None:
+        marked = big.join(F.broadcast(hot), big[big_key] == F.col("_hot"), "left")
+        salted_big = (marked.withColumn("_salt", F.when(F.col("_hot").isNotNull(), salt_hash)
+                                                  .otherwise(F.lit(0)))
+                            .drop("_hot"))
+        reps = F.when(F.col(count_col) > F.lit(hot_rows), all_salts).otherwise(F.array(F.lit(0)))
+        salted_small = per_key.withColumn("_salt", F.explode(reps))
+    else:
+        salted_big = big.withColumn("_salt", salt_hash)
+        salted_small = per_key.withColumn("_salt", F.explode(all_salts))
     cond = [salted_big[big_key] == salted_small[key], salted_big["_salt"] == salted_small["_salt"]]
     joined = salted_big.join(salted_small, cond, how)
     return joined.drop(salted_big["_salt"]).drop(salted_small["_salt"])

@@ -64,3 +64,22 @@ def test_materialize_writes_under_checkpoint_dir(spark):
     base = spark.sparkContext.getCheckpointDir().replace("file:", "")
     assert all(base in f for f in df.inputFiles())
     assert "Scan parquet" in plan_text(df)
+
+
+def test_targeted_salting_splits_only_hot_keys(spark):
+    big = spark.createDataFrame([("hot", i) for i in range(3000)] + [(f"k{i}", i) for i in range(300)],
+                                "k string, v long")
+    small = (big.groupBy(F.col("k").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+                .withColumn("w", F.lit(1)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        j = salted_lookup_join(big, small, "k", "key", "inner", buckets=8, count_col="n", hot_rows=100)
+        assert j.count() == 3300
+        hot = j.where("k = 'hot'").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(hot) > 1
+        plan = plan_text(j)
+        assert "BroadcastHashJoin" in plan      # the bounded hot-key list
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
