@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.guards import spread_if_narrow
+from ..plans.guards import broadcast_if_bounded, spread_if_narrow
 from .files import read_table
 
 # Fixed values of the contract.
@@ -26,8 +26,8 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def nation(spark, sf_dir) -> DataFrame:
-    # 25 rows by the TPC-H definition: a proven bound, so broadcast.
-    return F.broadcast(_t(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    """25 rows by definition; broadcast after a bounded check all the same."""
+    return broadcast_if_bounded(_t(spark, sf_dir, "nation").select("n_nationkey", "n_name"), 1000)
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
