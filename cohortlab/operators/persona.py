@@ -70,7 +70,7 @@ def with_lifetime_month(edges: DataFrame, salt: int = HOT_KEY_SALT) -> DataFrame
     as an aggregate joined back with a salted lookup: a window partitioned by
     user would put all rows of a hot user into one task.
     """
-    first = first_activity(edges).withColumnRenamed(USER, "_fu")
+    first = materialize(first_activity(edges).withColumnRenamed(USER, "_fu"), "first-activity")
     joined = salted_lookup_join(edges, first, USER, "_fu", "left", salt, count_col="_rows")
     return (joined.withColumn(MONTH, month_expr(TIME, "first_time"))
                   .drop("_fu", "first_time", "_rows"))
@@ -118,12 +118,16 @@ def pair_table(edges: DataFrame, categories: Sequence[str]) -> DataFrame:
                       F.count(F.lit(1)).alias("_all")))
 
 
-def user_totals(pairs: DataFrame, categories: list[str]) -> DataFrame:
-    """Per user, count per category (and in total) over all partners, and the
-    number of partners ``_pairs``."""
-    return (pairs.where(F.col(FRIEND).isNotNull())
-                 .groupBy(USER).agg(*[F.sum(q(k)).alias(k) for k in categories + ["_all"]],
-                                    F.count(F.lit(1)).alias("_pairs")))
+def user_stats(pairs: DataFrame, categories: list[str]) -> DataFrame:
+    """One row per user from the pair table: first active day (rows without a
+    friend included), count per category and in total over all partners, and
+    the number of partners ``_pairs`` (which, pairs being symmetric, is also
+    the user's row count on either side of a pair lookup)."""
+    known = F.col(FRIEND).isNotNull()
+    return pairs.groupBy(USER).agg(
+        F.min("d0").alias("first_day"),
+        *[F.sum(F.when(known, q(k))).alias(k) for k in categories + ["_all"]],
+        F.count(F.when(known, 1)).alias("_pairs"))
 
 
 def friend_shares(edges: DataFrame, categories: Sequence[str] = CATEGORIES,
@@ -137,24 +141,24 @@ def friend_shares(edges: DataFrame, categories: Sequence[str] = CATEGORIES,
     pair whose friend has no other transaction at all is dropped; one whose
     friend has others, none in ``categories``, keeps null shares.
 
-    The pair table feeds three consumers (first days, friend totals, the
-    pairs themselves); unless given, it is computed once and written to the
-    shared checkpoint folder.
+    The pair table and the per-user statistics each feed several consumers
+    (lookups and their hot-key checks); unless given, the pair table is
+    computed once and both are written to the shared checkpoint folder.
     """
     cats = list(categories)
     if pairs is None:
         pairs = materialize(pair_table(edges, cats), "pairs")
-    first = pairs.groupBy(F.col(USER).alias("_fu")).agg(F.min("d0").alias("first_day"),
-                                                         F.count(F.lit(1)).alias("_rows"))
+    stats = materialize(user_stats(pairs, cats), "user-stats")
+    first = stats.select(F.col(USER).alias("_fu"), "first_day", "_pairs")
     known = pairs.where(F.col(FRIEND).isNotNull())
-    pm = (salted_lookup_join(known, first, USER, "_fu", "inner", salt, [USER, FRIEND], "_rows")
+    pm = (salted_lookup_join(known, first, USER, "_fu", "inner", salt, [USER, FRIEND], "_pairs")
           .withColumn(MONTH, month_expr("d0", "first_day"))
           .where(F.col(MONTH).isNotNull()))
     if start is not None and end is not None:
         pm = pm.where(F.col(MONTH).between(start, end))
-    # pairs are symmetric, so a friend's partner count bounds its rows in pm
-    totals = user_totals(pairs, cats).select(
-        F.col(USER).alias("_fu2"), *[q(k).alias("_n_" + k) for k in cats + ["_all"]], "_pairs")
+    pm = pm.drop("_fu", "_pairs")
+    totals = stats.select(F.col(USER).alias("_fu2"), *[q(k).alias("_n_" + k) for k in cats + ["_all"]],
+                          "_pairs")
     joined = salted_lookup_join(pm, totals, FRIEND, "_fu2", "inner", salt, [USER, FRIEND], "_pairs")
     other = {k: F.col("_n_" + k) - q(k) for k in cats}
     total = row_sum(other.values())
@@ -188,6 +192,7 @@ def friend_activity(edges: DataFrame, salt: int = HOT_KEY_SALT) -> DataFrame:
                          .agg(F.collect_list(F.struct(F.col(CAT).alias("k"), F.col("nk").alias("v")))
                               .alias("_cats"), F.sum("np").alias("_rows")))
     pairs = ties.join(pair_list, [USER, FRIEND])
+    node_list = materialize(node_list, "friend-categories")
     per_friend = salted_lookup_join(pairs, node_list, FRIEND, "_fu", "inner", salt, [USER, FRIEND], "_rows")
     expanded = per_friend.select(USER, FRIEND, "ties", "_own", F.inline("_cats"))
     own = F.aggregate(F.filter("_own", lambda x: x["k"].eqNullSafe(F.col("k"))),
