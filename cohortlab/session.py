@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -64,18 +63,3 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir() or base
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure ``DataFrame.checkpoint()`` has a directory; return it."""
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    try:
-        conf_dir = spark.conf.get("spark.checkpoint.dir")
-    except Exception:  # noqa: BLE001
-        conf_dir = None
-    target = conf_dir or tempfile.mkdtemp(prefix="cohortlab-ckpt-")
-    os.makedirs(target, exist_ok=True) if target.startswith("/") else None
-    spark.sparkContext.setCheckpointDir(target)
-    return spark.sparkContext.getCheckpointDir() or target
