@@ -125,7 +125,9 @@ ORACLE = {
     "wald_standard_error": _I + f""", {_CLEAN_IV},
         w AS (SELECT covar_samp(instrument, outcome) / NULLIF(covar_samp(instrument, treatment), 0) AS b,
                      AVG(outcome) AS my, AVG(treatment) AS mx, AVG(instrument) AS mz FROM iv_c)
-        SELECT round(sqrt(SUM(power(c.outcome - (w.my - w.b * w.mx) - w.b * c.treatment, 2) * power(c.instrument - w.mz, 2)))
-                     / NULLIF(abs(SUM((c.instrument - w.mz) * (c.treatment - w.mx))), 0), 6) AS standard_error
-        FROM iv_c c, w""",
+        SELECT round(sqrt(SUM(power(c.outcome - ((SELECT my FROM w) - (SELECT b FROM w) * (SELECT mx FROM w))
+                                     - (SELECT b FROM w) * c.treatment, 2) * power(c.instrument - (SELECT mz FROM w), 2)))
+                     / NULLIF(abs(SUM((c.instrument - (SELECT mz FROM w)) * (c.treatment - (SELECT mx FROM w)))), 0), 6)
+               AS standard_error
+        FROM iv_c c""",
 }

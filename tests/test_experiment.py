@@ -64,3 +64,26 @@ def test_rate_difference_in_differences(spark):
     r = X.rate_difference(df, "test", "purchase", ["gender"], (1,), (0,)).first()
     assert math.isclose(r.diff, ((50 - 0) - (100 - 50)))
     assert r.abs_diff == abs(r.diff)
+
+
+def test_two_sided_noncompliance_matches_numpy(spark):
+    rng = np.random.default_rng(3)
+    n = 2000
+    z = rng.integers(0, 2, n)
+    x = ((rng.random(n) < np.where(z == 1, 0.7, 0.2))).astype(int)      # treated without offer too
+    y = ((rng.random(n) < 0.3 + 0.2 * x)).astype(int)
+    df = spark.createDataFrame([(int(a), int(b), int(c)) for a, b, c in zip(z, x, y)],
+                               "instrument int, treatment int, outcome int")
+    Z = np.column_stack([np.ones(n), z])
+    X_ = np.column_stack([np.ones(n), x])
+    beta = np.linalg.solve(Z.T @ X_, Z.T @ y)
+    e = y - X_ @ beta
+    A = np.linalg.inv(Z.T @ X_)
+    se = math.sqrt((A @ ((Z * e[:, None] ** 2).T @ Z) @ A.T)[1, 1])
+    assert math.isclose(X.wald(df, "instrument", "treatment", "outcome").first().estimate, beta[1], rel_tol=1e-9)
+    got = X.wald_standard_error(df, "instrument", "treatment", "outcome").first().standard_error
+    assert math.isclose(got, se, rel_tol=1e-9)
+    # the Wald ratio of rate differences is the same estimate
+    itt = y[z == 1].mean() - y[z == 0].mean()
+    take = x[z == 1].mean() - x[z == 0].mean()
+    assert math.isclose(itt / take, beta[1], rel_tol=1e-9)
