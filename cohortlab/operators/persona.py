@@ -255,6 +255,23 @@ def persona_before_after(edges: DataFrame, start: int, end: int,
     return before.join(after, USER, "left").fillna(0)
 
 
+def calculate_persona(transactions: DataFrame, start: int = 1, end: int = 12,
+                      categories: Sequence[str] = CATEGORIES, path: str | None = None,
+                      mode: str = "errorifexists", user1: str = "user1", user2: str = "user2") -> DataFrame:
+    """From labelled two-sided transactions (``user1, user2,
+    transaction_time, selected_match_type``): with ``start == 1`` the self
+    and community personas of months ``[1, end]``; otherwise the self persona
+    up to ``start`` beside the ``c_`` self persona of ``(start, end]``.
+    With ``path`` the result is also written as gzip Parquet."""
+    edges = both_sides(transactions, user1, user2)
+    if start == 1:
+        return persona(edges, start, end, categories, path, mode)
+    out = persona_before_after(edges, start, end, categories)
+    if path:
+        out.write.mode(mode).option("compression", "gzip").parquet(path)
+    return out
+
+
 # ---------------------------------------------------------------- windowed forms
 def pivot_counts(edges_m: DataFrame, keys: Sequence[str] = (USER, MONTH),
                  categories: Sequence[str] = CATEGORIES, category_col: str = CAT) -> DataFrame:

@@ -46,6 +46,14 @@ def hash_split(df: DataFrame, key: str = "user", train_fraction: float = 0.8,
             part.where(F.col("_part") == "test").drop("_part"))
 
 
+def prepare_model_data(persona_df: DataFrame, categories: Sequence[str], train_fraction: float = 0.8,
+                       seed: int = 0, key: str = "user") -> tuple[DataFrame, DataFrame]:
+    """``(train, test)``: targets and features as doubles, the ``c_`` shares
+    assembled into ``features``, split by an MD5 bucket of the key."""
+    inputs = assemble(regression_inputs(persona_df, categories, key), [FEATURE + k for k in categories])
+    return hash_split(inputs, key, train_fraction, seed)
+
+
 def fit_targets(train: DataFrame, targets: Sequence[str], features_col: str = "features",
                 checkpoint: bool = True, **lr_params) -> dict[str, LinearRegressionModel]:
     """One ``LinearRegression`` per target column (``label_<k>``)."""

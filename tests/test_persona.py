@@ -166,3 +166,13 @@ def test_before_after(spark, edges):
     assert set(out) == set(before)
     for r in out.values():
         assert all(r["c_" + k] is not None for k in CATS)
+
+
+def test_calculate_persona_dispatch(spark):
+    tx = spark.createDataFrame(_random_edges(), SCHEMA)
+    a = sorted(tuple(r) for r in P.calculate_persona(tx, 1, 12, CATS).collect())
+    b = sorted(tuple(r) for r in P.persona(P.both_sides(tx), 1, 12, CATS).collect())
+    assert a == b
+    c = sorted(tuple(r) for r in P.calculate_persona(tx, 3, 12, CATS).collect())
+    d = sorted(tuple(r) for r in P.persona_before_after(P.both_sides(tx), 3, 12, CATS).collect())
+    assert c == d

@@ -41,3 +41,9 @@ def test_fit_forecast_save_load(spark):
     loaded = R.load_models(base, "v1", ["label_A", "label_B"])
     assert list(loaded) == ["label_A", "label_B"]
     assert all(math.isclose(loaded[t].intercept, models[t].intercept) for t in loaded)
+
+
+def test_prepare_model_data(spark):
+    train, test = R.prepare_model_data(_persona(spark), ["A", "B"])
+    assert train.count() + test.count() == 400
+    assert "features" in train.columns and "label_A" in train.columns
