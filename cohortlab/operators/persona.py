@@ -28,6 +28,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import DAYS_PER_MONTH
 from ..functions.columns import lifetime_month as month_expr
 from ..functions.columns import q, row_sum, safe_div
 from ..plans.guards import materialize, salted_lookup_join
@@ -168,6 +169,88 @@ def friend_shares(edges: DataFrame, categories: Sequence[str] = CATEGORIES,
     return out.where(F.col("_others") > 0).drop("_others")
 
 
+def month_day_window(start: int, end: int) -> tuple[int, int]:
+    """Smallest and largest day gap whose lifetime month lies in
+    ``[start, end]`` (same arithmetic as ``lifetime_month``)."""
+    def month(x: int) -> int:
+        return int(x / DAYS_PER_MONTH + 1)
+    lo = next(x for x in range(0, int((start + 1) * DAYS_PER_MONTH) + 2) if month(x) >= start)
+    hi = max(x for x in range(lo, int((end + 1) * DAYS_PER_MONTH) + 2) if month(x) <= end)
+    return lo, hi
+
+
+def _friend_window_counts(daily: DataFrame, queries: DataFrame, cats: list[str], salt: int) -> DataFrame:
+    """``user, friend, <k>.., _all``: the friend's counts on days
+    ``[lo, hi]`` of each query row (``user, friend, lo, hi``).
+
+    An as-of lookup into per-friend prefix sums without a range join: the
+    friend's daily rows and the query bounds are unioned and ordered by day
+    within ``(friend, salt)``; a running sum over the daily rows gives each
+    bound its prefix count.  Daily rows (at most one per active day) are
+    repeated per salt, query rows are spread over the salts by hash, so a
+    friend with very many partners is split while each partition holds the
+    friend's whole day history."""
+    cols = cats + ["_all"]
+    data = (daily.groupBy(F.col(USER).alias("_f"), F.col("day").alias("_x"))
+                 .agg(*[F.sum(q(k)).alias(k) for k in cols])
+                 .withColumn("_t", F.lit(0)).withColumn("_u", F.lit(None).cast("string"))
+                 .withColumn("_b", F.lit(None).cast("int"))
+                 .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))))
+    bounds = F.array(F.struct(F.lit(0).alias("b"), F.date_sub("lo", 1).alias("x")),
+                     F.struct(F.lit(1).alias("b"), F.col("hi").alias("x")))
+    qs = (queries.select(F.col(FRIEND).alias("_f"), F.col(USER).alias("_u"), F.explode(bounds).alias("_q"))
+                 .select("_f", "_u", F.col("_q.x").alias("_x"), F.col("_q.b").alias("_b"))
+                 .withColumn("_t", F.lit(1))
+                 .withColumn("_salt", F.pmod(F.xxhash64("_u", "_f"), F.lit(salt)))
+                 .select("_f", "_x", *[F.lit(0).cast("bigint").alias(k) for k in cols], "_t", "_u", "_b", "_salt"))
+    w = (Window.partitionBy("_f", "_salt").orderBy("_x", "_t")
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    both = data.select("_f", "_x", *[q(k) for k in cols], "_t", "_u", "_b", "_salt").unionByName(qs)
+    run = both.select("_f", "_u", "_b", "_t", *[F.sum(q(k)).over(w).alias(k) for k in cols]).where("_t = 1")
+    agg = run.groupBy(F.col("_u").alias(USER), F.col("_f").alias(FRIEND)).agg(
+        *[(F.sum(F.when(F.col("_b") == 1, q(k))) - F.sum(F.when(F.col("_b") == 0, q(k)))).alias(k)
+          for k in cols])
+    return agg
+
+
+def friend_shares_within_lifetime(edges: DataFrame, categories: Sequence[str] = CATEGORIES,
+                                  start: int = 1, end: int = 12,
+                                  salt: int = HOT_KEY_SALT) -> DataFrame:
+    """``friend_shares`` counting only the friend's transactions whose
+    lifetime month on the *user's* clock (days since the user's first day)
+    lies in ``[start, end]``, as the reference's comment intends (its code
+    computes that month but never filters on it).  The user's clock starts at
+    the user's first transaction."""
+    cats = list(categories)
+    pairs = materialize(pair_table(edges, cats), "pairs")
+    stats = materialize(user_stats(pairs, cats), "user-stats")
+    first = stats.select(F.col(USER).alias("_fu"), "first_day", "_pairs")
+    known = pairs.where(F.col(FRIEND).isNotNull())
+    xlo, xhi = month_day_window(start, end)
+    pm = (salted_lookup_join(known, first, USER, "_fu", "inner", salt, [USER, FRIEND], "_pairs")
+          .withColumn(MONTH, month_expr("d0", "first_day"))
+          .where(F.col(MONTH).between(start, end))
+          .select(USER, FRIEND, MONTH, F.date_add("first_day", xlo).alias("lo"),
+                  F.date_add("first_day", xhi).alias("hi")))
+    pm = materialize(pm, "pair-windows")
+    counts = [_cat_count(k).alias(k) for k in cats] + [F.count(F.lit(1)).alias("_all")]
+    daily = materialize(edges.where(F.col(USER).isNotNull() & F.col(FRIEND).isNotNull())
+                             .groupBy(USER, FRIEND, F.to_date(TIME).alias("day")).agg(*counts),
+                        "pair-days")
+    # the pair's own days inside its window (pair rows are the same from both ends)
+    own = (daily.join(pm, [USER, FRIEND])
+                .where(F.col("day").between(F.col("lo"), F.col("hi")))
+                .groupBy(USER, FRIEND).agg(*[F.sum(q(k)).alias("_o_" + k) for k in cats + ["_all"]]))
+    friend = _friend_window_counts(daily, pm, cats, salt)
+    j = (pm.join(friend, [USER, FRIEND], "left").join(own, [USER, FRIEND], "left")
+           .fillna(0, subset=cats + ["_all"] + ["_o_" + k for k in cats + ["_all"]]))
+    other = {k: q(k) - F.col("_o_" + k) for k in cats}
+    total = row_sum(other.values())
+    out = j.select(USER, FRIEND, MONTH, *[safe_div(other[k], total).alias(k) for k in cats],
+                   (F.col("_all") - F.col("_o__all")).alias("_others"))
+    return out.where(F.col("_others") > 0).drop("_others")
+
+
 def friend_activity(edges: DataFrame, salt: int = HOT_KEY_SALT) -> DataFrame:
     """``user, friend, category, n``: how many transactions of each category
     the friend made with others, counted once per first-contact row of the
@@ -224,11 +307,15 @@ def self_persona(edges: DataFrame, start: int = 1, end: int = 12,
 
 def community_persona(edges: DataFrame, start: int = 1, end: int = 12,
                       categories: Sequence[str] = CATEGORIES, prefix: str = "c_",
-                      salt: int = HOT_KEY_SALT, pairs: DataFrame | None = None) -> DataFrame:
+                      salt: int = HOT_KEY_SALT, pairs: DataFrame | None = None,
+                      within_user_lifetime: bool = False) -> DataFrame:
     """``user`` + ``c_<category>``: mean over the user's months (of first
     contact, within ``[start, end]``) of the mean over friends met that month
-    of the friend's shares.  Both means are unweighted; nulls are skipped."""
-    fs = friend_shares(edges, categories, start, end, salt, pairs)
+    of the friend's shares.  Both means are unweighted; nulls are skipped.
+    ``within_user_lifetime`` counts only the friends' transactions that fall
+    in months ``[start, end]`` of the user's lifetime."""
+    fs = (friend_shares_within_lifetime(edges, categories, start, end, salt) if within_user_lifetime
+          else friend_shares(edges, categories, start, end, salt, pairs))
     monthly = fs.groupBy(USER, MONTH).agg(*[F.avg(q(k)).alias(k) for k in categories])
     return monthly.groupBy(USER).agg(*[F.avg(q(k)).alias(prefix + k) for k in categories])
 

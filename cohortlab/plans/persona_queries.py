@@ -77,6 +77,11 @@ def q_community_persona(spark, sf_dir):
     return round_doubles(P.community_persona(_edges(spark, sf_dir), START, END, CATS))
 
 
+def q_community_persona_within_lifetime(spark, sf_dir):
+    return round_doubles(P.community_persona(_edges(spark, sf_dir), START, END, CATS,
+                                             within_user_lifetime=True))
+
+
 def q_persona(spark, sf_dir):
     return round_doubles(P.persona(_edges(spark, sf_dir), START, END, CATS))
 
@@ -99,6 +104,7 @@ QUERIES = {
     "latest_month_rows": q_latest_month_rows,
     "self_persona": q_self_persona,
     "community_persona": q_community_persona,
+    "community_persona_within_lifetime": q_community_persona_within_lifetime,
     "persona": q_persona,
     "persona_before_after": q_persona_before_after,
 }
@@ -134,6 +140,16 @@ def _selfp(name: str, lo: int, hi: int, prefix: str = "", places: int | None = 6
         WHERE "user" IS NOT NULL AND lifetime_month BETWEEN {lo} AND {hi} GROUP BY "user")"""
 
 
+_WITHIN = f"""
+firsts AS (SELECT "user", CAST(MIN(transaction_time) AS DATE) AS fd FROM bs GROUP BY 1),
+rw AS (SELECT m1."user", m1.friend, m1.lifetime_month, m2.selected_match_type AS fcat
+       FROM fc m1 JOIN bs m2 ON m1.friend = m2."user" AND m2.friend <> m1."user"
+       JOIN firsts f ON f."user" = m1."user"
+       WHERE m1.lifetime_month BETWEEN {START} AND {END}
+         AND date_diff('day', f.fd, CAST(m2.transaction_time AS DATE)) >= 0
+         AND CAST(trunc(date_diff('day', f.fd, CAST(m2.transaction_time AS DATE)) / 30.44 + 1) AS INTEGER)
+             BETWEEN {START} AND {END}),"""
+
 _ROWWISE = f"""
 rw AS (SELECT m1."user", m1.friend, m1.lifetime_month, m2.selected_match_type AS fcat
        FROM fc m1 JOIN bs m2 ON m1.friend = m2."user" AND m2.friend <> m1."user"
@@ -144,6 +160,8 @@ ps AS (SELECT "user", friend, lifetime_month, {_cols('"{k}" / NULLIF(' + _TOTAL
 mo AS (SELECT "user", lifetime_month, {_cols('AVG("{k}") AS "{k}"')} FROM ps GROUP BY 1, 2),
 cp AS (SELECT "user", {_cols('AVG("{k}") AS "c_{k}"')} FROM mo GROUP BY 1)"""
 
+_ROWWISE_W = _WITHIN + _ROWWISE[_ROWWISE.index("pc AS"):]
+
 _PIVOT = f"""pv AS (SELECT "user", lifetime_month,
         {_cols('NULLIF(COUNT(*) FILTER (WHERE selected_match_type = \'{k}\'), 0) AS "{k}"')}
         FROM bsm WHERE lifetime_month BETWEEN {START} AND {END} GROUP BY 1, 2),
@@ -191,6 +209,8 @@ ORACLE = {
         SELECT user_key AS "user", * EXCLUDE (user_key) FROM sp""",
     "community_persona": _BASE + ", " + _ROWWISE + f""" SELECT "user",
         {_cols('round("c_{k}", 6) AS "c_{k}"')} FROM cp""",
+    "community_persona_within_lifetime": _BASE + ", " + _ROWWISE_W + f""" SELECT "user",
+        {_cols('round("c_{k}", 6) AS "c_{k}"')} FROM cp""",
     "persona": persona_sql(6),
     "persona_before_after": _BASE + ", " + _selfp("b", 1, END) + ", "
         + _selfp("a", END + 1, LATER_END, "c_") + f"""

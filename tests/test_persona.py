@@ -176,3 +176,46 @@ def test_calculate_persona_dispatch(spark):
     c = sorted(tuple(r) for r in P.calculate_persona(tx, 3, 12, CATS).collect())
     d = sorted(tuple(r) for r in P.persona_before_after(P.both_sides(tx), 3, 12, CATS).collect())
     assert c == d
+
+
+def _brute_within(rows, start, end):
+    """Community persona counting only the friend's transactions inside the
+    user's months [start, end] (user's clock from the user's first day)."""
+    tx = pd.DataFrame(rows, columns=["user1", "user2", "t", "cat"])
+    a = tx.rename(columns={"user1": "user", "user2": "friend"})
+    b = tx.rename(columns={"user2": "user", "user1": "friend"})
+    bs = pd.concat([a[["user", "friend", "t", "cat"]], b[["user", "friend", "t", "cat"]]], ignore_index=True)
+    bs = bs[bs.user.notna()]
+    first = bs.groupby("user").t.min()
+    bs["month"] = [_month((t.normalize() - first[u].normalize()).days) for u, t in zip(bs.user, bs.t)]
+    pairs = bs[bs.friend.notna()]
+    t0 = pairs.groupby(["user", "friend"]).t.transform("min")
+    m1 = pairs[pairs.t == t0]
+    m1 = m1[(m1.month >= start) & (m1.month <= end)]
+    j = m1.merge(pairs, left_on="friend", right_on="user", suffixes=("", "_2"))
+    j = j[j.friend_2 != j.user]
+    j = j[[start <= _month((t2.normalize() - first[u].normalize()).days) <= end
+           if (t2.normalize() - first[u].normalize()).days >= 0 else False
+           for u, t2 in zip(j.user, j.t_2)]]
+    comm = {}
+    for u, gu in j.groupby("user"):
+        monthly = []
+        for m, gm in gu.groupby("month"):
+            shares = []
+            for f, gf in gm.groupby("friend"):
+                c = {k: int((gf.cat_2 == k).sum()) for k in CATS}
+                tot = sum(c.values())
+                shares.append({k: (c[k] / tot if tot else None) for k in CATS})
+            monthly.append({k: _mean([s[k] for s in shares]) for k in CATS})
+        comm[u] = {k: _mean([m[k] for m in monthly]) for k in CATS}
+    return comm
+
+
+@pytest.mark.parametrize("start,end", [(1, 12), (2, 3)])
+def test_within_user_lifetime_matches_row_by_row(spark, edges, start, end):
+    want = _brute_within(_random_edges(), start, end)
+    got = {r.user: r.asDict() for r in P.community_persona(edges, start, end, CATS,
+                                                           within_user_lifetime=True).collect()}
+    assert set(got) == set(want)
+    for u in want:
+        assert all(_close(got[u]["c_" + k], want[u][k]) for k in CATS), u

@@ -83,3 +83,15 @@ def test_targeted_salting_splits_only_hot_keys(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_within_lifetime_with_hub_matches_brute_force(spark):
+    from test_persona import _brute_within
+    rows = _hub_rows()
+    edges = P.both_sides(spark.createDataFrame(rows, SCHEMA))
+    want = _brute_within(rows, 1, 12)
+    got = {r.user: r for r in P.community_persona(edges, 1, 12, CATS, salt=4,
+                                                  within_user_lifetime=True).collect()}
+    assert set(got) == set(want)
+    for u in want:
+        assert all(_close(got[u]["c_" + k], want[u][k]) for k in CATS)
