@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import DAYS_PER_MONTH
 from ..functions.columns import lifetime_month as month_expr
 from ..functions.columns import q, row_sum, safe_div
-from ..plans.guards import materialize, salted_lookup_join
+from ..plans.guards import HOT_KEY_ROWS, MAX_HOT_KEYS, is_bounded, materialize, salted_lookup_join
 from . import reshape
 
 # The nine spending categories of the labelled payments.
@@ -186,31 +186,44 @@ def _friend_window_counts(daily: DataFrame, queries: DataFrame, cats: list[str],
     An as-of lookup into per-friend prefix sums without a range join: the
     friend's daily rows and the query bounds are unioned and ordered by day
     within ``(friend, salt)``; a running sum over the daily rows gives each
-    bound its prefix count.  Daily rows (at most one per active day) are
-    repeated per salt, query rows are spread over the salts by hash, so a
-    friend with very many partners is split while each partition holds the
-    friend's whole day history."""
+    bound its prefix count.  Friends with more window bounds than
+    ``HOT_KEY_ROWS`` (a bounded, broadcast list) are split: their daily rows
+    (at most one per active day) are repeated per salt and their bounds
+    spread over the salts by hash; every other friend stays in one partition
+    with nothing repeated.  If the hot list is too long, all friends are
+    salted."""
     cols = cats + ["_all"]
-    data = (daily.groupBy(F.col(USER).alias("_f"), F.col("day").alias("_x"))
-                 .agg(*[F.sum(q(k)).alias(k) for k in cols])
-                 .withColumn("_t", F.lit(0)).withColumn("_u", F.lit(None).cast("string"))
-                 .withColumn("_b", F.lit(None).cast("int"))
-                 .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))))
+    hot = (queries.groupBy(F.col(FRIEND).alias("_hf")).agg((F.count(F.lit(1)) * 2).alias("_nq"))
+                  .where(F.col("_nq") > F.lit(HOT_KEY_ROWS)).select("_hf"))
+    everyone_hot = not is_bounded(hot, MAX_HOT_KEYS)
+    all_salts = F.sequence(F.lit(0), F.lit(salt - 1))
+
+    def mark(df):
+        if everyone_hot:
+            return df.withColumn("_hot", F.lit(True))
+        marked = df.join(F.broadcast(hot), df["_f"] == F.col("_hf"), "left")
+        return marked.withColumn("_hot", F.col("_hf").isNotNull()).drop("_hf")
+
+    data = mark(daily.groupBy(F.col(USER).alias("_f"), F.col("day").alias("_x"))
+                     .agg(*[F.sum(q(k)).alias(k) for k in cols]))
+    data = (data.withColumn("_salt", F.explode(F.when(F.col("_hot"), all_salts).otherwise(F.array(F.lit(0)))))
+                .select("_f", "_x", *[q(k) for k in cols], F.lit(0).alias("_t"),
+                        F.lit(None).cast("string").alias("_u"), F.lit(None).cast("int").alias("_b"), "_salt"))
     bounds = F.array(F.struct(F.lit(0).alias("b"), F.date_sub("lo", 1).alias("x")),
                      F.struct(F.lit(1).alias("b"), F.col("hi").alias("x")))
-    qs = (queries.select(F.col(FRIEND).alias("_f"), F.col(USER).alias("_u"), F.explode(bounds).alias("_q"))
-                 .select("_f", "_u", F.col("_q.x").alias("_x"), F.col("_q.b").alias("_b"))
-                 .withColumn("_t", F.lit(1))
-                 .withColumn("_salt", F.pmod(F.xxhash64("_u", "_f"), F.lit(salt)))
-                 .select("_f", "_x", *[F.lit(0).cast("bigint").alias(k) for k in cols], "_t", "_u", "_b", "_salt"))
+    qs = mark(queries.select(F.col(FRIEND).alias("_f"), F.col(USER).alias("_u"), F.explode(bounds).alias("_q")))
+    qs = qs.select("_f", F.col("_q.x").alias("_x"), *[F.lit(0).cast("bigint").alias(k) for k in cols],
+                   F.lit(1).alias("_t"), "_u", F.col("_q.b").alias("_b"),
+                   F.when(F.col("_hot"), F.pmod(F.xxhash64("_u", "_f"), F.lit(salt))).otherwise(F.lit(0))
+                    .alias("_salt"))
     w = (Window.partitionBy("_f", "_salt").orderBy("_x", "_t")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    both = data.select("_f", "_x", *[q(k) for k in cols], "_t", "_u", "_b", "_salt").unionByName(qs)
-    run = both.select("_f", "_u", "_b", "_t", *[F.sum(q(k)).over(w).alias(k) for k in cols]).where("_t = 1")
-    agg = run.groupBy(F.col("_u").alias(USER), F.col("_f").alias(FRIEND)).agg(
+    run = (data.unionByName(qs)
+               .select("_f", "_u", "_b", "_t", *[F.sum(q(k)).over(w).alias(k) for k in cols])
+               .where("_t = 1"))
+    return run.groupBy(F.col("_u").alias(USER), F.col("_f").alias(FRIEND)).agg(
         *[(F.sum(F.when(F.col("_b") == 1, q(k))) - F.sum(F.when(F.col("_b") == 0, q(k)))).alias(k)
           for k in cols])
-    return agg
 
 
 def friend_shares_within_lifetime(edges: DataFrame, categories: Sequence[str] = CATEGORIES,

@@ -95,3 +95,16 @@ def test_within_lifetime_with_hub_matches_brute_force(spark):
     assert set(got) == set(want)
     for u in want:
         assert all(_close(got[u]["c_" + k], want[u][k]) for k in CATS)
+
+
+def test_within_lifetime_salted_branch(spark, monkeypatch):
+    from test_persona import _brute_within
+    monkeypatch.setattr(P, "HOT_KEY_ROWS", 10)      # every busy friend counts as hot
+    rows = _hub_rows()
+    edges = P.both_sides(spark.createDataFrame(rows, SCHEMA))
+    want = _brute_within(rows, 1, 12)
+    got = {r.user: r for r in P.community_persona(edges, 1, 12, CATS, salt=4,
+                                                  within_user_lifetime=True).collect()}
+    assert set(got) == set(want)
+    for u in want:
+        assert all(_close(got[u]["c_" + k], want[u][k]) for k in CATS)
