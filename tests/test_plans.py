@@ -108,3 +108,12 @@ def test_within_lifetime_salted_branch(spark, monkeypatch):
     assert set(got) == set(want)
     for u in want:
         assert all(_close(got[u]["c_" + k], want[u][k]) for k in CATS)
+
+
+def test_spread_if_narrow(spark):
+    from cohortlab.plans.guards import spread_if_narrow
+    target = spark.sparkContext.defaultParallelism
+    narrow = spark.range(100).coalesce(1)
+    assert spread_if_narrow(narrow).rdd.getNumPartitions() == target
+    wide = spark.range(100).repartition(target + 3)
+    assert spread_if_narrow(wide) is wide
