@@ -42,3 +42,10 @@ def test_oracle_matches(spark, duck, key):
     idx = [d_cols.index(c) for c in s_cols]
     d_rows = sorted((tuple(_norm(r[i]) for i in idx) for r in cur.fetchall()), key=repr)
     assert s_rows == d_rows
+
+
+@pytest.mark.parametrize("key", sorted(E.queries()))
+def test_no_nested_loop_or_cartesian(spark, key):
+    from cohortlab.plans.guards import plan_text
+    plan = plan_text(E.queries()[key](spark, SF_SMALL))
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
