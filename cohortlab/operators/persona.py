@@ -85,6 +85,7 @@ def with_lifetime_month_window(edges: DataFrame) -> DataFrame:
 
 
 def month_range(edges_m: DataFrame, start: int, end: int) -> DataFrame:
+    """Edge rows whose lifetime month lies in ``[start, end]``."""
     return edges_m.where(F.col(MONTH).between(start, end))
 
 
