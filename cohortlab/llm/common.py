@@ -7,6 +7,10 @@ null or repeated, so joins back to the rows are null-safe on both parts.
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +21,23 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def ship(spark) -> None:
+    """Make this package importable in the Python workers, wherever the driver
+    found it: Spark hands every executor a copy."""
+    sc = spark.sparkContext
+    if getattr(sc, "_cohortlab_shipped", False):
+        return
+    import cohortlab
+    root = Path(cohortlab.__file__).parent
+    with tempfile.TemporaryDirectory() as folder:
+        file = Path(folder, "cohortlab_code.zip")
+        with zipfile.ZipFile(file, "w") as z:
+            for p in sorted(root.rglob("*.py")):
+                z.write(p, p.relative_to(root.parent))
+        sc.addPyFile(str(file))
+    sc._cohortlab_shipped = True
+
+
 def read(spark, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

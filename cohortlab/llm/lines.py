@@ -6,7 +6,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlab.llm import packed, rolling
@@ -142,9 +142,11 @@ def _texts():
     return run
 
 
-@F.pandas_udf("array<long>")
-def _expand(lines: pd.Series) -> pd.Series:
-    return lines.map(lambda x: tokens(x).view(np.int64))
+def _expand(lines: Column) -> Column:
+    @F.pandas_udf("array<long>")
+    def sets(batch: pd.Series) -> pd.Series:
+        return batch.map(lambda x: tokens(x).view(np.int64))
+    return sets(lines)
 
 
 def near_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3,
