@@ -29,13 +29,14 @@ def ship(spark) -> None:
         return
     import cohortlab
     root = Path(cohortlab.__file__).parent
-    with tempfile.TemporaryDirectory() as folder:
-        file = Path(folder, "cohortlab_code.zip")
-        with zipfile.ZipFile(file, "w") as z:
-            for p in sorted(root.rglob("*.py")):
-                z.write(p, p.relative_to(root.parent))
-        sc.addPyFile(str(file))
-    sc._cohortlab_shipped = True
+    # The driver serves the file itself, so the folder must outlast this call.
+    folder = tempfile.TemporaryDirectory()
+    file = Path(folder.name, "cohortlab_code.zip")
+    with zipfile.ZipFile(file, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(file))
+    sc._cohortlab_shipped = folder
 
 
 def read(spark, sf_dir: str, table: str) -> DataFrame:
