@@ -217,7 +217,8 @@ def repeated_runs(docs: DataFrame, depth: int = 200) -> DataFrame:
     settled = (open_.join(classes.where("n > 1").select("key", "around"), ["key", "around"])
                .select("d", "k", (F.col("at") - (offsets - 1)).alias("a"), (F.col("at") + depth).alias("z")))
     found = [settled]
-    several = classes.groupBy("key").count().where("count > 1").select("key")
+    # written, so that the join below can split a key that very many records share
+    several = materialize(classes.groupBy("key").count().where("count > 1").select("key"), "suffix-several")
     going = classes.join(several, "key").select("key", "one.*")
     per_text = going.groupBy("d", "k").agg(F.collect_list(F.struct("key", "at")).alias("recs"))    # at most a text's length
     level = materialize(docs.join(per_text, ["d", "k"]).select("d", "k", "text", "recs")
