@@ -57,6 +57,8 @@ def link_components(buckets: DataFrame, sets: DataFrame, num: int, den: int, rou
         open_ = (placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                               F.max("hub_component").alias("h"), F.max("size").alias("size"))
                  .where("(lo <> hi or lo <> h) and size > 2").select("bucket"))
+        # lists are written before they are joined: a plain exchange on both sides lets Spark split hot keys
+        open_ = materialize(open_, "link-open-buckets")
         spread = materialize(placed.join(open_, "bucket").select("hub", "node", "component").distinct(), "link-open")
         if spread.isEmpty():
             break
@@ -118,7 +120,7 @@ def _refine(spread: DataFrame, found: DataFrame, sets: DataFrame, num: int, den:
                      F.array_union(F.array_except("mine", "its"), F.array_except("its", "mine")).alias("tokens")))
     delta = materialize(delta.withColumn("delta", F.size("tokens").cast("long")), "link-deltas")
     each = delta.select("hub", "node", F.explode("tokens").alias("token"))
-    often = each.groupBy("hub", "token").agg(F.count("*").alias("df")).where("df > 1")
+    often = materialize(each.groupBy("hub", "token").agg(F.count("*").alias("df")).where("df > 1"), "link-tokens")
     most = F.floor(F.col("n") * (den - num) / num)
     # how far the rarest-first prefix must reach for every possible partner
     reach = F.when(F.col("open"), F.least(F.col("delta"), most + 1)).otherwise(
@@ -132,6 +134,8 @@ def _refine(spread: DataFrame, found: DataFrame, sets: DataFrame, num: int, den:
     alone = F.col("delta") - F.col("usable")
     rows = (usable.join(slim, ["hub", "node"]).where(F.col("r") + alone <= reach)
             .select(F.xxhash64("hub", "token").alias("bucket"), "node", "component", "n", "open", "delta", "usable"))
+    rows = materialize(rows, "link-prefixes")
     worth = (rows.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("open").alias("o"))
              .where("lo <> hi and o").select("bucket"))
+    worth = materialize(worth, "link-worth")
     return rows.join(worth, "bucket").distinct()

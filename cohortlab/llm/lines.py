@@ -181,7 +181,7 @@ def near_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     placed = nodes.join(part, "node", "left").select(
         "node", "first", F.coalesce("component", "node").alias("component"))
     placed = materialize(placed, "line-placed")
-    lead = placed.groupBy("component").agg(F.min("first").alias("lead"))
+    lead = materialize(placed.groupBy("component").agg(F.min("first").alias("lead")), "line-first")
     lead = placed.join(lead, "component").select(F.col("node").alias("_node"), "component", "lead")
     lead = materialize(lead, "line-leads")
     here = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line", "k")

@@ -210,7 +210,8 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked, degree = _links(base, rows, rounds, small)
     nodes = (rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_equal"))
              .join(linked, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    named = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
+    nodes = materialize(nodes, "ngram-placed")
+    named = materialize(nodes.groupBy("component").agg(F.min("least").alias("component_id")), "ngram-named")
     known = materialize(nodes.join(named, "component").join(degree, "node", "left")
                         .select(F.col("node").alias("_node"), "component_id", "n_equal",
                                 F.coalesce("links", F.lit(0)).cast("long").alias("links")), "ngram-nodes")
