@@ -8,8 +8,10 @@ that does not link with the hub.  Such a pair must share tokens of their
 differences from the hub, as |x - hub| + |y - hub| exceeds what the two may
 differ in.  Those tokens, rarest first and only as many as the bound asks for,
 are the next buckets.  When they are small, or after ``rounds`` of this, the
-remaining pairs across components are all verified.  No pair that shares a
-bucket and links is lost: it ends in one component.
+remaining pairs across components are all verified.  Buckets of up to ``FEW``
+members need no hub: their pairs are verified at the end, where components
+still differ.  No pair that shares a bucket and links is lost: it ends in one
+component.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from pyspark.sql import functions as F
 from cohortlab.llm.common import components
 from cohortlab.plans.guards import materialize
 
+FEW = 6       # at most 2.5 pairs per member
+
 
 def link_components(buckets: DataFrame, sets: DataFrame, num: int, den: int, rounds: int = 3, small: int = 64,
                     expand: Callable[[Column], Column] = lambda c: c) -> tuple[DataFrame, DataFrame]:
@@ -35,31 +39,37 @@ def link_components(buckets: DataFrame, sets: DataFrame, num: int, den: int, rou
     score = materialize(buckets.groupBy("node").agg(F.count("*").alias("score")), "link-scores")
     part = score.select("node", F.col("node").alias("component"))
     links, final = None, False
-    for turn in range(rounds + 1):
-        if final:
-            pairs = _pairs_left(buckets, num, den)
-        else:
-            hubs = materialize(_hubs(buckets.select("bucket", "node"), score), "link-hubs")
-            member = buckets.select("bucket", "node").join(hubs, "bucket").where("node <> hub")
-            pairs = member.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    few = None
+
+    def join_up(pairs):
+        nonlocal links
         found = materialize(_verify(pairs, sets, num, den, expand), "link-verified")
         new = found.where("link").select("a", "b")
         links = new if links is None else links.unionByName(new)
         part = score.select("node").join(components(links), "node", "left").select(
             "node", F.coalesce("component", "node").alias("component"))
-        part = materialize(part, "link-components")
+        return found, materialize(part, "link-components")
+
+    for turn in range(rounds + 1):
         if final:
+            _, part = join_up(_pairs_left(buckets, num, den))
             break
+        hubs = materialize(_hubs(buckets.select("bucket", "node"), score), "link-hubs")
+        placed = buckets.select("bucket", "node").join(hubs, "bucket")
+        tiny = placed.where(F.col("size") <= FEW).select("bucket", "node")
+        few = tiny if few is None else few.unionByName(tiny)
+        member = placed.where((F.col("size") > FEW) & (F.col("node") != F.col("hub")))
+        pairs = member.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+        found, part = join_up(pairs)
         # open: members of buckets that still hold several components
-        placed = member.join(part, "node")
         hub_part = part.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
-        placed = placed.join(hub_part, "hub")
-        open_ = (placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                              F.max("hub_component").alias("h"), F.max("size").alias("size"))
-                 .where("(lo <> hi or lo <> h) and size > 2").select("bucket"))
+        spread = member.join(part, "node").join(hub_part, "hub")
+        open_ = (spread.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                              F.max("hub_component").alias("h"))
+                 .where("lo <> hi or lo <> h").select("bucket"))
         # lists are written before they are joined: a plain exchange on both sides lets Spark split hot keys
         open_ = materialize(open_, "link-open-buckets")
-        spread = materialize(placed.join(open_, "bucket").select("hub", "node", "component").distinct(), "link-open")
+        spread = materialize(spread.join(open_, "bucket").select("hub", "node", "component").distinct(), "link-open")
         if spread.isEmpty():
             break
         buckets = materialize(_refine(spread, found, sets, num, den, expand), "link-refined")
@@ -67,6 +77,10 @@ def link_components(buckets: DataFrame, sets: DataFrame, num: int, den: int, rou
             break
         largest = buckets.groupBy("bucket").count().agg(F.max("count").alias("m")).first()["m"]
         final = largest <= small or turn == rounds - 1
+    apart = few.join(part, "node")
+    one = apart.select("bucket", F.col("node").alias("a"), F.col("component").alias("ca"))
+    two = apart.select("bucket", F.col("node").alias("b"), F.col("component").alias("cb"))
+    _, part = join_up(one.join(two, "bucket").where("a < b and ca <> cb").select("a", "b").distinct())
     degree = (links.select("a", "b").union(links.select("b", "a")).distinct()
               .groupBy(F.col("a").alias("node")).agg(F.count("*").alias("links")))
     return part, degree
