@@ -27,7 +27,7 @@ from cohortlab.plans.guards import materialize
 FEW = 6       # at most 2.5 pairs per member
 
 
-def link_components(buckets: DataFrame, sets: DataFrame, num: int, den: int, rounds: int = 3, small: int = 64,
+def link_components(buckets: DataFrame, sets: DataFrame, num: int, den: int, rounds: int = 3, small: int = 1000,
                     expand: Callable[[Column], Column] = lambda c: c) -> tuple[DataFrame, DataFrame]:
     """``buckets``: ``bucket, node``; ``sets``: ``node, n, body`` with one row
     per node, where ``expand(body)`` is the array of the set's ``n`` tokens.
@@ -87,9 +87,14 @@ def link_components(buckets: DataFrame, sets: DataFrame, num: int, den: int, rou
 
 
 def _hubs(buckets: DataFrame, score: DataFrame) -> DataFrame:
-    """Each bucket's hub: the member that is in most buckets."""
-    return (buckets.join(score, "node").groupBy("bucket")
-            .agg(F.max(F.struct("score", "node"))["node"].alias("hub"), F.count("*").alias("size")))
+    """Each bucket's hub: the member that is in most buckets, or a better one
+    that this member meets elsewhere.  A hub is only a set to compare with and
+    need not be in the bucket, so buckets of one cluster should agree on it."""
+    best = materialize(buckets.join(score, "node").groupBy("bucket")
+                       .agg(F.max(F.struct("score", "node")).alias("best"), F.count("*").alias("size")), "link-best")
+    lead = buckets.join(best, "bucket").groupBy("node").agg(F.max("best").alias("lead"))
+    return (best.join(lead, F.col("best.node") == F.col("node"))
+            .select("bucket", F.col("lead.node").alias("hub"), "size"))
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int, expand) -> DataFrame:

@@ -150,7 +150,7 @@ def _expand(lines: Column) -> Column:
 
 
 def near_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3,
-               small: int = 64) -> DataFrame:
+               small: int = 1000) -> DataFrame:
     """One row per line with a word: ``doc_id, k, line`` (number from 0),
     ``component`` and ``kept``.
 

@@ -188,7 +188,7 @@ def _emit(parts: int):
 # --- the join
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3,
-                    small: int = 64) -> DataFrame:
+                    small: int = 1000) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, n_equal, links``.
 
     ``component_id`` is the smallest doc_id reachable by links (null ids do
