@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cohortlab.llm.common import WORD, join_rows, range_ranked, text_of
 from cohortlab.plans.guards import materialize
 
+MOST_REPAIRS = 12                # a source whose words lie in a few documents needs several
 GOLDEN = 0.6180339887498949      # step of the low-discrepancy sequence
 
 
@@ -136,12 +137,15 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), budget: float = 1.5, cap: i
     u = F.col("rank") * F.lit(GOLDEN)
     copies = base + (u - F.floor(u) < F.col("rate") - base).cast("int")
     rounded = materialize(rated.withColumn("copies", copies.cast("int")), "mix-rounded")
-    fixed = _repair(rounded, known, cap)
-    out = (rounded.join(fixed, "rank", "left")
-           .withColumn("copies", F.col("copies") + F.coalesce(F.col("change"), F.lit(0)))
-           .withColumn("taken", (F.col("copies") * F.col("size")).cast("long"))
-           .select("doc_id", "k", "size", "source_size", "target", "rate", "copies", "taken", "rows"))
-    return out
+    for _ in range(MOST_REPAIRS):
+        fixed = materialize(_repair(rounded, known, cap), "mix-repair")
+        if fixed.isEmpty():
+            break
+        rounded = materialize(rounded.join(fixed, "rank", "left").withColumn(
+            "copies", F.col("copies") + F.coalesce(F.col("change"), F.lit(0))).drop("change"), "mix-rounded")
+    return (rounded.withColumn("taken", (F.col("copies") * F.col("size")).cast("long"))
+            .withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+            .select("doc_id", "k", "size", "source_size", "target", "rate", "copies", "taken"))
 
 
 def _repair(rounded: DataFrame, known: DataFrame, cap: int) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+import os
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from cohortlab.llm.common import range_ranked
 from cohortlab.plans.guards import materialize
 
-CACHE_WORDS = 200_000            # words whose ids a worker remembers; then it starts afresh
+CACHE_WORDS = 300_000            # words in each of the two generations a worker remembers
 MAX_BROADCAST_RUNS = 200_000
 
 _workers: dict = {}
@@ -28,21 +29,30 @@ class WordIds:
     is encoded once."""
 
     def __init__(self, path: str):
+        # one thread: the tasks of an executor already share its cores
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def __call__(self, text: str) -> bytes:
         import numpy as np
         words = text.encode("utf-8", "replace").split()
-        new = list({w for w in words if w not in self.known})
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known = {}
-            new = list(set(words))
+        here = set(words)
+        if len(self.young) + len(here) > CACHE_WORDS:      # words in use move on, the others fade
+            self.young, self.old = {}, self.young
+        new = []
+        for w in here.difference(self.young):
+            ids = self.old.get(w)
+            if ids is None:
+                new.append(w)
+            else:
+                self.young[w] = ids
         if new:
-            coded = self.tokenizer.encode_batch([w.decode("utf-8") for w in new], add_special_tokens=False)
-            self.known.update((w, np.asarray(c.ids, "<u4").tobytes()) for w, c in zip(new, coded))
-        return b"".join(map(self.known.__getitem__, words))
+            coded = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
+            self.young.update((w, np.asarray(c.ids, "<u4").tobytes()) for w, c in zip(new, coded))
+        return b"".join(map(self.young.__getitem__, words))
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = 4096, end_id: int = 1,
@@ -161,7 +171,9 @@ def pack(docs: DataFrame, capacity: int = 4096, tokenizer: str | None = None, en
     Null or empty text is one ``end_id``; null ids pass through; repeated rows
     are packed each; an empty table gives no rows.
     """
-    cut = range_ranked(pieces(docs, tokenizer, capacity, end_id, id_col, text_col),
+    # written first: the range sort reads its input twice, once for its splitters
+    cut = materialize(pieces(docs, tokenizer, capacity, end_id, id_col, text_col), "pack-tokens")
+    cut = range_ranked(cut,
                        [F.col("length").desc(), F.col("doc_id"), F.col("piece"), F.col("ids_crc32")], "pack-pieces")
     found = cut.groupBy("length").agg(F.count("*").alias("n"), F.min("rank").alias("at"))
     found = [tuple(r) for r in found.select("length", "n", "at").collect()]    # at most `capacity` rows
