@@ -24,8 +24,9 @@ def safe_div(num, den) -> Column:
 
 
 def row_sum(cols) -> Column:
-    """Sum across columns in one expression (null if any input is null)."""
-    return reduce(add, [col_or_name(c) for c in cols])
+    """Sum across columns in one expression (null if any input is null).
+    Names are taken literally, dots and all."""
+    return reduce(add, [c if isinstance(c, Column) else F.col(f"`{c}`") for c in cols])
 
 
 def lifetime_month(ts, first_ts) -> Column:

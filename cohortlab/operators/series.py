@@ -60,11 +60,13 @@ def yearly_average(df: DataFrame, date_col: str, group: str, value: str,
                    start: int, end: int, out: str = "avg_value") -> DataFrame:
     """Mean of ``value`` per group and calendar year within ``[start, end]``.
 
-    The year filter is written on the derived column; Catalyst folds it into
-    the scan side before the aggregate.
+    The range of years is also written on the date column itself, where the
+    scan can use it.
     """
     year = F.year(q(date_col)).alias("year")
-    base = (df.where(q(value).isNotNull())
+    inside = (q(date_col) >= F.make_date(F.lit(start), F.lit(1), F.lit(1))) & (
+        q(date_col) < F.make_date(F.lit(end + 1), F.lit(1), F.lit(1)))
+    base = (df.where(q(value).isNotNull() & inside)
               .select(q(group), year, q(value))
               .where(F.col("year").between(start, end)))
     return base.groupBy(q(group), "year").agg(F.avg(q(value)).alias(out))

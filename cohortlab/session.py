@@ -58,6 +58,8 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             base = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key raises on some versions
             base = None
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not base:
         base = tempfile.mkdtemp(prefix="cohortlab-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
