@@ -74,8 +74,8 @@ def _spans_sql(rule: secrets.Rule, order: int) -> str:
     regex = rule.regex.replace("'", "''")
     return f"""
     select doc_id, start, {order} as ord, stop, '{rule.kind}' as kind from (
-      select doc_id, sized[i] as sized, list_sum(list_transform(gaps[1:i], x -> length(x)))
-               + coalesce(list_sum(list_transform(hits[1:i-1], x -> length(x))), 0) as start,
+      select doc_id, sized[i] as sized, list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+               + coalesce(list_sum(list_transform(hits[1:i-1], lambda x: length(x))), 0) as start,
              start + length(hits[i]) as stop
       from (select doc_id, hits, sized, gaps, unnest(range(1, len(hits) + 1)) as i from (
               select doc_id, regexp_extract_all(t, '{regex}', 0) as hits,
@@ -104,7 +104,7 @@ from documents d left join per using (doc_id)""",
 with t as (select doc_id, length(coalesce(text, '')) as chars,
                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') as norm from documents),
 g as (select *, first_value(doc_id) over w as keep_id, count(*) over (partition by norm) as group_size,
-             row_number() over w as at
+             row_number() over w as place
       from t window w as (partition by norm order by chars desc, doc_id asc nulls last))
-select doc_id, keep_id, group_size, at = 1 as kept, sha256(norm) as text_sha256 from g""",
+select doc_id, keep_id, group_size, place = 1 as kept, sha256(norm) as text_sha256 from g""",
 }
