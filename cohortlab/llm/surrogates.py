@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import join_rows, keyed
+from cohortlab.llm.common import join_rows, keyed, partitions
 from cohortlab.plans.guards import materialize
 
 MALE = ("Mr", "Sir", "Herr", "Señor", "Sr", "Monsieur", "Signor", "Господин", "Κύριος")
@@ -132,7 +132,8 @@ def _parts(raw: Column) -> Column:
 def surrogate_table(parts: DataFrame, key: str) -> DataFrame:
     """``kind, value, surrogate`` for distinct parts; no two values of a kind
     share a surrogate and no surrogate is a value of its kind."""
-    table = materialize(parts.distinct().withColumn("draw", F.lit(0))
+    # dealt by hand: the parts are few bytes, which Spark would leave to one task, but each takes a hash per letter
+    table = materialize(parts.repartition(partitions(parts), "kind", "value").distinct().withColumn("draw", F.lit(0))
                         .withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), F.col("draw"), key)), "pii-table")
     originals = table.select(F.col("kind").alias("_k"), F.col("value").alias("_v"))
     for _ in range(MOST_DRAWS):
