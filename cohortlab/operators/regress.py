@@ -46,11 +46,20 @@ def hash_split(df: DataFrame, key: str = "user", train_fraction: float = 0.8,
             part.where(F.col("_part") == "test").drop("_part"))
 
 
+def design_features(categories: Sequence[str], drop: str | None = None) -> list[str]:
+    """Feature columns of an identifiable model.  The shares of a user add up
+    to 1, so beside an intercept one category (``drop``, the last unless
+    named) is left out."""
+    gone = categories[-1] if drop is None else drop
+    return [FEATURE + k for k in categories if k != gone]
+
+
 def prepare_model_data(persona_df: DataFrame, categories: Sequence[str], train_fraction: float = 0.8,
-                       seed: int = 0, key: str = "user") -> tuple[DataFrame, DataFrame]:
-    """``(train, test)``: targets and features as doubles, the ``c_`` shares
-    assembled into ``features``, split by an MD5 bucket of the key."""
-    inputs = assemble(regression_inputs(persona_df, categories, key), [FEATURE + k for k in categories])
+                       seed: int = 0, key: str = "user", drop: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(train, test)``: targets and features as doubles, the ``c_`` shares of
+    :func:`design_features` assembled into ``features``, split by an MD5 bucket
+    of the key."""
+    inputs = assemble(regression_inputs(persona_df, categories, key), design_features(categories, drop))
     return hash_split(inputs, key, train_fraction, seed)
 
 
@@ -122,4 +131,5 @@ def load_models(base: str, version: str, targets: Sequence[str]) -> dict[str, Li
 
 
 def _safe(name: str) -> str:
-    return name.replace("/", "_")
+    """A path segment of its own for every name."""
+    return name.replace("_", "__").replace("/", "_-")

@@ -47,3 +47,21 @@ def test_prepare_model_data(spark):
     train, test = R.prepare_model_data(_persona(spark), ["A", "B"])
     assert train.count() + test.count() == 400
     assert "features" in train.columns and "label_A" in train.columns
+
+
+def test_coefficients_do_not_depend_on_partitioning(spark):
+    rows = [(f"u{i}", *[x / 100 for x in (i % 50, 30 - i % 30, 70 + i % 30 - i % 50)],
+             *[x / 100 for x in ((7 * i) % 41, (3 * i) % 37, 100 - (7 * i) % 41 - (3 * i) % 37)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "user string, A double, B double, D double, c_A double, c_B double, c_D double")
+    cats, fits = ["A", "B", "D"], []
+    for parts in (1, 7):
+        train, _ = R.prepare_model_data(df.repartition(parts), cats)
+        models = R.fit_targets(train, [R.LABEL + k for k in cats])
+        fits.append({(r.target, r.feature): r.coefficient
+                     for r in R.coefficients(spark, models, R.design_features(cats)).collect()})
+    assert len(fits[0]) == 9 and ("label_A", "c_D") not in fits[0]
+    assert all(abs(v - fits[1][k]) < 1e-9 for k, v in fits[0].items())
+
+
+def test_model_paths_differ():
+    assert len({R._safe(x) for x in ("a/b", "a_b", "a_-b", "a__b", "a_/b")}) == 5
