@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import bisect
+import json
 import os
+import struct
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -12,8 +14,12 @@ from pyspark.sql import functions as F
 from cohortlab.llm.common import range_ranked
 from cohortlab.plans.guards import materialize
 
-CACHE_WORDS = 300_000            # words in each of the two generations a worker remembers
+CACHE_WORDS = 500_000            # words in each of the two generations a worker remembers (about 0.1 GB each)
 MAX_BROADCAST_RUNS = 200_000
+# How a tokenizer's file spells a run of punctuation; ASCII punctuation; letters and digits.
+PUNCTUATION_RUN = r"[^\\s\\p{L}\\p{N}]+"
+PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+ALNUM = b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 
 _workers: dict = {}
 
@@ -26,24 +32,56 @@ def default_tokenizer() -> str:
 class WordIds:
     """Ids of texts under a tokenizer that drops white space and never joins
     over it: a text's ids are its words' ids in a row, so each distinct word
-    is encoded once."""
+    is encoded once.
+
+    Where the tokenizer's own file says that it lowers case, words are told
+    apart in lower case; where it says that runs of punctuation stand alone,
+    those at a word's end are encoded apart from the rest.  Neither changes an
+    id: texts that may hold an added token are left as they are."""
 
     def __init__(self, path: str):
         # one thread: the tasks of an executor already share its cores
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            said = json.load(f)
+        self.added = [t["content"].encode().lower() for t in said.get("added_tokens") or []]
+        self.lowers = "Lowercase" in json.dumps(said.get("normalizer"))
+        self.cuts = PUNCTUATION_RUN in json.dumps(said.get("pre_tokenizer"))
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
     def __call__(self, text: str) -> bytes:
-        import numpy as np
-        words = text.encode("utf-8", "replace").split()
+        data = text.encode("utf-8", "replace")
+        low = data.lower()           # ASCII letters
+        plain = not any(t in low for t in self.added)
+        words = (low if plain and self.lowers else data).split()
         here = set(words)
         if len(self.young) + len(here) > CACHE_WORDS:      # words in use move on, the others fade
             self.young, self.old = {}, self.young
-        new = []
+        cut, whole = [], []
         for w in here.difference(self.young):
+            ids = self.old.get(w)
+            if ids is not None:
+                self.young[w] = ids
+                continue
+            body = w.rstrip(PUNCTUATION) if plain and self.cuts else w
+            if len(body) < len(w) and body[-1:] in ALNUM and body:
+                cut.append((w, body, w[len(body):]))
+            else:
+                whole.append(w)
+        if cut:
+            ends = {x for _, *two in cut for x in two}.difference(self.young)
+            whole += ends.difference(whole)
+        self._encode(whole)
+        for w, body, tail in cut:
+            self.young[w] = self.young[body] + self.young[tail]
+        return b"".join(map(self.young.__getitem__, words))
+
+    def _encode(self, words: list[bytes]) -> None:
+        new = []
+        for w in words:
             ids = self.old.get(w)
             if ids is None:
                 new.append(w)
@@ -51,8 +89,9 @@ class WordIds:
                 self.young[w] = ids
         if new:
             coded = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
-            self.young.update((w, np.asarray(c.ids, "<u4").tobytes()) for w, c in zip(new, coded))
-        return b"".join(map(self.young.__getitem__, words))
+            for w, c in zip(new, coded):
+                ids = c.ids
+                self.young[w] = struct.pack(f"<{len(ids)}I", *ids)
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = 4096, end_id: int = 1,

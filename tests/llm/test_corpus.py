@@ -130,6 +130,13 @@ def test_best_fit():
 def test_pack(spark):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(packing.default_tokenizer())
+    rnd, ids = random.Random(4), packing.WordIds(packing.default_tokenizer())
+    assert ids.lowers and ids.cuts
+    odd = ["a", "B", "é", "E\u0301", "=\u0338", "'", "'S", "'ll", ".", "$$", "7", " ", "\n", "ß", "İ", "Σ", "“", "’", "<|endoftext|>",
+           "<|EndOfText|>", "-", "_", "\u0301", "\x1f", "日", "word", "Don't", "\u00a0"]
+    for _ in range(4000):
+        text = "".join(rnd.choices(odd, k=rnd.randint(1, 9)))
+        assert ids(text) == b"".join(x.to_bytes(4, "little") for x in t.encode(text, add_special_tokens=False).ids), repr(text)
     rows = ODD + [(30, "don't <|endoftext|> Ünïcode  x\x1fy 1234")]
     got = packing.pack(frame(spark, rows), capacity=64).collect()
     want = []
