@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import DAYS_PER_MONTH
 from ..functions.columns import lifetime_month as month_expr
 from ..functions.columns import q, row_sum, safe_div
-from ..plans.guards import HOT_KEY_ROWS, MAX_HOT_KEYS, is_bounded, materialize, salted_lookup_join
+from ..plans.guards import HOT_KEY_ROWS, hot_keys, materialize, salted_lookup_join
 from . import reshape
 
 # The nine spending categories of the labelled payments.
@@ -180,7 +180,7 @@ def month_day_window(start: int, end: int) -> tuple[int, int]:
     return lo, hi
 
 
-def _friend_window_counts(daily: DataFrame, queries: DataFrame, cats: list[str], salt: int) -> DataFrame:
+def _friend_window_counts(daily: DataFrame, queries: DataFrame, cats: list[str]) -> DataFrame:
     """``user, friend, <k>.., _all``: the friend's counts on days
     ``[lo, hi]`` of each query row (``user, friend, lo, hi``).
 
@@ -188,26 +188,20 @@ def _friend_window_counts(daily: DataFrame, queries: DataFrame, cats: list[str],
     friend's daily rows and the query bounds are unioned and ordered by day
     within ``(friend, salt)``; a running sum over the daily rows gives each
     bound its prefix count.  Friends with more window bounds than
-    ``HOT_KEY_ROWS`` (a bounded, broadcast list) are split: their daily rows
-    (at most one per active day) are repeated per salt and their bounds
-    spread over the salts by hash; every other friend stays in one partition
-    with nothing repeated.  If the hot list is too long, all friends are
-    salted."""
+    ``HOT_KEY_ROWS`` (a bounded, broadcast list) are split into as many parts
+    as their bounds ask for: their daily rows (at most one per active day) are
+    repeated per part and their bounds spread over the parts by hash; every
+    other friend stays in one partition with nothing repeated."""
     cols = cats + ["_all"]
-    hot = (queries.groupBy(F.col(FRIEND).alias("_hf")).agg((F.count(F.lit(1)) * 2).alias("_nq"))
-                  .where(F.col("_nq") > F.lit(HOT_KEY_ROWS)).select("_hf"))
-    everyone_hot = not is_bounded(hot, MAX_HOT_KEYS)
-    all_salts = F.sequence(F.lit(0), F.lit(salt - 1))
+    asked = queries.groupBy(F.col(FRIEND).alias("_qf")).agg((F.count(F.lit(1)) * 2).alias("_nq"))
+    hot = F.broadcast(hot_keys(asked, "_qf", "_nq", HOT_KEY_ROWS))
 
     def mark(df):
-        if everyone_hot:
-            return df.withColumn("_hot", F.lit(True))
-        marked = df.join(F.broadcast(hot), df["_f"] == F.col("_hf"), "left")
-        return marked.withColumn("_hot", F.col("_hf").isNotNull()).drop("_hf")
+        return df.join(hot, df["_f"] == F.col("_hot"), "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
 
     data = mark(daily.groupBy(F.col(USER).alias("_f"), F.col("day").alias("_x"))
                      .agg(*[F.sum(q(k)).alias(k) for k in cols]))
-    data = (data.withColumn("_salt", F.explode(F.when(F.col("_hot"), all_salts).otherwise(F.array(F.lit(0)))))
+    data = (data.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
                 .select("_f", "_x", *[q(k) for k in cols], F.lit(0).alias("_t"),
                         F.lit(None).cast("string").alias("_u"), F.lit(None).cast("int").alias("_b"), "_salt"))
     bounds = F.array(F.struct(F.lit(0).alias("b"), F.date_sub("lo", 1).alias("x")),
@@ -215,8 +209,7 @@ def _friend_window_counts(daily: DataFrame, queries: DataFrame, cats: list[str],
     qs = mark(queries.select(F.col(FRIEND).alias("_f"), F.col(USER).alias("_u"), F.explode(bounds).alias("_q")))
     qs = qs.select("_f", F.col("_q.x").alias("_x"), *[F.lit(0).cast("bigint").alias(k) for k in cols],
                    F.lit(1).alias("_t"), "_u", F.col("_q.b").alias("_b"),
-                   F.when(F.col("_hot"), F.pmod(F.xxhash64("_u", "_f"), F.lit(salt))).otherwise(F.lit(0))
-                    .alias("_salt"))
+                   F.pmod(F.xxhash64("_u", "_f"), F.col("_parts")).cast("int").alias("_salt"))
     w = (Window.partitionBy("_f", "_salt").orderBy("_x", "_t")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     run = (data.unionByName(qs)
@@ -255,7 +248,7 @@ def friend_shares_within_lifetime(edges: DataFrame, categories: Sequence[str] =
     own = (daily.join(pm, [USER, FRIEND])
                 .where(F.col("day").between(F.col("lo"), F.col("hi")))
                 .groupBy(USER, FRIEND).agg(*[F.sum(q(k)).alias("_o_" + k) for k in cats + ["_all"]]))
-    friend = _friend_window_counts(daily, pm, cats, salt)
+    friend = _friend_window_counts(daily, pm, cats)
     j = (pm.join(friend, [USER, FRIEND], "left").join(own, [USER, FRIEND], "left")
            .fillna(0, subset=cats + ["_all"] + ["_o_" + k for k in cats + ["_all"]]))
     other = {k: q(k) - F.col("_o_" + k) for k in cats}

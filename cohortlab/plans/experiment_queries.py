@@ -9,7 +9,7 @@ from ..operators import experiment as X
 from ..sources import views
 
 VARIABLES = ["income", "gender", "gamer"]
-PRICE = 37.5
+PRICE = 37.5                     # fixed value
 
 
 def _trial(spark, sf_dir):
@@ -93,6 +93,18 @@ ORACLE = {
                round((mean0 - mean1) / NULLIF(sqrt(((n0 - 1) * var0 + (n1 - 1) * var1) / NULLIF(n0 + n1 - 2, 0)
                      * (1.0 / n0 + 1.0 / n1)), 0), 6) AS t,
                n0 + n1 - 2 AS df FROM m""",
+    # The p-value by Simpson's rule over the density, 2000 steps from 0 to |t|.
+    "trial_ttest_verdict": _T + f""", m AS ({_TT}),
+        s AS (SELECT variable, n0 + n1 - 2 AS df,
+                     (mean0 - mean1) / NULLIF(sqrt(((n0 - 1) * var0 + (n1 - 1) * var1) / NULLIF(n0 + n1 - 2, 0)
+                     * (1.0 / n0 + 1.0 / n1)), 0) AS t FROM m),
+        area AS (SELECT variable, SUM(CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+                            * pow(1 + pow(t * i / 2000, 2) / df, -(df + 1) / 2.0)) * abs(t) / 6000
+                            * exp(lgamma((df + 1) / 2.0) - lgamma(df / 2.0)) / sqrt(df * pi()) AS half
+                 FROM s, range(0, 2001) g(i) GROUP BY variable, t, df),
+        p AS (SELECT variable, t, df, 1 - 2 * half AS p_value FROM s JOIN area USING (variable))
+        SELECT variable, round(t, 6) AS t, df, round(p_value, 6) AS p_value,
+               CASE WHEN p_value < 0.05 THEN '{X.REJECT}' WHEN p_value IS NOT NULL THEN '{X.KEEP}' END AS verdict FROM p""",
     "rate_by_segment": _T + "SELECT test, gender, gamer, round(AVG(purchase), 6) AS rate FROM trial GROUP BY 1, 2, 3",
     "rate_difference_all": _T + f"""SELECT {_r(_rate('test = 1'), 'test_rate')}, {_r(_rate('test = 0'), 'control_rate')},
         {_r(f"({_rate('test = 1')}) - ({_rate('test = 0')})", 'diff')},

@@ -9,13 +9,16 @@ import io
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when it has at most this many rows; the check is a
-# bounded scan (``limit(n + 1).count()``), never a full count.
+# A side is broadcast only when it has at most this many rows and bytes (as
+# JSON text).  The check takes rows until the bound is passed; it is never a
+# full count, and nothing is gathered in one task.
 DEFAULT_BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 
 
-def is_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    sizes = df.select(F.length(F.to_json(F.struct("*")))).take(max_rows + 1)
+    return len(sizes) <= max_rows and sum(n or 0 for (n,) in sizes) <= max_bytes
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -26,49 +29,57 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
 
 
 # A key with more rows than this on the large side of a lookup join is split
-# over ``buckets`` tasks; the list of such keys is broadcast only when it has
-# at most ``MAX_HOT_KEYS`` entries.
+# into tasks of about so many rows; the list of such keys has at most
+# ``MAX_HOT_KEYS`` entries.
 HOT_KEY_ROWS = 1_000_000
 MAX_HOT_KEYS = 100_000
 
 
+def hot_keys(per_key: DataFrame, key: str, count_col: str, hot_rows: int = HOT_KEY_ROWS,
+             max_keys: int = MAX_HOT_KEYS) -> DataFrame:
+    """``_hot, _parts``: the keys above ``hot_rows`` rows and into how many
+    parts each is split, ``ceil(rows / hot_rows)``.  Where the list would be
+    longer than ``max_keys``, the threshold is raised tenfold until it is not
+    (there are at most ``rows / hot_rows`` such keys)."""
+    while True:
+        hot = per_key.where(F.col(count_col) > F.lit(hot_rows)).select(
+            F.col(key).alias("_hot"), F.ceil(F.col(count_col) / F.lit(hot_rows)).cast("int").alias("_parts"))
+        if is_bounded(hot, max_keys):
+            return hot
+        hot_rows *= 10
+
+
 def salted_lookup_join(big: DataFrame, per_key: DataFrame, big_key: str, key: str,
                        how: str = "inner", buckets: int = 16,
                        salt_from: list[str] | None = None, count_col: str | None = None,
                        hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Join a large table to a table with one row per key, splitting hot keys.
 
-    A hot key's rows on the large side get a salt in ``[0, buckets)`` from a
-    hash of the ``salt_from`` columns, and its ``per_key`` row is repeated
-    once per salt, so a key holding a third of ``big`` is spread over
-    ``buckets`` tasks instead of one.
+    A hot key's rows on the large side get a salt from a hash of the
+    ``salt_from`` columns, and its ``per_key`` row is repeated once per salt.
 
     With ``count_col`` (the number of ``big`` rows per key, or an upper bound,
-    carried by ``per_key``) only keys above ``hot_rows`` are split: their list
-    is small by construction (at most ``rows / hot_rows`` keys), checked
-    against ``MAX_HOT_KEYS`` and broadcast; every other key joins unsalted and
-    nothing is replicated for it.  Without it (or when the list is too long)
+    carried by ``per_key``) only the keys of :func:`hot_keys` are split, each
+    into as many parts as its rows ask for; their list is broadcast, every
+    other key joins unsalted and nothing is replicated for it.  Without it
     every key is salted and ``per_key`` grows by ``buckets``.
+
+    Rows without a key match nothing and are spread by the hash alone.
     """
-    if buckets <= 1:
-        return big.join(per_key, big[big_key] == per_key[key], how)
-    salt_hash = F.pmod(F.xxhash64(*[F.col(c) for c in (salt_from or big.columns)]), F.lit(buckets))
-    all_salts = F.sequence(F.lit(0), F.lit(buckets - 1))
-    hot = None
+    row_hash = F.xxhash64(*[F.col(c) for c in (salt_from or big.columns)])
     if count_col is not None:
-        hot = per_key.where(F.col(count_col) > F.lit(hot_rows)).select(F.col(key).alias("_hot"))
-        if not is_bounded(hot, MAX_HOT_KEYS):
-            hot = None
-    if hot is not None:
-        marked = big.join(F.broadcast(hot), big[big_key] == F.col("_hot"), "left")
-        salted_big = (marked.withColumn("_salt", F.when(F.col("_hot").isNotNull(), salt_hash)
-                                                  .otherwise(F.lit(0)))
-                            .drop("_hot"))
-        reps = F.when(F.col(count_col) > F.lit(hot_rows), all_salts).otherwise(F.array(F.lit(0)))
-        salted_small = per_key.withColumn("_salt", F.explode(reps))
+        hot = F.broadcast(hot_keys(per_key, key, count_col, hot_rows))
+        marked = big.join(hot, big[big_key] == F.col("_hot"), "left")
+        salt = F.pmod(row_hash, F.coalesce("_parts", F.lit(1)))
+        small = per_key.join(hot, per_key[key] == F.col("_hot"), "left").withColumn(
+            "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1)).cast("bigint") - 1)))
+        salted_small = small.drop("_hot", "_parts")
+    elif buckets <= 1:
+        return big.join(per_key, big[big_key] == per_key[key], how)
     else:
-        salted_big = big.withColumn("_salt", salt_hash)
-        salted_small = per_key.withColumn("_salt", F.explode(all_salts))
+        marked, salt = big, F.pmod(row_hash, F.lit(buckets))
+        salted_small = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(buckets - 1).cast("bigint"))))
+    salted_big = marked.withColumn("_salt", F.when(marked[big_key].isNull(), row_hash).otherwise(salt)).drop("_hot", "_parts")
     cond = [salted_big[big_key] == salted_small[key], salted_big["_salt"] == salted_small["_salt"]]
     joined = salted_big.join(salted_small, cond, how)
     return joined.drop(salted_big["_salt"]).drop(salted_small["_salt"])

@@ -77,11 +77,10 @@ def q_mean_corr(spark, sf_dir):
 
 def q_csv_inferred_scan(spark, sf_dir):
     """Orders written as CSV to the shared folder, scanned back with a header
-    and inferred types, then aligned to the source schema."""
+    and inferred types, which are those of the values: keys that fit are ints."""
     src = files.read_table(spark, sf_dir, "orders")
     path = files.write_csv(src, shared_dir(spark, "csv-orders"))
-    back = files.read_csv(spark, path)
-    return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in src.schema.fields])
+    return files.read_csv(spark, path)
 
 
 def q_parquet_gzip_roundtrip(spark, sf_dir):
@@ -140,7 +139,8 @@ ORACLE = {
         SELECT country, round(correlation, 6) AS correlation FROM corr_g""",
     "mean_corr": _W("readings", "emissions_long") + f", {_YEARLY}, {_JOINED}, {_CORR}" + """
         SELECT round(AVG(correlation), 6) AS mean_correlation FROM corr_g""",
-    "csv_inferred_scan": "SELECT * FROM orders",
+    "csv_inferred_scan": """SELECT * REPLACE (CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey)
+        FROM orders""",
     "parquet_gzip_roundtrip": _W("readings") + """
         SELECT dt, country, round(value, 6) AS value FROM readings""",
 }

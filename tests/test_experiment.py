@@ -15,6 +15,10 @@ def test_t_tail_known_values():
     assert math.isclose(t_two_sided_p(0.0, 10), 1.0)
     assert math.isclose(t_two_sided_p(2.0, 10), 0.07338803477074, rel_tol=1e-9)
     assert math.isclose(t_two_sided_p(-2.0, 10), 0.07338803477074, rel_tol=1e-9)
+    for t in (0.3, 1.0, 7.0):          # closed forms of one and two degrees of freedom
+        assert math.isclose(t_two_sided_p(t, 1), 1 - 2 / math.pi * math.atan(t), rel_tol=1e-9)
+        assert math.isclose(t_two_sided_p(t, 2), 1 - t / math.sqrt(2 + t * t), rel_tol=1e-9)
+        assert math.isclose(t_two_sided_p(t, 1e12), math.erfc(t / math.sqrt(2)), rel_tol=1e-5)
 
 
 def test_ttest_matches_regression_on_arm(spark):

@@ -4,7 +4,7 @@ import os
 from pyspark.sql import functions as F
 
 from cohortlab.operators import persona as P
-from cohortlab.plans.guards import broadcast_if_bounded, materialize, plan_text, salted_lookup_join
+from cohortlab.plans.guards import broadcast_if_bounded, hot_keys, is_bounded, materialize, plan_text, salted_lookup_join
 from test_persona import CATS, SCHEMA, _brute, _close
 
 T0 = dt.datetime(2020, 1, 1)
@@ -85,6 +85,49 @@ def test_targeted_salting_splits_only_hot_keys(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def _task_rows(spark, hot, ordinary, nulls=0):
+    """Rows per task of a left lookup whose hot key has ``hot`` rows."""
+    rows = [("hot", i) for i in range(hot)] + [(f"k{i}", i) for i in range(ordinary)] + [(None, i) for i in range(nulls)]
+    big = spark.createDataFrame(rows, "k string, v long")
+    small = big.where("k is not null").groupBy(F.col("k").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+            "spark.sql.shuffle.partitions": "200"}
+    before = {c: spark.conf.get(c) for c in conf}
+    for c, v in conf.items():
+        spark.conf.set(c, v)
+    try:
+        j = salted_lookup_join(big, materialize(small, "unit-keys"), "k", "key", "left", count_col="n", hot_rows=500)
+        got = j.groupBy("k", F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert sum(r["count"] for r in got) == len(rows)
+    return {key: [r["count"] for r in got if r["k"] == key] for key in ("hot", None)}
+
+
+def test_hot_key_parts_grow_with_its_rows(spark):
+    few, many = _task_rows(spark, 2000, 300)["hot"], _task_rows(spark, 20000, 300)["hot"]
+    assert 3 <= len(few) <= 4 and len(many) >= 8 * len(few)
+    assert max(many) <= 3 * max(few)
+
+
+def test_rows_without_a_key_are_spread(spark):
+    nulls = _task_rows(spark, 600, 300, nulls=3000)[None]
+    assert len(nulls) > 100 and max(nulls) < 100
+
+
+def test_threshold_is_raised_until_the_hot_list_is_short(spark):
+    per_key = spark.range(100).select("id", (F.col("id") * 10).alias("n"))
+    assert hot_keys(per_key, "id", "n", 10, max_keys=1000).count() == 98
+    short = hot_keys(per_key, "id", "n", 10, max_keys=95).collect()
+    assert len(short) == 89 and max(r["_parts"] for r in short) == 10
+
+
+def test_broadcast_bound_counts_bytes(spark):
+    long = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("s"))
+    assert is_bounded(long, 10) and not is_bounded(long, 9) and not is_bounded(long, 10, max_bytes=5000)
+
+
 def test_within_lifetime_with_hub_matches_brute_force(spark):
     from test_persona import _brute_within
     rows = _hub_rows()
