@@ -18,9 +18,12 @@ CACHE_WORDS = 500_000            # words in each of the two generations a worker
 MAX_BROADCAST_RUNS = 200_000
 # How a tokenizer's file spells a run of punctuation; ASCII punctuation; letters and digits.
 PUNCTUATION_RUN = r"[^\\s\\p{L}\\p{N}]+"
+LETTER_RUN = r"[\\p{L}]+"
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 ALNUM = b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 
+LATIN_END = "\u0250"             # below it every letter is in normal form and no mark combines
+
 _workers: dict = {}
 
 
@@ -37,7 +40,11 @@ class WordIds:
     Where the tokenizer's own file says that it lowers case, words are told
     apart in lower case; where it says that runs of punctuation stand alone,
     those at a word's end are encoded apart from the rest.  Neither changes an
-    id: texts that may hold an added token are left as they are."""
+    id: texts that may hold an added token are left as they are.  Where the file
+    says that it only normalises and lowers, and that runs of letters stand
+    alone, a word of Latin small letters is one run that both steps leave as it
+    is: it goes to the tokenizer's model straight away, its bytes spelt as the
+    pre-tokenizer spells them."""
 
     def __init__(self, path: str):
         # one thread: the tasks of an executor already share its cores
@@ -49,6 +56,16 @@ class WordIds:
         self.added = [t["content"].encode().lower() for t in said.get("added_tokens") or []]
         self.lowers = "Lowercase" in json.dumps(said.get("normalizer"))
         self.cuts = PUNCTUATION_RUN in json.dumps(said.get("pre_tokenizer"))
+        split = said.get("pre_tokenizer") or {}
+        self.direct = (self.lowers and _kinds(said["normalizer"]) <= {"Sequence", "NFC", "Replace", "Lowercase"}
+                       and '"Regex": "\\\\s+"' in json.dumps(said["normalizer"])
+                       and LETTER_RUN in json.dumps(split) and _kinds(split) <= {"Sequence", "Split", "ByteLevel"}
+                       and '"add_prefix_space": true' not in json.dumps(split) and said["model"].get("dropout") is None)
+        self.spelling = {}
+        if self.direct:
+            self.tokenize = self.tokenizer.model.tokenize
+            spell = self.tokenizer.pre_tokenizer.pre_tokenize_str
+            self.spelling = {c: spell(chr(c))[0][0] for c in range(128, ord(LATIN_END)) if chr(c).isalpha()}
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -83,10 +100,15 @@ class WordIds:
         new = []
         for w in words:
             ids = self.old.get(w)
-            if ids is None:
+            if ids is not None:
+                self.young[w] = ids
+                continue
+            run = self._letters(w) if self.direct else None
+            if run is None:
                 new.append(w)
             else:
-                self.young[w] = ids
+                ids = [t.id for t in self.tokenize(run)]
+                self.young[w] = struct.pack(f"<{len(ids)}I", *ids)
         if new:
             coded = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
             for w, c in zip(new, coded):
@@ -94,6 +116,22 @@ class WordIds:
                 self.young[w] = struct.pack(f"<{len(ids)}I", *ids)
 
 
+    def _letters(self, word: bytes) -> str | None:
+        """A word of Latin small letters as the model reads it, else None."""
+        if word.isascii():
+            return word.decode() if word.isalpha() and word.islower() else None
+        text = word.decode("utf-8")
+        if text.isalpha() and max(text) < LATIN_END and text == text.lower():
+            return text.translate(self.spelling)
+        return None
+
+
+def _kinds(part: dict) -> set:
+    """Names of the steps in a part of a tokenizer's file."""
+    inner = part.get("normalizers") or part.get("pretokenizers") or []
+    return {part.get("type")}.union(*map(_kinds, inner))
+
+
 def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = 4096, end_id: int = 1,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` of every document's ids,

@@ -279,3 +279,15 @@ def test_surrogates(spark):
 def test_empty_table(spark, op):
     empty = spark.createDataFrame([], "doc_id long, text string, source string")
     assert op(empty).count() == 0
+
+
+def test_word_ids_equal_the_tokenizers_own():
+    """Every way a word takes: model alone, cut punctuation, added tokens, whole word."""
+    import struct
+    ids = packing.WordIds(packing.default_tokenizer())
+    assert ids.direct
+    texts = [chr(c) for c in range(33, 0x300)] + [f"a{chr(c)}b" for c in range(33, 0x300)]
+    texts += ["don't IT'S", "ΣΑΣ Σας", "été ÉtÉ", "ﬁn ſt 日本 ﷺ", "<|startoftext|>abc Abc", "x%%% 12ab...", ""]
+    for t in texts:
+        want = ids.tokenizer.encode(t, add_special_tokens=False).ids
+        assert ids(t) == struct.pack(f"<{len(want)}I", *want), t
