@@ -1,6 +1,6 @@
 """Exact Jaccard self-join of shingle sets by universe partition and pigeonhole.
 
-A set's tokens (hashed 4-word shingles) fall into segments of the hash
+A set's tokens (hashed word shingles) fall into segments of the hash
 universe.  Sets of a size band that link differ in at most H tokens, so
 
 * of H + 1 + slack segments at least 1 + slack are equal, or
@@ -30,8 +30,9 @@ from cohortlab.llm.common import partitions, text_of
 from cohortlab.llm.hubs import link_components
 from cohortlab.plans.guards import materialize
 
+# Of op4; callers with another contract give their own.
 NUM, DEN = 85, 100            # link when DEN * intersection >= NUM * union
-SHINGLE = 4
+SHINGLE = 4                   # words
 BAND = 1.35                   # sizes of a band: up to this factor
 SLICE = 1 << 22
 
@@ -86,11 +87,11 @@ def set_hashes(tokens: np.ndarray) -> tuple[int, int]:
 # --- allocation
 
 @lru_cache
-def bands(limit: int = 1 << 40) -> tuple[np.ndarray, np.ndarray]:
+def bands(num: int = NUM, den: int = DEN, limit: int = 1 << 40) -> tuple[np.ndarray, np.ndarray]:
     """First and last size of each band."""
     lows, highs, lo = [], [], 1
     while lo < limit:
-        hi = max(lo * DEN // NUM, int(lo * BAND))
+        hi = max(lo * den // num, int(lo * BAND))
         lows.append(lo)
         highs.append(hi)
         lo = hi + 1
@@ -98,13 +99,13 @@ def bands(limit: int = 1 << 40) -> tuple[np.ndarray, np.ndarray]:
 
 
 @lru_cache(maxsize=None)
-def allocation(band: int) -> tuple[int, int, bool]:
+def allocation(band: int, num: int = NUM, den: int = DEN) -> tuple[int, int, bool]:
     """``segments, slack, deletions`` of a band.  The cost of an allocation is
     its number of signatures and, weighed far higher, the share of sets that
     end up under a value which says nothing (a segment without tokens)."""
-    hi = int(bands()[1][band])
-    lo = int(bands()[0][band])
-    h = hi * (DEN - NUM) // NUM          # most tokens a linking pair can differ in
+    hi = int(bands(num, den)[1][band])
+    lo = int(bands(num, den)[0][band])
+    h = hi * (den - num) // num          # most tokens a linking pair can differ in
     if h == 0:
         return 0, 0, False               # only equal sets link, and those are one node
     n = (lo + hi) / 2
@@ -121,17 +122,17 @@ def allocation(band: int) -> tuple[int, int, bool]:
     return m, slack, False
 
 
-def signatures(tokens: np.ndarray) -> list[tuple[int, np.ndarray]]:
+def signatures(tokens: np.ndarray, num: int = NUM, den: int = DEN) -> list[tuple[int, np.ndarray]]:
     """``(scheme, values)``: under its own band's scheme, and under the band's
     below where a set there can be its partner."""
-    lows, highs = bands()
+    lows, highs = bands(num, den)
     n = len(tokens)
     own = int(np.searchsorted(highs, n))
     out = []
     for scheme in (own, own - 1):
-        if scheme < 0 or (scheme < own and n > int(highs[scheme]) * DEN // NUM):
+        if scheme < 0 or (scheme < own and n > int(highs[scheme]) * den // num):
             continue
-        m, _, deletions = allocation(scheme)
+        m, _, deletions = allocation(scheme, num, den)
         if not m:
             continue
         segment = ((tokens >> _u(40)) * _u(m)) >> _u(24)      # tokens ascend, so segments do
@@ -148,11 +149,11 @@ def signatures(tokens: np.ndarray) -> list[tuple[int, np.ndarray]]:
     return out
 
 
-def _sets():
+def _sets(size: int):
     def run(batches):
         for b in batches:
             ids, texts = b.column(0), b.column(1)
-            rows = [shingles(t.as_py()) for t in texts]
+            rows = [shingles(t.as_py(), size) for t in texts]
             hashes = [set_hashes(r) for r in rows]
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array([len(r) for r in rows], pa.int64()), pa.array([h[0] for h in hashes], pa.int64()),
@@ -160,7 +161,7 @@ def _sets():
     return run
 
 
-def _emit(parts: int):
+def _emit(parts: int, size: int, num: int, den: int):
     """Signatures dealt into ``parts`` by value, as packed arrays: a row per
     batch and part.  A set that the task has met already adds nothing."""
     def run(batches):
@@ -168,14 +169,14 @@ def _emit(parts: int):
         for b in batches:
             values, nodes, schemes = [], [], []
             for t in b.column(0):
-                tokens = shingles(t.as_py())
+                tokens = shingles(t.as_py(), size)
                 if not len(tokens):
                     continue
                 node = set_hashes(tokens)[0]
                 if node in met:
                     continue
                 met.add(node)
-                for scheme, v in signatures(tokens):
+                for scheme, v in signatures(tokens, num, den):
                     values.append(v)
                     nodes.append(np.full(len(v), node, np.int64))
                     schemes.append(np.full(len(v), scheme, np.uint8))
@@ -188,9 +189,10 @@ def _emit(parts: int):
 # --- the join
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3,
-                    small: int = 1000) -> DataFrame:
+                    small: int = 1000, size: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, n_equal, links``.
 
+    Sets of ``size``-word shingles link when ``den * intersection >= num * union``.
     ``component_id`` is the smallest doc_id reachable by links (null ids do
     not count; null where the component has no other), ``n_equal`` the number
     of documents with the same set, ``links`` the number of other sets that
@@ -200,14 +202,16 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A document without words links with nothing.  Null text is empty; repeated
     rows share a set and a component; an empty table gives no rows.
     """
+    if not 0 < size < len(_weights) or not den <= 2 * num <= 2 * den:
+        raise ValueError("shingles of 1 to 31 words, and a threshold from a half to 1")
     text = F.encode(text_of(text_col), "UTF-8")
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    rows = materialize(base.mapInArrow(_sets(), "doc_id long, n long, node long, check long"), "ngram-sets")
+    rows = materialize(base.mapInArrow(_sets(size), "doc_id long, n long, node long, check long"), "ngram-sets")
     clash = (rows.groupBy("node").agg(F.min("check").alias("lo"), F.max("check").alias("hi"), F.min("n").alias("a"), F.max("n").alias("z"))
              .where("lo <> hi or a <> z"))
     if not clash.isEmpty():
         raise RuntimeError("two different sets share a 64-bit hash; change the salt in set_hashes")
-    linked, degree = _links(base, rows, rounds, small)
+    linked, degree = _links(base, rows, rounds, small, size, num, den)
     nodes = (rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_equal"))
              .join(linked, "node", "left").withColumn("component", F.coalesce("component", "node")))
     nodes = materialize(nodes, "ngram-placed")
@@ -222,10 +226,11 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     F.coalesce("links", F.lit(0)).cast("long").alias("links")))
 
 
-def _links(base: DataFrame, rows: DataFrame, rounds: int, small: int) -> tuple[DataFrame, DataFrame]:
+def _links(base: DataFrame, rows: DataFrame, rounds: int, small: int, size: int, num: int,
+           den: int) -> tuple[DataFrame, DataFrame]:
     n = partitions(base)
-    dealt = base.select("text").mapInArrow(_emit(4 * n), packed.SCHEMA)
-    slack = F.element_at(F.array(*[F.lit(allocation(b)[1]) for b in range(len(bands()[0]))]), F.col("tag") + 1)
+    dealt = base.select("text").mapInArrow(_emit(4 * n, size, num, den), packed.SCHEMA)
+    slack = F.element_at(F.array(*[F.lit(allocation(b, num, den)[1]) for b in range(len(bands(num, den)[0]))]), F.col("tag") + 1)
     shared = materialize(packed.shared(dealt, n).withColumn("slack", slack), "ngram-shared")
     dear = Window.partitionBy("node", "tag").orderBy(F.col("cost").desc(), F.col("bucket"))
     buckets = materialize(shared.withColumn("r", F.row_number().over(dear)).where("r > slack")
@@ -235,21 +240,21 @@ def _links(base: DataFrame, rows: DataFrame, rounds: int, small: int) -> tuple[D
     reps = (rows.join(wanted, F.col("node") == F.col("_n"), "left_semi")
             .groupBy("node").agg(F.min("doc_id").alias("_d")))
     sets = (reps.join(base, F.col("_d").eqNullSafe(F.col("doc_id")))
-            .select("node", "text").mapInArrow(_own_arrays(), "node long, n long, body array<long>"))
+            .select("node", "text").mapInArrow(_own_arrays(size), "node long, n long, body array<long>"))
     sets = materialize(sets, "ngram-tokens")
     if sets.count() > sets.select("node").distinct().count():      # repeated rows gave a set twice
         sets = materialize(sets.dropDuplicates(["node"]), "ngram-tokens")
-    return link_components(buckets, sets, NUM, DEN, rounds, small)
+    return link_components(buckets, sets, num, den, rounds, small)
 
 
-def _own_arrays():
+def _own_arrays(size: int):
     """Tokens of the rows whose set is the node asked for (an id may stand for several texts)."""
     def run(batches):
         met = set()
         for b in batches:
             nodes, ns, rows = [], [], []
             for node, t in zip(b.column(0).to_pylist(), b.column(1)):
-                tokens = shingles(t.as_py())
+                tokens = shingles(t.as_py(), size)
                 if node in met or set_hashes(tokens)[0] != node:
                     continue
                 met.add(node)
@@ -262,10 +267,11 @@ def _own_arrays():
     return run
 
 
-def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
+                      num: int = NUM, den: int = DEN) -> DataFrame:
     """The rows of ``docs`` whose id names their component, columns as they
     were.  A component without any id keeps all its rows."""
-    keep = (join_components(docs, id_col, text_col)
+    keep = (join_components(docs, id_col, text_col, size=size, num=num, den=den)
             .where("component_id <=> doc_id").select(F.col("doc_id").alias("_keep")).distinct())
     row = docs.select(F.col(id_col).cast("long").alias("_id"), F.struct("*").alias("row"))
     return row.join(keep, F.col("_id").eqNullSafe(F.col("_keep")), "left_semi").select("row.*")

@@ -215,6 +215,35 @@ def test_ngram_join(spark, seed, small, rounds):
     assert key(tuple(r)[:3] for r in got) == key(want)
 
 
+def test_near_dedup_links_at_five_words(spark):
+    """One word changed in 50: 41 of 51 five-word shingles, but only 43 of 51 four-word ones."""
+    import corpus_pipeline
+    words = [f"w{i}" for i in range(50)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:25] + ["other"] + words[26:])),
+            (3, " ".join(words[:20] + ["x"] + words[21:30] + ["y"] + words[31:])), (4, "apart " * 3)]
+    df = frame(spark, rows)
+    assert key(r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()) == [1, 3, 4]
+    assert key(r.component_id for r in ngram_join.join_components(df).collect()) == [1, 2, 3, 4]
+
+
+def test_near_dedup_against_all_pairs(spark):
+    rnd, rows = random.Random(5), []
+    for _ in range(6):
+        base = [f"w{rnd.randrange(300)}" for _ in range(rnd.choice([6, 12, 30, 80]))]
+        for _ in range(15):
+            w = list(base)
+            for _ in range(rnd.choice([0, 1, 1, 2, 4])):
+                w[rnd.randrange(len(w))] = f"w{rnd.randrange(300)}"
+            rows.append((len(rows), " ".join(w)))
+    sets = [frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) for w in (t.split() for _, t in rows)]
+    least = list(range(len(rows)))
+    for _ in rows:
+        for i, a in enumerate(sets):
+            least[i] = min(least[j] for j, b in enumerate(sets) if 100 * len(a & b) >= 80 * len(a | b))
+    got = ngram_join.join_components(frame(spark, rows), size=5, num=80, den=100).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(least))
+
+
 @pytest.mark.parametrize("depth, alphabet, group", [(12, "ab", 20_000), (20, "abcdefé ", 3)])
 def test_repeats(spark, monkeypatch, depth, alphabet, group):
     monkeypatch.setattr(suffix, "MAX_GROUP", group)
