@@ -40,14 +40,16 @@ def host_rules(hosts: DataFrame, rules: tuple) -> DataFrame:
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-6,
-              max_steps: int = 50) -> DataFrame:
+              max_steps: int = 100) -> DataFrame:
     """Personalised PageRank for several personalisations at once:
-    ``kind, host, score``, each kind's scores adding up to 1.
+    ``kind, host, score``, where ``score = start + damping * inflow``.
 
     ``edges``: ``kind, src, dst, share`` (shares of a source add up to 1);
-    ``seeds``: ``kind, host, start`` (starts of a kind add up to 1).  Rank that
-    reaches a host without outward links returns to the seeds.  Every step is
-    one join and one sum over the host edges, written to the shared folder.
+    ``seeds``: ``kind, host, start``.  Scores are those of PageRank in units of
+    a seed of start 1 without inflow, whatever the number of seeds and hosts:
+    only what links to a host, near or far, moves its score.  Every step is
+    one join and one sum over the host edges, written to the shared folder;
+    steps end when no host's score moves by ``tolerance``.
     """
     edges = materialize(edges, "pagerank-edges")
     seeds = materialize(seeds, "pagerank-seeds")
@@ -58,32 +60,28 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, toleran
                 .agg(F.sum(F.col("score") * F.col("share")).alias("in")))
         both = (flow.join(seeds, ["kind", "host"], "full")
                 .join(rank.withColumnRenamed("score", "old"), ["kind", "host"], "full")
-                .select("kind", "host", F.coalesce("in", F.lit(0.0)).alias("in"),
-                        F.coalesce("start", F.lit(0.0)).alias("start"), F.coalesce("old", F.lit(0.0)).alias("old")))
+                .select("kind", "host", (F.lit(damping) * F.coalesce("in", F.lit(0.0))
+                                         + F.coalesce("start", F.lit(0.0))).alias("score"),
+                        F.coalesce("old", F.lit(0.0)).alias("old")))
         both = materialize(both, "pagerank-flow")
-        sent = {r["kind"]: r["s"] for r in both.groupBy("kind").agg(F.sum("in").alias("s")).collect()}  # a row per kind
-        if not sent:
-            return rank
-        back = F.lit(0.0)
-        for kind, s in sent.items():
-            back = F.when(F.col("kind") == kind, F.lit(1.0 - damping * s)).otherwise(back)
-        rank = both.select("kind", "host", (F.lit(damping) * F.col("in") + back * F.col("start")).alias("score"), "old")
-        moved = rank.agg(F.sum(F.abs(F.col("score") - F.col("old"))).alias("d")).first()["d"] or 0.0
-        rank = rank.select("kind", "host", "score")
+        moved = both.agg(F.max(F.abs(F.col("score") - F.col("old"))).alias("d")).first()["d"] or 0.0
+        rank = both.select("kind", "host", "score")
         if moved < tolerance:
             break
     return rank
 
 
-def judge_urls(pages: DataFrame, rules: tuple = RULES, least_distrust: float = 1e-4, damping: float = 0.85,
+def judge_urls(pages: DataFrame, rules: tuple = RULES, damping: float = 0.85,
                id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: ``page_id, host, path, rule, verdict, trust, distrust``.
 
     The longest rule that fits the url decides.  For the others trust flows
     from hosts with allowed pages along links, distrust from hosts with
     blocked pages against them (who links to the blocked is distrusted); a
-    host is blocked when its distrust is above its trust and at least
-    ``least_distrust``.  Seeds weigh by their number of pages.
+    host is blocked when its distrust is above its trust.  Each seed host
+    starts with the blocked, or allowed, share of its pages under a rule, and
+    both scores are in units of a host with all of them under one verdict, so
+    neither the number of hosts nor that of a host's pages counts.
 
     Null urls and urls without ``://`` have empty host and path, fit no rule
     and are allowed; null html has no links; repeated rows are judged alike;
@@ -99,14 +97,11 @@ def judge_urls(pages: DataFrame, rules: tuple = RULES, least_distrust: float = 1
         F.sum(F.when(F.col("r.verdict") == "block", F.col("pages")).otherwise(0)).alias("blocked"),
         F.max("fits").alias("fits"))
     judged = materialize(judged, "url-hosts")
-    kinds = F.explode(F.array(F.struct(F.lit("trust").alias("kind"), F.col("allowed").alias("n")),
-                              F.struct(F.lit("distrust").alias("kind"), F.col("blocked").alias("n"))))
-    seeds = judged.where("host <> ''").select("host", kinds.alias("s")).where("s.n > 0").select("s.kind", "host", "s.n")
-    totals = {r["kind"]: r["n"] for r in seeds.groupBy("kind").agg(F.sum("n").alias("n")).collect()}   # two rows
-    whole = F.lit(None).cast("double")
-    for kind, n in totals.items():
-        whole = F.when(F.col("kind") == kind, F.lit(float(n))).otherwise(whole)
-    seeds = seeds.select("kind", "host", (F.col("n") / whole).alias("start"))
+    ruled = F.col("allowed") + F.col("blocked")
+    kinds = F.explode(F.array(F.struct(F.lit("trust").alias("kind"), (F.col("allowed") / ruled).alias("start")),
+                              F.struct(F.lit("distrust").alias("kind"), (F.col("blocked") / ruled).alias("start"))))
+    seeds = (judged.where((F.col("host") != "") & (ruled > 0)).select("host", kinds.alias("s"))
+             .where("s.start > 0").select("s.kind", "host", "s.start"))
     to = F.explode(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(LINK), F.lit(1)))
     target = F.col("to")
     links = (pages.select(host_of(url).alias("src"), to.alias("to"))
@@ -126,7 +121,7 @@ def judge_urls(pages: DataFrame, rules: tuple = RULES, least_distrust: float = 1
     known = materialize(judged.select("host", "fits").join(score, "host", "left")
                         .select("host", "fits", F.coalesce("trust", F.lit(0.0)).alias("trust"),
                                 F.coalesce("distrust", F.lit(0.0)).alias("distrust")), "url-scores")
-    bad = (F.col("distrust") > F.col("trust")) & (F.col("distrust") >= least_distrust)
+    bad = F.col("distrust") > F.col("trust") * (1 + 1e-9)      # equal but for the order of a sum
     # one row per host: the lookup splits a hot host's pages (AQE) or is sent whole when small
     return (urls.join(known, "host").withColumn("r", rule)
             .select("page_id", "host", "path", F.col("r.rule").alias("rule"),

@@ -283,6 +283,24 @@ def test_urls(spark):
         (9, "example.com", "/de/", "example.com/de/", "block"), (9, "example.com", "/de/", "example.com/de/", "block")])
 
 
+def test_url_verdicts_do_not_depend_on_the_size_of_the_web(spark):
+    """Blocked hosts, one of them hot, with an open page each; a host that links to the blocked and one that the allowed link to."""
+    rules = (("bad", "/x", "block"), ("good", "/x", "allow"))
+
+    def judge(hosts):
+        rows = [(i, f"http://h{i}.bad/x", None) for i in range(hosts)] + [(hosts + i, f"http://h{i}.bad/open", None) for i in range(hosts)]
+        rows += [(-1, "http://h1.bad/x", None)] * 3 * hosts
+        rows += [(-2, "http://friend.org/", "<a href='http://h1.bad/x'>"), (-3, "http://known.org/", None),
+                 (-4, "http://a.good/x", "<a href='http://known.org/'>"), (-5, "http://far.org/", "<a href='//friend.org'>")]
+        pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+        return {(r.host, r.path): (r.verdict, round(r.trust, 9), round(r.distrust, 9)) for r in links.judge_urls(pages, rules).collect()}
+    small, large = judge(3), judge(12_000)
+    assert {v[0] for k, v in large.items() if k[0].endswith(".bad")} == {"block"}
+    assert all(large[k] == v for k, v in small.items())
+    assert large["friend.org", "/"] == ("block", 0.0, 0.85) and large["known.org", "/"][:2] == ("allow", 0.85)
+    assert large["far.org", "/"] == ("block", 0.0, 0.7225)
+
+
 def test_near_lines(spark):
     rows = [(1, "The quick brown fox jumps over the lazy dog today.\n\nshort"), (2, "the  QUICK brown fox jumps over the lazy dog today!\nsomething else"),
             (3, None), (None, "short\nsomething else!"), (2, "the  QUICK brown fox jumps over the lazy dog today!\nsomething else")]
