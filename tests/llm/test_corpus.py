@@ -64,6 +64,35 @@ def test_quality(spark):
     assert got[21].kept and not got[20].kept and not got[1].kept and not got[23].kept
 
 
+def test_quality_bands():
+    """Prose of several lengths and scripts passes; with 30 to 49 % of one line, or of random letters, it does not."""
+    import string
+    import pyarrow.parquet as pq
+    import zstandard
+    bands, compressor, rnd = quality.Bands(), zstandard.ZstdCompressor(level=3), random.Random(3)
+
+    def verdict(text):
+        m = quality.measure(text, bands, compressor)
+        return not m[8], m[9]
+    assert bands.bad_chunk_share < 0.25
+    letters = string.ascii_lowercase
+    cyrillic = str.maketrans(letters + letters.upper(), "абцдефгхийклмнопярстувжьыз" + "АБЦДЕФГХИЙКЛМНОПЯРСТУВЖЬЫЗ")
+    texts = [t for t in pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].to_pylist() if verdict(t)[0]]
+    assert all(verdict(t)[1] and verdict(t.translate(cyrillic))[1] for t in texts)
+    long = [t for t in texts if 6000 < len(t.encode()) < 40_000][:40]
+    assert len(long) > 20
+    for part, most in ((0.3, 2), (0.4, 0), (0.46, 0)):
+        kept = []
+        for t in long:
+            size = int(len(t) * part / (1 - part))
+            line = " ".join(t.split()[:10]) + "\n"
+            noise = "".join(rnd.choices(string.ascii_letters + string.digits + "+/", k=size))
+            for x in (t + "\n" + (line * (size // len(line) + 1))[:size], t + " " + noise, noise + " " + t):
+                base, good = verdict(x)
+                kept.append(base and good)
+        assert sum(kept) <= most, (part, sum(kept))
+
+
 def test_mix(spark):
     rnd = random.Random(5)
     rows = [(i, f"s{'aabcdefg'[rnd.randrange(8)]}" if i % 11 else None, " ".join(["w"] * int(rnd.paretovariate(1.1) * 5))) for i in range(600)]
