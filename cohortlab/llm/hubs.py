@@ -12,29 +12,37 @@ remaining pairs across components are all verified.  Buckets of up to ``FEW``
 members need no hub: their pairs are verified at the end, where components
 still differ.  No pair that shares a bucket and links is lost: it ends in one
 component.
+
+Links inside a component are then counted exactly by :func:`link_counts`: its
+members, in order of size, are cut into blocks of bounded length, and every two
+blocks whose sizes allow a link are compared as matrices in one row of a task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import components
+from cohortlab.llm.common import components, range_ranked
 from cohortlab.plans.guards import materialize
 
 FEW = 6       # at most 2.5 pairs per member
+MEMBERS = 128             # of a block
+BLOCK_TOKENS = 1 << 15    # of a block of several members, about
+WIDTH = 4096              # tokens that are compared at a time
 
 
 def link_components(buckets: DataFrame, sets: DataFrame, num: int, den: int, rounds: int = 3, small: int = 1000,
-                    expand: Callable[[Column], Column] = lambda c: c) -> tuple[DataFrame, DataFrame]:
+                    expand: Callable[[Column], Column] = lambda c: c) -> DataFrame:
     """``buckets``: ``bucket, node``; ``sets``: ``node, n, body`` with one row
     per node, where ``expand(body)`` is the array of the set's ``n`` tokens.
     Sets link when ``den * intersection >= num * union``.
 
-    Returns ``node, component`` for all nodes of ``buckets`` and ``node, links``
-    (links that were verified on the way).
+    Returns ``node, component`` for all nodes of ``buckets``.
     """
     score = materialize(buckets.groupBy("node").agg(F.count("*").alias("score")), "link-scores")
     part = score.select("node", F.col("node").alias("component"))
@@ -81,9 +89,96 @@ def link_components(buckets: DataFrame, sets: DataFrame, num: int, den: int, rou
     one = apart.select("bucket", F.col("node").alias("a"), F.col("component").alias("ca"))
     two = apart.select("bucket", F.col("node").alias("b"), F.col("component").alias("cb"))
     _, part = join_up(one.join(two, "bucket").where("a < b and ca <> cb").select("a", "b").distinct())
-    degree = (links.select("a", "b").union(links.select("b", "a")).distinct()
-              .groupBy(F.col("a").alias("node")).agg(F.count("*").alias("links")))
-    return part, degree
+    return part
+
+
+def link_counts(part: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """``node, links``: with how many sets of its component a set links, for
+    all nodes of components of two or more.  ``part``: ``node, component``;
+    ``sets``: ``node, n, body`` with the array of ``n`` tokens.
+
+    Every two members of a component whose sizes allow a link are compared on
+    the whole sets, in blocks, so no row stands for a pair of members."""
+    several = materialize(part.groupBy("component").agg(F.count("*").alias("_m")).where("_m > 1").select("component"),
+                          "count-components")
+    members = part.join(several, "component").join(sets.select("node", "n"), "node")
+    ranked = range_ranked(members, ["component", "n", "node"], "count-members")
+    level = F.floor(F.log2(F.col("n").cast("double")))
+    most = F.greatest(F.lit(1), F.least(F.lit(MEMBERS), F.floor(F.lit(float(BLOCK_TOKENS)) / F.pow(F.lit(2.0), level)))).cast("long")
+    # blocks of a component in order of size: by power of two, then by rank
+    place = F.struct(level.alias("level"), F.floor(F.col("rank") / most).alias("at"))
+    blocks = (ranked.select("node", "component", place.alias("block"))
+              .join(sets, "node").groupBy("component", "block")
+              .agg(F.min("n").alias("lo"), F.max("n").alias("hi"),
+                   F.collect_list(F.struct("node", "n", "body")).alias("x")))       # at most MEMBERS
+    blocks = materialize(blocks, "count-blocks")
+    one = blocks.select("component", F.col("block").alias("b1"), "hi")
+    two = blocks.select("component", F.col("block").alias("b2"), F.col("lo").alias("lo2"))
+    pairs = materialize(one.join(two, "component").where((F.col("b1") < F.col("b2")) & (F.col("hi") * den >= F.col("lo2") * num))
+                        .select("component", "b1", "b2"), "count-pairs")
+    left = blocks.select("component", F.col("block").alias("b1"), "x")
+    right = blocks.select("component", F.col("block").alias("b2"), F.col("x").alias("y"))
+    across = pairs.join(left, ["component", "b1"]).join(right, ["component", "b2"]).select("x", "y")
+    within = blocks.select("x").mapInArrow(_count_links(num, den), "node long, links long")
+    counted = within.unionByName(across.mapInArrow(_count_links(num, den), "node long, links long"))
+    return counted.groupBy("node").agg(F.sum("links").alias("links"))
+
+
+def _members(cell) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes, sizes, and the member and value of every token of a block."""
+    rows = cell.values
+    body = rows.field("body")
+    edges = body.offsets.to_numpy()
+    member = np.repeat(np.arange(len(rows)), np.diff(edges))
+    return (rows.field("node").to_numpy(), rows.field("n").to_numpy(), member,
+            body.values.to_numpy()[edges[0]:edges[-1]])
+
+
+def _count_links(num: int, den: int):
+    """Links of each member of a block with the others, or, given a second
+    block, of the members of each with those of the other."""
+    def matrix(member, column, rows, at, width):
+        first, last = np.searchsorted(column, (at, at + width))
+        out = np.zeros((rows, width), np.float32)
+        out[member[first:last], column[first:last] - at] = 1
+        return out
+
+    def by_column(member, token, vocabulary):
+        spot = np.minimum(np.searchsorted(vocabulary, token), len(vocabulary) - 1)
+        held = vocabulary[spot] == token
+        order = np.argsort(spot[held], kind="stable")
+        return member[held][order], spot[held][order]
+
+    def linked(x, y):
+        both = np.zeros((len(x[0]), len(y[0])), np.int64)
+        vocabulary = np.intersect1d(x[3], y[3])
+        if len(vocabulary):
+            mx, cx = by_column(x[2], x[3], vocabulary)
+            my, cy = (mx, cx) if x is y else by_column(y[2], y[3], vocabulary)
+            for at in range(0, len(vocabulary), WIDTH):
+                width = min(WIDTH, len(vocabulary) - at)
+                one = matrix(mx, cx, len(x[0]), at, width)
+                two = one if x is y else matrix(my, cy, len(y[0]), at, width)
+                both += (one @ two.T).astype(np.int64)
+        return both * den >= (x[1][:, None] + y[1][None, :] - both) * num
+
+    def run(batches):
+        for b in batches:
+            nodes, counts = [], []
+            for i in range(b.num_rows):
+                x = _members(b.column(0)[i])
+                if b.num_columns == 1:
+                    nodes.append(x[0])
+                    counts.append(linked(x, x).sum(axis=1) - 1)
+                    continue
+                y = _members(b.column(1)[i])
+                link = linked(x, y)
+                nodes += [x[0], y[0]]
+                counts += [link.sum(axis=1), link.sum(axis=0)]
+            if nodes:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(nodes)), pa.array(np.concatenate(counts).astype(np.int64))],
+                                                 names=["node", "links"])
+    return run
 
 
 def _hubs(buckets: DataFrame, score: DataFrame) -> DataFrame:

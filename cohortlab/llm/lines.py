@@ -177,7 +177,7 @@ def near_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bodies = materialize(bodies, "line-texts")
     if bodies.count() > bodies.select("node").distinct().count():
         bodies = materialize(bodies.dropDuplicates(["node"]), "line-texts")
-    part, _ = link_components(buckets, bodies, NUM, DEN, rounds, small, _expand)
+    part = link_components(buckets, bodies, NUM, DEN, rounds, small, _expand)
     placed = nodes.join(part, "node", "left").select(
         "node", "first", F.coalesce("component", "node").alias("component"))
     placed = materialize(placed, "line-placed")

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from cohortlab.llm import packed, rolling
 from cohortlab.llm.common import partitions, text_of
-from cohortlab.llm.hubs import link_components
+from cohortlab.llm.hubs import link_components, link_counts
 from cohortlab.plans.guards import materialize
 
 # Of op4; callers with another contract give their own.
@@ -196,12 +196,27 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``component_id`` is the smallest doc_id reachable by links (null ids do
     not count; null where the component has no other), ``n_equal`` the number
     of documents with the same set, ``links`` the number of other sets that
-    were verified to link with the document's (the component is complete;
-    this number counts the links that were needed to show it).
+    link with the document's.
 
     A document without words links with nothing.  Null text is empty; repeated
     rows share a set and a component; an empty table gives no rows.
     """
+    rows, linked, sets = _linked(docs, id_col, text_col, rounds, small, size, num, den)
+    degree = link_counts(linked, sets, num, den)
+    nodes = _named(rows, linked).join(degree, "node", "left")
+    known = materialize(nodes.select(F.col("node").alias("_node"), "component_id", "n_equal",
+                                     F.coalesce("links", F.lit(0)).cast("long").alias("links")), "ngram-nodes")
+    return (rows.join(known, (F.col("node") == F.col("_node")) & (F.col("n") > 0), "left")
+            .select("doc_id", F.col("n").alias("n_shingles"),
+                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+                    F.coalesce("n_equal", F.lit(1)).cast("long").alias("n_equal"),
+                    F.coalesce("links", F.lit(0)).cast("long").alias("links")))
+
+
+def _linked(docs: DataFrame, id_col: str, text_col: str, rounds: int, small: int, size: int, num: int,
+            den: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``doc_id, n, node`` of every row, ``node, component`` of the sets that
+    share a value with another, and those sets."""
     if not 0 < size < len(_weights) or not den <= 2 * num <= 2 * den:
         raise ValueError("shingles of 1 to 31 words, and a threshold from a half to 1")
     text = F.encode(text_of(text_col), "UTF-8")
@@ -211,19 +226,17 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .where("lo <> hi or a <> z"))
     if not clash.isEmpty():
         raise RuntimeError("two different sets share a 64-bit hash; change the salt in set_hashes")
-    linked, degree = _links(base, rows, rounds, small, size, num, den)
+    linked, sets = _links(base, rows, rounds, small, size, num, den)
+    return rows, linked, sets
+
+
+def _named(rows: DataFrame, linked: DataFrame) -> DataFrame:
+    """``node, component_id, n_equal`` of the sets with words."""
     nodes = (rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_equal"))
              .join(linked, "node", "left").withColumn("component", F.coalesce("component", "node")))
     nodes = materialize(nodes, "ngram-placed")
     named = materialize(nodes.groupBy("component").agg(F.min("least").alias("component_id")), "ngram-named")
-    known = materialize(nodes.join(named, "component").join(degree, "node", "left")
-                        .select(F.col("node").alias("_node"), "component_id", "n_equal",
-                                F.coalesce("links", F.lit(0)).cast("long").alias("links")), "ngram-nodes")
-    return (rows.join(known, (F.col("node") == F.col("_node")) & (F.col("n") > 0), "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-                    F.coalesce("n_equal", F.lit(1)).cast("long").alias("n_equal"),
-                    F.coalesce("links", F.lit(0)).cast("long").alias("links")))
+    return nodes.join(named, "component").select("node", "component_id", "n_equal")
 
 
 def _links(base: DataFrame, rows: DataFrame, rounds: int, small: int, size: int, num: int,
@@ -244,7 +257,7 @@ def _links(base: DataFrame, rows: DataFrame, rounds: int, small: int, size: int,
     sets = materialize(sets, "ngram-tokens")
     if sets.count() > sets.select("node").distinct().count():      # repeated rows gave a set twice
         sets = materialize(sets.dropDuplicates(["node"]), "ngram-tokens")
-    return link_components(buckets, sets, num, den, rounds, small)
+    return link_components(buckets, sets, num, den, rounds, small), sets
 
 
 def _own_arrays(size: int):
@@ -271,7 +284,10 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                       num: int = NUM, den: int = DEN) -> DataFrame:
     """The rows of ``docs`` whose id names their component, columns as they
     were.  A component without any id keeps all its rows."""
-    keep = (join_components(docs, id_col, text_col, size=size, num=num, den=den)
-            .where("component_id <=> doc_id").select(F.col("doc_id").alias("_keep")).distinct())
+    rows, linked, _ = _linked(docs, id_col, text_col, 3, 1000, size, num, den)
+    named = _named(rows, linked).select(F.col("node").alias("_node"), "component_id")
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    keep = (rows.join(named, (F.col("node") == F.col("_node")) & (F.col("n") > 0), "left")
+            .where(component.eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_keep")).distinct())
     row = docs.select(F.col(id_col).cast("long").alias("_id"), F.struct("*").alias("row"))
     return row.join(keep, F.col("_id").eqNullSafe(F.col("_keep")), "left_semi").select("row.*")

@@ -244,6 +244,27 @@ def test_ngram_join(spark, seed, small, rounds):
     assert key(tuple(r)[:3] for r in got) == key(want)
 
 
+@pytest.mark.parametrize("members", [128, 4])
+def test_ngram_links_are_all_counted(spark, monkeypatch, members):
+    from cohortlab.llm import hubs
+    monkeypatch.setattr(hubs, "MEMBERS", members)
+    monkeypatch.setattr(hubs, "BLOCK_TOKENS", 128 * members)
+    rnd, rows = random.Random(7), []
+    for size, copies in ((150, 40), (30, 12), (200, 5), (9, 3)):
+        base = [f"w{rnd.randrange(900)}" for _ in range(size)]
+        for _ in range(copies):
+            w = list(base)
+            for _ in range(rnd.choice([0, 1, 1, 2])):
+                w[rnd.randrange(len(w))] = f"w{rnd.randrange(900)}"
+            rows.append((len(rows), " ".join(w + [f"end{rnd.randrange(900)}"] * rnd.randrange(4))))
+    rows += [(d and d + 1000, t) for d, t in ODD]
+    sets = {shingles(t) for _, t in rows if shingles(t)}
+    links = {a: sum(100 * len(a & b) >= 85 * len(a | b) for b in sets) - 1 for a in sets}
+    got = ngram_join.join_components(frame(spark, rows)).collect()
+    assert key((r.doc_id, r.links) for r in got) == key((d, links.get(shingles(t), 0)) for d, t in rows)
+    assert max(links.values()) > 20
+
+
 def test_near_dedup_links_at_five_words(spark):
     """One word changed in 50: 41 of 51 five-word shingles, but only 43 of 51 four-word ones."""
     import corpus_pipeline
