@@ -20,6 +20,8 @@ from cohortlab.plans.guards import materialize
 
 MALE = ("Mr", "Sir", "Herr", "Señor", "Sr", "Monsieur", "Signor", "Господин", "Κύριος")
 FEMALE = ("Mrs", "Ms", "Miss", "Madam", "Frau", "Señora", "Sra", "Señorita", "Madame", "Mme", "Signora", "Госпожа", "Κυρία")
+NEUTRAL = ("Dr", "Doctor", "Doktor", "Prof", "Professor", "Mx", "Dott", "Доктор", "Профессор")
+TITLE = rf"(?:{'|'.join(MALE + FEMALE + NEUTRAL)})\.?\x20"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _WORD = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)*"
 # Tried in this order; the first that fits the mention is its kind.
@@ -27,14 +29,19 @@ KINDS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z]{4})?(?:\x20?[0-9]{4}){2,6}(?:\x20?[0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?[0-9])",
-    "card": r"(?<![0-9])[0-9]{4}(?:[\x20-]?[0-9]{4}){3}(?![0-9])",
+    "card": r"(?<![0-9])(?:[0-9]{4}(?:[\x20-]?[0-9]{4}){3}(?:[\x20-]?[0-9]{1,3})?|3[47][0-9]{2}[\x20-]?[0-9]{6}[\x20-]?[0-9]{5}"
+            r"|3[0689][0-9]{2}[\x20-]?[0-9]{6}[\x20-]?[0-9]{4}|(?:2131|1800)[0-9]{11}|4[0-9]{12})(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[\x20.-]?)?\([0-9]{2,4}\)[\x20.-]?[0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9])"
              r"|(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[\x20.-][0-9]{2,4}){2,5}(?![0-9])"
              r"|(?<![0-9.-])[0-9]{3}[-.][0-9]{3}[-.][0-9]{4}(?![0-9])",
-    "name": rf"(?<!\p{{L}})(?:{'|'.join(MALE + FEMALE)})\.?\x20(?:{_WORD}\x20){{0,2}}{_WORD}",
+    "name": rf"(?<!\p{{L}})(?:{TITLE}){{1,3}}(?:{_WORD}\x20){{0,2}}{_WORD}",
 }
 EVERY = "|".join(f"(?:{r})" for r in KINDS.values())
+# In texts with names also every other capitalised word, but for those in a mail address.
+BARE = r"(?<![\p{L}\p{N}])\p{Lu}\p{L}++(?:-\p{Lu}\p{L}++)*+(?![\p{N}]|[\p{L}\p{N}._%+-]*@)"
+EVERY_WORD = rf"{EVERY}|(?:{BARE})"
+NAMES = ("given_m", "given_f", "given", "surname")
 # Without an @ there is no mail address, and all else starts with one of these.
 NO_MAIL = r"(?=[0-9+(\p{Lu}])(?:" + "|".join(f"(?:{r})" for k, r in KINDS.items() if k != "email") + ")"
 
@@ -113,19 +120,29 @@ def _parts(raw: Column) -> Column:
         return F.rlike(raw, F.lit(f"^(?:{KINDS[kind]})$"))
 
     digits = F.regexp_replace(raw, "[^0-9]", "")
-    valid = F.substring(digits, 16, 1) == luhn_digit(F.substring(digits, 1, 15))
-    words = F.split(cut(r"^\S+\x20(.*)$", 1), " ")
-    given = F.when(cut(r"^(\p{L}+)", 1).isin(*MALE), "given_m").otherwise("given_f")
+
+    def valid(number):
+        return (F.substring(number, F.length(number), F.lit(1))
+                == luhn_digit(F.substring(number, F.lit(1), F.length(number) - 1)))
+
+    first16 = r"^([0-9]{4}(?:[\x20-]?[0-9]{4}){3})(.*)$"           # a check code may follow
+    titles = cut(rf"^((?:{TITLE})+)", 1)
+    words = F.split(F.substring(raw, F.length(titles) + 1, F.length(raw)), " ")
+    given = (F.when(F.rlike(titles, F.lit(rf"(?<!\p{{L}})(?:{'|'.join(MALE)})(?!\p{{L}})")), "given_m")
+             .when(F.rlike(titles, F.lit(rf"(?<!\p{{L}})(?:{'|'.join(FEMALE)})(?!\p{{L}})")), "given_f").otherwise("given"))
     named = F.transform(words, lambda w, i: part(F.concat(F.lit(" "), w),
                                                  F.when(i == F.size(words) - 1, F.lit("surname")).otherwise(given)))
     mail = r"^([^@]+)(@)(.*)(\.[A-Za-z]+)$"
     return (F.when(fits("email"), F.array(part(cut(mail, 1), "mail_user"), stays(cut(mail, 2)), part(cut(mail, 3), "mail_host"), stays(cut(mail, 4))))
             .when(fits("iban"), F.array(stays(F.substring(raw, 1, 2)), part(F.substring(raw, F.lit(3), F.length(raw)), "iban")))
             .when(fits("ip"), F.array(part(raw, "ip", raw)))
-            .when(fits("card"), F.when(valid, F.array(part(raw, "card"))).otherwise(F.array(stays(raw))))
+            .when(fits("card"), F.when(valid(digits), F.array(part(raw, "card")))
+                  .when((F.length(digits) > 16) & valid(F.substring(digits, 1, 16)), F.array(part(cut(first16, 1), "card"), stays(cut(first16, 2))))
+                  .otherwise(F.array(stays(raw))))
             .when(fits("ssn"), F.array(part(raw, "ssn")))
             .when(fits("phone"), F.array(stays(cut(r"^(\+[0-9]{1,3})?", 1)), part(F.regexp_replace(raw, r"^\+[0-9]{1,3}", ""), "phone")))
-            .when(fits("name"), F.concat(F.array(stays(cut(r"^(\S+)", 1))), named))
+            .when(fits("name"), F.concat(F.array(stays(F.rtrim(titles))), named))
+            .when(F.rlike(raw, F.lit(f"^(?:{BARE})$")), F.array(part(raw, "bare")))
             .otherwise(F.array(stays(raw))))
 
 
@@ -159,26 +176,46 @@ def replace_entities(docs: DataFrame, key: str = "public-demo-key", id_col: str
     entity replaced.
 
     Kinds: mail addresses, IBANs, IPv4 addresses, card numbers with a valid
-    check digit, social security numbers, telephone numbers, and names after a
-    title.  The same key gives the same surrogates.  Null text becomes empty;
+    check digit, social security numbers, telephone numbers, and names: after a
+    title, and each word of such a name wherever else the same text has it
+    capitalised.  The same key gives the same surrogates.  Null text becomes empty;
     null and repeated ids and repeated rows are treated each; an empty table
     gives no rows.
     """
     base = keyed(docs, id_col, text_col)
     found = F.when(F.contains("text", F.lit("@")), F.regexp_extract_all("text", F.lit(EVERY), F.lit(0))).otherwise(
         F.regexp_extract_all("text", F.lit(NO_MAIL), F.lit(0)))
-    mentions = (base.select("doc_id", "k", F.posexplode(found).alias("i", "mention"))
+
+    def cut_up(rows, found):
+        return (rows.select("doc_id", "k", F.posexplode(found).alias("i", "mention"))
                 .select("doc_id", "k", "i", F.posexplode(_parts(F.col("mention"))).alias("j", "part"))
                 .select("doc_id", "k", "i", "j", "part.*"))
-    mentions = materialize(mentions, "pii-mentions")
+    mentions = materialize(cut_up(base, found), "pii-mentions")
+    # a text's names: each word by its first mention, those of known gender before others
+    names = materialize(mentions.where(F.col("kind").isin(*NAMES)).groupBy("doc_id", "k", "value")
+                        .agg(F.min(F.struct((F.col("kind") == "given").alias("n"), "i", "j", "kind")).alias("first"))
+                        .select("doc_id", "k", "value", F.col("first.kind").alias("name_kind")), "pii-names")
+    named = materialize(names.select("doc_id", "k").distinct(), "pii-named")
+    words = materialize(cut_up(join_rows(base, named, "left_semi").select("doc_id", "k", "text"),
+                               F.regexp_extract_all("text", F.lit(EVERY_WORD), F.lit(0))), "pii-words")
+    again = names.select(F.col("doc_id").alias("_d"), F.col("k").alias("_k"), F.col("value").alias("_v"), "name_kind")
+    looked_up = F.col("kind").isin("bare", "given")
+    words = (words.join(again, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("k") == F.col("_k")) & (F.col("value") == F.col("_v")), "left")
+             .withColumn("kind", F.when(looked_up, F.col("name_kind")).otherwise(F.col("kind")))
+             .select("doc_id", "k", "i", "j", "raw", "kind", "value"))
+    other = named.select(F.col("doc_id").alias("_d"), F.col("k").alias("_k"))
+    mentions = mentions.join(other, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("k") == F.col("_k")), "left_anti")
+    mentions = materialize(mentions.unionByName(words), "pii-mentions")
     table = surrogate_table(mentions.where("kind is not null").select("kind", "value"), key)
     drawn = (mentions.join(table, ["kind", "value"], "left")
              .withColumn("out", F.when(F.col("surrogate").isNull(), F.col("raw"))
                          .when(F.col("kind") == "ip", F.col("surrogate")).otherwise(overlay(F.col("raw"), F.col("surrogate")))))
     per_text = (drawn.groupBy("doc_id", "k")
                 .agg(F.sort_array(F.collect_set(F.struct("i", "j", "out", "kind"))).alias("parts")))      # a text's own mentions
-    joined = join_rows(base, per_text, "left").withColumn(
-        "gaps", F.when(F.col("parts").isNotNull(), F.split("text", EVERY, -1)))
+    flagged = per_text.join(named.select(F.col("doc_id").alias("_d"), F.col("k").alias("_k"), F.lit(True).alias("named")),
+                            F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("k") == F.col("_k")), "left").drop("_d", "_k")
+    joined = join_rows(base, flagged, "left").withColumn(
+        "gaps", F.when(F.col("named"), F.split("text", EVERY_WORD, -1)).when(F.col("parts").isNotNull(), F.split("text", EVERY, -1)))
     count = F.size(F.array_distinct(F.transform(F.filter("parts", lambda p: p["kind"].isNotNull()), lambda p: p["i"])))
     return joined.select("doc_id", F.when(F.col("parts").isNull(), 0).otherwise(count).cast("long").alias("n_entities"),
                          F.when(F.col("parts").isNull(), F.col("text")).otherwise(_rebuilt()).alias("text"))

@@ -371,6 +371,21 @@ def test_surrogates(spark):
     assert got[6].text == "long " * 3000 and got[1].text == "" and got[50].n_entities == 4
 
 
+def test_names_found_once_are_replaced_everywhere(spark):
+    rows = [(1, "Mr John Smith came. SMITH said that John's Smithy, and Smith again; John.Smith@mail.example.com"),
+            (2, "Smith is not named here, nor John"), (None, "Prof. Dr. Anna Meier; Frau Anna Meier (Anna, Meier)"),
+            (4, "378282246310005 and 3782 822463 10005, 6304000000000000000, 4111 1111 1111 1111 123, 1700000000005")] * 2
+    got = {r.doc_id: r.text for r in surrogates.replace_entities(frame(spark, rows)).collect()}
+    one = re.match(r"Mr (\w+) (\w+) came\. (\w+) said that (\w+)'s Smithy, and (\w+) again; \S+@\S+$", got[1])
+    assert one and one[1] == one[4] != "John" and one[2] == one[5] != "Smith" and one[3] == one[2].upper()
+    assert "John" not in got[1] and "Smith " not in got[1] and got[2] == rows[1][1]
+    two = re.match(r"Prof\. Dr\. (\w+) (\w+); Frau (\w+) (\w+) \((\w+), (\w+)\)$", got[None])
+    assert two and two[1] == two[3] == two[5] != "Anna" and two[2] == two[4] == two[6] != "Meier"
+    cards = re.match(r"(\d{15}) and (\d{4} \d{6} \d{5}), (\d{19}), (\d{4} \d{4} \d{4} \d{4}) 123, 1700000000005$", got[4])
+    assert cards and cards[1] == cards[2].replace(" ", "") != "378282246310005"
+    assert cards[3] != "6304000000000000000" and cards[4] != "4111 1111 1111 1111"
+
+
 @pytest.mark.parametrize("op", [exact.equal_groups, quality.quality, mixing.mix, packing.pack, secrets.scan,
                                 ngram_join.join_components, suffix.drop_repeats, lines.line_report, surrogates.replace_entities])
 def test_empty_table(spark, op):
