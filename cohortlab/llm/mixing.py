@@ -12,7 +12,7 @@ import itertools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import WORD, join_rows, range_ranked, text_of
+from cohortlab.llm.common import WORD, range_ranked, text_of
 from cohortlab.plans.guards import materialize
 
 MOST_REPAIRS = 12                # a source whose words lie in a few documents needs several
@@ -89,7 +89,7 @@ def newton(cells: DataFrame, sources: DataFrame, features: dict[str, float] | No
 def mix(docs: DataFrame, weights: tuple = (5, 2, 1), budget: float = 1.5, cap: int = 2,
         features: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source") -> DataFrame:
-    """One row per document: ``doc_id, k, size, source_size, target, rate, copies, taken``.
+    """One row per document: ``doc_id, k, source, size, source_size, target, rate, copies, taken``.
 
     ``size`` is the number of words (null text: 0).  Sources in code-point
     order (null last) weigh ``weights`` in turn and share ``budget`` times all
@@ -145,7 +145,7 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), budget: float = 1.5, cap: i
             "copies", F.col("copies") + F.coalesce(F.col("change"), F.lit(0))).drop("change"), "mix-rounded")
     return (rounded.withColumn("taken", (F.col("copies") * F.col("size")).cast("long"))
             .withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
-            .select("doc_id", "k", "size", "source_size", "target", "rate", "copies", "taken"))
+            .select("doc_id", "k", "source", "size", "source_size", "target", "rate", "copies", "taken"))
 
 
 def _repair(rounded: DataFrame, known: DataFrame, cap: int) -> DataFrame:
@@ -177,8 +177,10 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                source_col: str = "source", **settings) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken, columns as they were."""
     plan = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **settings)
-    plan = (plan.where("copies > 0").select("doc_id", "k", "copies").distinct())
+    plan = (plan.where("copies > 0").select(F.col("doc_id").alias("_d"), F.col("k").alias("_k"),
+                                            F.col("source").alias("_s"), "copies").distinct())
     row = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_of(text_col)).alias("k"),
-                      F.struct("*").alias("row"))
-    return (join_rows(row, plan)
+                      F.col(source_col).alias("source"), F.struct("*").alias("row"))
+    return (row.join(plan, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("k") == F.col("_k"))
+                     & F.col("source").eqNullSafe(F.col("_s")))
             .select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*"))

@@ -157,7 +157,7 @@ def _sets(size: int):
             hashes = [set_hashes(r) for r in rows]
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array([len(r) for r in rows], pa.int64()), pa.array([h[0] for h in hashes], pa.int64()),
-                 pa.array([h[1] for h in hashes], pa.int64())], names=["doc_id", "n", "node", "check"])
+                 pa.array([h[1] for h in hashes], pa.int64()), b.column(2)], names=["doc_id", "n", "node", "check", "k"])
     return run
 
 
@@ -215,13 +215,14 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _linked(docs: DataFrame, id_col: str, text_col: str, rounds: int, small: int, size: int, num: int,
             den: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``doc_id, n, node`` of every row, ``node, component`` of the sets that
+    """``doc_id, k, n, node`` of every row, ``node, component`` of the sets that
     share a value with another, and those sets."""
     if not 0 < size < len(_weights) or not den <= 2 * num <= 2 * den:
         raise ValueError("shingles of 1 to 31 words, and a threshold from a half to 1")
     text = F.encode(text_of(text_col), "UTF-8")
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    rows = materialize(base.mapInArrow(_sets(size), "doc_id long, n long, node long, check long"), "ngram-sets")
+    marked = base.select("doc_id", "text", F.xxhash64("text").alias("k"))
+    rows = materialize(marked.mapInArrow(_sets(size), "doc_id long, n long, node long, check long, k long"), "ngram-sets")
     clash = (rows.groupBy("node").agg(F.min("check").alias("lo"), F.max("check").alias("hi"), F.min("n").alias("a"), F.max("n").alias("z"))
              .where("lo <> hi or a <> z"))
     if not clash.isEmpty():
@@ -282,12 +283,18 @@ def _own_arrays(size: int):
 
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                       num: int = NUM, den: int = DEN) -> DataFrame:
-    """The rows of ``docs`` whose id names their component, columns as they
-    were.  A component without any id keeps all its rows."""
+    """One row of ``docs`` for each component, columns as they were: that of
+    the smallest id (null last), then set, text and row by their hashes.  Rows
+    without words link with nothing and all stay."""
     rows, linked, _ = _linked(docs, id_col, text_col, 3, 1000, size, num, den)
-    named = _named(rows, linked).select(F.col("node").alias("_node"), "component_id")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    keep = (rows.join(named, (F.col("node") == F.col("_node")) & (F.col("n") > 0), "left")
-            .where(component.eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_keep")).distinct())
-    row = docs.select(F.col(id_col).cast("long").alias("_id"), F.struct("*").alias("row"))
-    return row.join(keep, F.col("_id").eqNullSafe(F.col("_keep")), "left_semi").select("row.*")
+    placed = (rows.where("n > 0").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k")).alias("row"))
+              .join(linked, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    first = materialize(placed, "ngram-placed").groupBy("component").agg(
+        F.min(F.struct("row.no_id", "row.doc_id", "node", "row.k")).alias("first"))
+    keep = (first.select(F.col("first.doc_id").alias("_d"), F.col("first.k").alias("_kept"), F.lit(True).alias("words"))
+            .unionByName(rows.where("n = 0").select(F.col("doc_id").alias("_d"), F.col("k").alias("_kept"), F.lit(False).alias("words")).distinct()))
+    row = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(F.encode(text_of(text_col), "UTF-8")).alias("_k"),
+                      F.struct("*").alias("row"))
+    kept = materialize(row.join(keep, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_k") == F.col("_kept"))), "ngram-kept")
+    one = kept.where("words").groupBy("_id", "_k").agg(F.min_by("row", F.xxhash64("row")).alias("row"))    # repeated rows
+    return one.select("row.*").unionByName(kept.where("not words").select("row.*"))

@@ -265,6 +265,19 @@ def test_ngram_links_are_all_counted(spark, monkeypatch, members):
     assert max(links.values()) > 20
 
 
+def test_one_row_per_component_and_source_of_a_mix(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(None, a), (None, a + " end"), (None, a), (None, b), (1, b), (1, b + " end"), (2, b + " end"), (1, b), (2, "alone " * 9), (7, None), (7, None)]
+    got = ngram_join.one_per_component(frame(spark, rows)).collect()
+    assert len(got) == 5 and sum(r.text is None for r in got) == 2
+    assert sum((r.text or "").startswith("a0") for r in got) == 1
+    assert [r.doc_id for r in got if (r.text or "").startswith("b0")] == [1]
+    docs = spark.createDataFrame([(1, "one two three", "x"), (1, "one two three", "y"), (2, "w " * 30, "y")],
+                                 "doc_id long, text string, source string")
+    want = sum(r.copies for r in mixing.mix(docs, weights=(1, 5)).collect())
+    assert mixing.mixed_rows(docs, weights=(1, 5)).count() == want
+
+
 def test_near_dedup_links_at_five_words(spark):
     """One word changed in 50: 41 of 51 five-word shingles, but only 43 of 51 four-word ones."""
     import corpus_pipeline
