@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortlab.llm import (exact, lines, links, mixing, ngram_join, packing, quality, secrets, suffix,
-                           surrogates)
+from cohortlab.llm import (alignment, conversations, decontaminate, exact, lines, links, mixing, ngram_join, packing,
+                           quality, secrets, suffix, surrogates)
 from cohortlab.llm.common import read, ship
 
 
@@ -66,8 +66,28 @@ def op10_surrogates(spark, sf_dir):
     return surrogates.replace_entities(read(spark, sf_dir, "documents"))
 
 
+def op11_align(spark, sf_dir):
+    """Token groups and links of every document under two tokenizers."""
+    ship(spark)
+    return alignment.align_documents(read(spark, sf_dir, "documents"))
+
+
+def op12_decontaminate(spark, sf_dir):
+    """Benchmark words and items of every document."""
+    ship(spark)
+    return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_repair(spark, sf_dir):
+    """Faults, cheapest edits and repaired text of every conversation, after a fixed damage."""
+    ship(spark)
+    rows = read(spark, sf_dir, "conversations")
+    return conversations.digests(conversations.damage(rows), ids=rows)
+
+
 QUERIES = {f.__name__: f for f in (op1_mix, op2_secrets, op3_near_lines, op4_ngram_join, op5_quality, op6_exact,
-                                   op7_repeats, op8_urls, op9_pack, op10_surrogates)}
+                                   op7_repeats, op8_urls, op9_pack, op10_surrogates, op11_align, op12_decontaminate,
+                                   op13_repair)}
 
 
 def _spans_sql(rule: secrets.Rule, order: int) -> str:
@@ -86,7 +106,23 @@ def _spans_sql(rule: secrets.Rule, order: int) -> str:
 
 
 _ALL = [*secrets.BASE, *secrets.EXTRA]
+WORDS_12 = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ORACLE = {
+    "op12_decontaminate": f"""
+with d as (select row_number() over () as rid, doc_id,
+                  regexp_extract_all(translate(coalesce(text, ''), '{links.UPPER}', '{links.LOWER}'), '{WORDS_12}') as w from documents),
+b as (select item_id, regexp_extract_all(translate(coalesce(text, ''), '{links.UPPER}', '{links.LOWER}'), '{WORDS_12}') as w from benchmark),
+bw as (select distinct item_id, m, array_to_string(w[i:i + m - 1], ' ') as t from (
+         select item_id, w, least(len(w), 10) as m, unnest(range(1, len(w) - least(len(w), 10) + 2)) as i from b where len(w) > 0)),
+dw as (select rid, i, m, array_to_string(w[i:i + m - 1], ' ') as t from (
+         select rid, w, m, unnest(range(1, len(w) - m + 2)) as i from d, (select distinct m from bw) where len(w) >= m)),
+hit as (select rid, i, dw.m, item_id from dw join bw on dw.m = bw.m and dw.t = bw.t),
+words as (select rid, count(distinct p) as n_hit from (select distinct rid, unnest(range(i, i + m)) as p from hit) group by rid),
+items as (select rid, count(*) as n_items, string_agg(item, ',' order by item) as items
+          from (select distinct rid, cast(item_id as varchar) as item from hit where item_id is not null) group by rid)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join words using (rid) left join items using (rid)""",
     "op2_secrets": f"""
 with texts as (select doc_id, coalesce(text, '') as t from documents),
 found as ({' union all '.join(_spans_sql(r, i) for i, r in enumerate(_ALL))}),
