@@ -32,6 +32,7 @@ from ..functions.columns import DAYS_PER_MONTH
 from ..functions.columns import lifetime_month as month_expr
 from ..functions.columns import q, row_sum, safe_div
 from ..plans.guards import HOT_KEY_ROWS, hot_keys, materialize, salted_lookup_join
+from ..sources.files import write_through
 from . import reshape
 
 # The nine spending categories of the labelled payments.
@@ -39,7 +40,6 @@ CATEGORIES = ["Activity", "Cash", "Event", "Food", "Illegal/Sarcasm", "People",
               "Transportation", "Travel", "Utility"]
 
 USER, FRIEND, TIME, CAT, MONTH = "user", "friend", "transaction_time", "selected_match_type", "lifetime_month"
-HOT_KEY_SALT = 16
 
 
 # ---------------------------------------------------------------- edges
@@ -64,26 +64,20 @@ def first_activity(edges: DataFrame) -> DataFrame:
                  .groupBy(USER).agg(F.min(TIME).alias("first_time"), F.count(F.lit(1)).alias("_rows")))
 
 
-def with_lifetime_month(edges: DataFrame, salt: int = HOT_KEY_SALT) -> DataFrame:
+def with_lifetime_month(edges: DataFrame) -> DataFrame:
     """Adds ``lifetime_month`` to every edge row.
 
     Same value as ``first(time) over (partition by user order by time)``, but
     as an aggregate joined back with a salted lookup: a window partitioned by
     user would put all rows of a hot user into one task.
     """
+    edges = materialize(edges, "edges")           # read twice from here, the inputs behind it once
     first = materialize(first_activity(edges).withColumnRenamed(USER, "_fu"), "first-activity")
-    joined = salted_lookup_join(edges, first, USER, "_fu", "left", salt, count_col="_rows")
+    joined = salted_lookup_join(edges, first, USER, "_fu", "left", count_col="_rows")
     return (joined.withColumn(MONTH, month_expr(TIME, "first_time"))
                   .drop("_fu", "first_time", "_rows"))
 
 
-def with_lifetime_month_window(edges: DataFrame) -> DataFrame:
-    """The window form of ``with_lifetime_month`` (for small inputs and as
-    the definition the tests compare against)."""
-    w = Window.partitionBy(USER)
-    return edges.withColumn(MONTH, month_expr(TIME, F.min(TIME).over(w)))
-
-
 def month_range(edges_m: DataFrame, start: int, end: int) -> DataFrame:
     """Edge rows whose lifetime month lies in ``[start, end]``."""
     return edges_m.where(F.col(MONTH).between(start, end))
@@ -96,7 +90,7 @@ def first_contacts(edges_m: DataFrame) -> DataFrame:
     ``(user, friend, time)``, so a hot pair's rows spread over partitions by
     their times and only tied rows share a key.
     """
-    clean = edges_m.where(F.col(USER).isNotNull() & F.col(FRIEND).isNotNull())
+    clean = materialize(edges_m.where(F.col(USER).isNotNull() & F.col(FRIEND).isNotNull()), "edges-known")
     mins = (clean.groupBy(USER, FRIEND).agg(F.min(TIME).alias("_t0"))
                  .withColumnRenamed(USER, "_u").withColumnRenamed(FRIEND, "_f"))
     cond = [clean[USER] == mins["_u"], clean[FRIEND] == mins["_f"], clean[TIME] == mins["_t0"]]
@@ -104,20 +98,27 @@ def first_contacts(edges_m: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- pair aggregates
-def _cat_count(k: str) -> Column:
-    return F.count(F.when(F.col(CAT) == F.lit(k), 1))
+def day_cube(edges: DataFrame) -> DataFrame:
+    """``user, friend, day, category, n``: the one reduction of the edges that
+    the personas, the first days and the first contacts derive from.  Written
+    to the shared folder, so the edges are computed once; rows without a user
+    are left out, those without a friend or a category are kept."""
+    return materialize(edges.where(F.col(USER).isNotNull())
+                            .groupBy(USER, FRIEND, F.to_date(TIME).alias("day"), CAT).agg(F.count(F.lit(1)).alias("n")), "edge-days")
 
 
-def pair_table(edges: DataFrame, categories: Sequence[str]) -> DataFrame:
-    """One row per (user, friend): first-contact day ``d0``, the pair's count
-    per category and in total (all times).  Rows without a friend form the
-    (user, null) row, which only counts towards the user's first day.  Both
-    ends of a pair see the same counts, because ``both_sides`` emits every
-    transaction in both orientations."""
-    return (edges.where(F.col(USER).isNotNull())
-                 .groupBy(USER, FRIEND)
-                 .agg(F.min(F.to_date(TIME)).alias("d0"), *[_cat_count(k).alias(k) for k in categories],
-                      F.count(F.lit(1)).alias("_all")))
+def _cat_sum(k: str) -> Column:
+    return F.sum(F.when(F.col(CAT) == F.lit(k), F.col("n")).otherwise(F.lit(0)))
+
+
+def pair_table(cube: DataFrame, categories: Sequence[str]) -> DataFrame:
+    """One row per (user, friend) of a :func:`day_cube`: first-contact day
+    ``d0``, the pair's count per category and in total (all times).  Rows
+    without a friend form the (user, null) row, which only counts towards the
+    user's first day.  Both ends of a pair see the same counts, because
+    ``both_sides`` emits every transaction in both orientations."""
+    return cube.groupBy(USER, FRIEND).agg(F.min("day").alias("d0"), *[_cat_sum(k).alias(k) for k in categories],
+                                          F.sum("n").alias("_all"))
 
 
 def user_stats(pairs: DataFrame, categories: list[str]) -> DataFrame:
@@ -132,9 +133,8 @@ def user_stats(pairs: DataFrame, categories: list[str]) -> DataFrame:
         F.count(F.when(known, 1)).alias("_pairs"))
 
 
-def friend_shares(edges: DataFrame, categories: Sequence[str] = CATEGORIES,
-                  start: int | None = None, end: int | None = None,
-                  salt: int = HOT_KEY_SALT, pairs: DataFrame | None = None) -> DataFrame:
+def friend_shares(edges: DataFrame | None, categories: Sequence[str] = CATEGORIES,
+                  start: int | None = None, end: int | None = None, cube: DataFrame | None = None) -> DataFrame:
     """``user, friend, lifetime_month`` + the friend's category shares over
     the friend's transactions with anyone but the user.
 
@@ -144,16 +144,15 @@ def friend_shares(edges: DataFrame, categories: Sequence[str] = CATEGORIES,
     friend has others, none in ``categories``, keeps null shares.
 
     The pair table and the per-user statistics each feed several consumers
-    (lookups and their hot-key checks); unless given, the pair table is
-    computed once and both are written to the shared checkpoint folder.
+    (lookups and their hot-key checks) and are written to the shared folder.
+    ``cube`` is the :func:`day_cube` of ``edges`` where it is there already.
     """
     cats = list(categories)
-    if pairs is None:
-        pairs = materialize(pair_table(edges, cats), "pairs")
+    pairs = materialize(pair_table(day_cube(edges) if cube is None else cube, cats), "pairs")
     stats = materialize(user_stats(pairs, cats), "user-stats")
     first = stats.select(F.col(USER).alias("_fu"), "first_day", "_pairs")
     known = pairs.where(F.col(FRIEND).isNotNull())
-    pm = (salted_lookup_join(known, first, USER, "_fu", "inner", salt, [USER, FRIEND], "_pairs")
+    pm = (salted_lookup_join(known, first, USER, "_fu", "inner", salt_from=[USER, FRIEND], count_col="_pairs")
           .withColumn(MONTH, month_expr("d0", "first_day"))
           .where(F.col(MONTH).isNotNull()))
     if start is not None and end is not None:
@@ -161,7 +160,7 @@ def friend_shares(edges: DataFrame, categories: Sequence[str] = CATEGORIES,
     pm = pm.drop("_fu", "_pairs")
     totals = stats.select(F.col(USER).alias("_fu2"), *[q(k).alias("_n_" + k) for k in cats + ["_all"]],
                           "_pairs")
-    joined = salted_lookup_join(pm, totals, FRIEND, "_fu2", "inner", salt, [USER, FRIEND], "_pairs")
+    joined = salted_lookup_join(pm, totals, FRIEND, "_fu2", "inner", salt_from=[USER, FRIEND], count_col="_pairs")
     other = {k: F.col("_n_" + k) - q(k) for k in cats}
     total = row_sum(other.values())
     out = joined.select(USER, FRIEND, MONTH,
@@ -220,30 +219,28 @@ def _friend_window_counts(daily: DataFrame, queries: DataFrame, cats: list[str])
           for k in cols])
 
 
-def friend_shares_within_lifetime(edges: DataFrame, categories: Sequence[str] = CATEGORIES,
-                                  start: int = 1, end: int = 12,
-                                  salt: int = HOT_KEY_SALT) -> DataFrame:
+def friend_shares_within_lifetime(edges: DataFrame | None, categories: Sequence[str] = CATEGORIES,
+                                  start: int = 1, end: int = 12, cube: DataFrame | None = None) -> DataFrame:
     """``friend_shares`` counting only the friend's transactions whose
     lifetime month on the *user's* clock (days since the user's first day)
     lies in ``[start, end]``, as the reference's comment intends (its code
     computes that month but never filters on it).  The user's clock starts at
     the user's first transaction."""
     cats = list(categories)
-    pairs = materialize(pair_table(edges, cats), "pairs")
+    cube = day_cube(edges) if cube is None else cube
+    pairs = materialize(pair_table(cube, cats), "pairs")
     stats = materialize(user_stats(pairs, cats), "user-stats")
     first = stats.select(F.col(USER).alias("_fu"), "first_day", "_pairs")
     known = pairs.where(F.col(FRIEND).isNotNull())
     xlo, xhi = month_day_window(start, end)
-    pm = (salted_lookup_join(known, first, USER, "_fu", "inner", salt, [USER, FRIEND], "_pairs")
+    pm = (salted_lookup_join(known, first, USER, "_fu", "inner", salt_from=[USER, FRIEND], count_col="_pairs")
           .withColumn(MONTH, month_expr("d0", "first_day"))
           .where(F.col(MONTH).between(start, end))
           .select(USER, FRIEND, MONTH, F.date_add("first_day", xlo).alias("lo"),
                   F.date_add("first_day", xhi).alias("hi")))
     pm = materialize(pm, "pair-windows")
-    counts = [_cat_count(k).alias(k) for k in cats] + [F.count(F.lit(1)).alias("_all")]
-    daily = materialize(edges.where(F.col(USER).isNotNull() & F.col(FRIEND).isNotNull())
-                             .groupBy(USER, FRIEND, F.to_date(TIME).alias("day")).agg(*counts),
-                        "pair-days")
+    counts = [_cat_sum(k).alias(k) for k in cats] + [F.sum("n").alias("_all")]
+    daily = materialize(cube.where(F.col(FRIEND).isNotNull()).groupBy(USER, FRIEND, "day").agg(*counts), "pair-days")
     # the pair's own days inside its window (pair rows are the same from both ends)
     own = (daily.join(pm, [USER, FRIEND])
                 .where(F.col("day").between(F.col("lo"), F.col("hi")))
@@ -258,15 +255,17 @@ def friend_shares_within_lifetime(edges: DataFrame, categories: Sequence[str] =
     return out.where(F.col("_others") > 0).drop("_others")
 
 
-def friend_activity(edges: DataFrame, salt: int = HOT_KEY_SALT) -> DataFrame:
+def friend_activity(edges: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """``user, friend, category, n``: how many transactions of each category
     the friend made with others, counted once per first-contact row of the
     pair (the row count of joining first contacts to the friend's other
     transactions, without materialising that join).
 
     All inputs come from one reduction to (user, friend, time, category)
-    counts, written once to the shared folder (it has three consumers).  Per-pair and per-user category lists are bounded by the number
-    of categories, so the lookups are array operations, not joins.
+    counts, written once to the shared folder.  A pair meets its friend's
+    categories as rows, however many there are: a friend with more than
+    ``hot_rows`` rows of the result is split into parts of about so many, and
+    the pair's own counts are taken off by a second equi-join.
     """
     base = materialize(edges.where(F.col(USER).isNotNull() & F.col(FRIEND).isNotNull())
                             .groupBy(USER, FRIEND, TIME, CAT).agg(F.count(F.lit(1)).alias("c")),
@@ -274,27 +273,25 @@ def friend_activity(edges: DataFrame, salt: int = HOT_KEY_SALT) -> DataFrame:
     ties = (base.where(F.col(TIME).isNotNull())
                 .groupBy(USER, FRIEND, TIME).agg(F.sum("c").alias("ct"))
                 .groupBy(USER, FRIEND).agg(F.min_by("ct", TIME).alias("ties")))
-    pair_cat = base.groupBy(USER, FRIEND, CAT).agg(F.sum("c").alias("pc"))
-    pair_list = pair_cat.groupBy(USER, FRIEND).agg(
-        F.collect_list(F.struct(F.col(CAT).alias("k"), F.col("pc").alias("v"))).alias("_own"))
-    node_list = (pair_cat.groupBy(USER, CAT).agg(F.sum("pc").alias("nk"), F.count(F.lit(1)).alias("np"))
-                         .groupBy(F.col(USER).alias("_fu"))
-                         .agg(F.collect_list(F.struct(F.col(CAT).alias("k"), F.col("nk").alias("v")))
-                              .alias("_cats"), F.sum("np").alias("_rows")))
-    pairs = ties.join(pair_list, [USER, FRIEND])
-    node_list = materialize(node_list, "friend-categories")
-    per_friend = salted_lookup_join(pairs, node_list, FRIEND, "_fu", "inner", salt, [USER, FRIEND], "_rows")
-    expanded = per_friend.select(USER, FRIEND, "ties", "_own", F.inline("_cats"))
-    own = F.aggregate(F.filter("_own", lambda x: x["k"].eqNullSafe(F.col("k"))),
-                      F.lit(0).cast("bigint"), lambda acc, x: acc + x["v"])
-    n = F.col("ties") * (F.col("v") - own)
-    return (expanded.select(USER, FRIEND, F.col("k").alias("category"), n.alias("n"))
+    ties = materialize(ties, "first-contact-ties")
+    own = materialize(base.groupBy(USER, FRIEND, CAT).agg(F.sum("c").alias("own")), "pair-categories")
+    each = materialize(own.groupBy(F.col(USER).alias("_fu"), F.col(CAT).alias("category")).agg(F.sum("own").alias("all")),
+                       "user-categories")
+    met = ties.groupBy(F.col(FRIEND).alias("_f")).agg(F.count(F.lit(1)).alias("pairs"))
+    size = (each.groupBy("_fu").agg(F.count(F.lit(1)).alias("cats")).join(met, F.col("_fu") == F.col("_f"))
+                .select("_fu", (F.col("pairs") * F.col("cats")).alias("_rows")))
+    hot = hot_keys(materialize(size, "activity-sizes"), "_fu", "_rows", hot_rows)
+    expanded = salted_lookup_join(ties, each, FRIEND, "_fu", salt_from=[USER, FRIEND], hot=hot).drop("_fu")
+    mine = own.select(F.col(USER).alias("_u"), F.col(FRIEND).alias("_f"), F.col(CAT).alias("_c"), "own")
+    same = (F.col(USER) == F.col("_u")) & (F.col(FRIEND) == F.col("_f")) & F.col("category").eqNullSafe(F.col("_c"))
+    n = F.col("ties") * (F.col("all") - F.coalesce("own", F.lit(0)))
+    return (expanded.join(mine, same, "left").select(USER, FRIEND, "category", n.alias("n"))
                     .where(F.col("n") > 0))
 
 
 # ---------------------------------------------------------------- self persona
-def self_persona(edges: DataFrame, start: int = 1, end: int = 12,
-                 categories: Sequence[str] = CATEGORIES) -> DataFrame:
+def self_persona(edges: DataFrame | None, start: int = 1, end: int = 12,
+                 categories: Sequence[str] = CATEGORIES, cube: DataFrame | None = None) -> DataFrame:
     """``user`` + share of each category among the user's transactions whose
     lifetime month lies in ``[start, end]`` (null shares for a zero total).
 
@@ -303,26 +300,27 @@ def self_persona(edges: DataFrame, start: int = 1, end: int = 12,
     those rows: a user has at most one row per active day, so the window
     partitions stay bounded whatever the user's volume, and no join is needed.
     """
-    counts = [_cat_count(k).alias(k) for k in categories]
-    daily = (edges.where(F.col(USER).isNotNull())
-                  .groupBy(USER, F.to_date(TIME).alias("day")).agg(*counts))
+    if cube is None:
+        counts = [F.count(F.when(F.col(CAT) == F.lit(k), 1)).alias(k) for k in categories]
+        daily = edges.where(F.col(USER).isNotNull()).groupBy(USER, F.to_date(TIME).alias("day")).agg(*counts)
+    else:
+        daily = cube.groupBy(USER, "day").agg(*[_cat_sum(k).alias(k) for k in categories])
     first = F.min("day").over(Window.partitionBy(USER))
     dm = daily.withColumn(MONTH, month_expr("day", first)).where(F.col(MONTH).between(start, end))
     sums = dm.groupBy(USER).agg(*[F.sum(q(k)).alias(k) for k in categories])
     return reshape.shares(sums, categories)
 
 
-def community_persona(edges: DataFrame, start: int = 1, end: int = 12,
+def community_persona(edges: DataFrame | None, start: int = 1, end: int = 12,
                       categories: Sequence[str] = CATEGORIES, prefix: str = "c_",
-                      salt: int = HOT_KEY_SALT, pairs: DataFrame | None = None,
-                      within_user_lifetime: bool = False) -> DataFrame:
+                      cube: DataFrame | None = None, within_user_lifetime: bool = False) -> DataFrame:
     """``user`` + ``c_<category>``: mean over the user's months (of first
     contact, within ``[start, end]``) of the mean over friends met that month
     of the friend's shares.  Both means are unweighted; nulls are skipped.
     ``within_user_lifetime`` counts only the friends' transactions that fall
     in months ``[start, end]`` of the user's lifetime."""
-    fs = (friend_shares_within_lifetime(edges, categories, start, end, salt) if within_user_lifetime
-          else friend_shares(edges, categories, start, end, salt, pairs))
+    shares = friend_shares_within_lifetime if within_user_lifetime else friend_shares
+    fs = shares(edges, categories, start, end, cube)
     monthly = fs.groupBy(USER, MONTH).agg(*[F.avg(q(k)).alias(k) for k in categories])
     return monthly.groupBy(USER).agg(*[F.avg(q(k)).alias(prefix + k) for k in categories])
 
@@ -330,23 +328,26 @@ def community_persona(edges: DataFrame, start: int = 1, end: int = 12,
 def persona(edges: DataFrame, start: int = 1, end: int = 12,
             categories: Sequence[str] = CATEGORIES, path: str | None = None,
             mode: str = "errorifexists") -> DataFrame:
-    """Self persona left-joined with the community persona, gaps as 0.
-    With ``path`` the result is also written as gzip Parquet."""
-    selfp = self_persona(edges, start, end, categories)
-    comm = community_persona(edges, start, end, categories)
+    """Self persona left-joined with the community persona, gaps as 0, both
+    from one reduction of the edges.  With ``path`` the result is written as
+    gzip Parquet and the written table returned."""
+    cube = day_cube(edges)
+    selfp = self_persona(None, start, end, categories, cube)
+    comm = community_persona(None, start, end, categories, cube=cube)
     out = selfp.join(comm, USER, "left").fillna(0)
-    if path:
-        out.write.mode(mode).option("compression", "gzip").parquet(path)
-    return out
+    return write_through(out, path, mode) if path else out
 
 
-def persona_before_after(edges: DataFrame, start: int, end: int,
-                         categories: Sequence[str] = CATEGORIES) -> DataFrame:
+def persona_before_after(edges: DataFrame, start: int, end: int, categories: Sequence[str] = CATEGORIES,
+                         path: str | None = None, mode: str = "errorifexists") -> DataFrame:
     """Self persona up to month ``start`` beside (``c_`` prefixed) the self
-    persona of months ``(start, end]``; users absent afterwards get 0."""
-    before = self_persona(edges, 1, start, categories)
-    after = reshape.prefix_columns(self_persona(edges, start + 1, end, categories), "c_", [USER])
-    return before.join(after, USER, "left").fillna(0)
+    persona of months ``(start, end]``; users absent afterwards get 0.
+    ``path`` as in :func:`persona`."""
+    cube = day_cube(edges)
+    before = self_persona(None, 1, start, categories, cube)
+    after = reshape.prefix_columns(self_persona(None, start + 1, end, categories, cube), "c_", [USER])
+    out = before.join(after, USER, "left").fillna(0)
+    return write_through(out, path, mode) if path else out
 
 
 def calculate_persona(transactions: DataFrame, start: int = 1, end: int = 12,
@@ -356,14 +357,11 @@ def calculate_persona(transactions: DataFrame, start: int = 1, end: int = 12,
     transaction_time, selected_match_type``): with ``start == 1`` the self
     and community personas of months ``[1, end]``; otherwise the self persona
     up to ``start`` beside the ``c_`` self persona of ``(start, end]``.
-    With ``path`` the result is also written as gzip Parquet."""
+    With ``path`` the result is written as gzip Parquet and the written table
+    returned."""
     edges = both_sides(transactions, user1, user2)
-    if start == 1:
-        return persona(edges, start, end, categories, path, mode)
-    out = persona_before_after(edges, start, end, categories)
-    if path:
-        out.write.mode(mode).option("compression", "gzip").parquet(path)
-    return out
+    make = persona if start == 1 else persona_before_after
+    return make(edges, start, end, categories, path, mode)
 
 
 # ---------------------------------------------------------------- windowed forms

@@ -1,19 +1,23 @@
 """One linear model per category: regress a user's own share of a category
 on the community shares, forecast, score, and save/load the model family.
 
-Fitting runs on Spark ML; the training frame is first written once as
-Parquet under the session's shared checkpoint folder, so the per-target
-passes read materialised columnar data (and survive lost executors) instead
-of recomputing the persona lineage.
+Ordinary least squares needs only means and covariances: one aggregate over
+the training rows gives those of all features and targets, and the small
+systems are solved together on the driver.  The models are Spark ML's.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
+import numpy as np
+from pyspark.ml.common import _py2java
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.wrapper import JavaWrapper
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -63,15 +67,69 @@ def prepare_model_data(persona_df: DataFrame, categories: Sequence[str], train_f
     return hash_split(inputs, key, train_fraction, seed)
 
 
+def moments(df: DataFrame, features: Sequence[Column], targets: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Means of features and targets, and the features' covariances with each
+    other and with the targets: one aggregate, whatever their number.  Rows
+    with a null in any of them are left out."""
+    x, y = [f"x{i}" for i in range(len(features))], [f"y{i}" for i in range(len(targets))]
+    rows = df.select(*[c.cast("double").alias(n) for c, n in zip(features, x)],
+                     *[q(t).cast("double").alias(n) for t, n in zip(targets, y)]).dropna()
+    pairs = [(i, j) for i in range(len(x)) for j in range(i, len(x) + len(y))]
+    both = x + y
+    got = rows.agg(*[F.avg(c) for c in both], *[F.covar_pop(both[i], both[j]) for i, j in pairs]).first()
+    if got[0] is None:
+        raise ValueError("no rows to fit")
+    cov = np.zeros((len(x), len(both)))
+    for (i, j), value in zip(pairs, got[len(both):]):
+        cov[i, j] = value
+        if j < len(x):
+            cov[j, i] = value
+    return np.array(got[:len(both)]), cov[:, :len(x)], cov[:, len(x):]
+
+
+def least_squares(mean: np.ndarray, xx: np.ndarray, xy: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Coefficients (features x targets) and intercepts of all targets, from
+    one factorisation.  A feature without spread gets 0; features that depend
+    on each other have no unique coefficients and raise."""
+    p = len(xx)
+    out = np.zeros(xy.shape)
+    live = np.flatnonzero(np.diag(xx) > 0)
+    if len(live):
+        scale = np.sqrt(np.diag(xx)[live])
+        corr = xx[np.ix_(live, live)] / np.outer(scale, scale)
+        if np.linalg.matrix_rank(corr, tol=1e-10, hermitian=True) < len(live):
+            raise ValueError("the features depend on each other: leave one out")
+        out[live] = np.linalg.solve(corr, xy[live] / scale[:, None]) / scale[:, None]
+    return out, mean[p:] - mean[:p] @ out
+
+
 def fit_targets(train: DataFrame, targets: Sequence[str], features_col: str = "features",
                 checkpoint: bool = True, **lr_params) -> dict[str, LinearRegressionModel]:
-    """One ``LinearRegression`` per target column (``label_<k>``)."""
-    data = materialize(train, "train") if checkpoint else train
-    models = {}
-    for t in targets:
-        lr = LinearRegression(featuresCol=features_col, labelCol=t, predictionCol="prediction", **lr_params)
-        models[t] = lr.fit(data)
-    return models
+    """One linear model per target column (``label_<k>``).
+
+    Ordinary least squares of all targets come from one aggregate over the
+    training rows.  With ``lr_params`` (regularisation, say) each target is
+    fitted by Spark ML's ``LinearRegression`` on rows written once."""
+    if lr_params:
+        data = materialize(train, "train") if checkpoint else train
+        return {t: LinearRegression(featuresCol=features_col, labelCol=t, predictionCol="prediction", **lr_params).fit(data)
+                for t in targets}
+    size = train.schema[features_col].metadata.get("ml_attr", {}).get("num_attrs")
+    if size is None:
+        size = len(train.select(features_col).where(q(features_col).isNotNull()).first()[0])
+    values = vector_to_array(q(features_col))
+    coefs, intercepts = least_squares(*moments(train, [values[i] for i in range(size)], targets))
+    return {t: _model(train.sparkSession, coefs[:, i], float(intercepts[i]), features_col, t)
+            for i, t in enumerate(targets)}
+
+
+def _model(spark: SparkSession, coefs: np.ndarray, intercept: float, features_col: str, target: str) -> LinearRegressionModel:
+    """A Spark ML model with these numbers, to transform with, save and load."""
+    params = LinearRegression(featuresCol=features_col, labelCol=target, predictionCol="prediction")
+    vector = _py2java(spark.sparkContext, Vectors.dense(coefs))
+    model = LinearRegressionModel(JavaWrapper._new_java_obj("org.apache.spark.ml.regression.LinearRegressionModel",
+                                                            params.uid, vector, intercept))
+    return model.setFeaturesCol(features_col).setPredictionCol("prediction")
 
 
 def coefficients(spark: SparkSession, models: dict[str, LinearRegressionModel],

@@ -56,7 +56,14 @@ def wide_to_pairs(df: DataFrame, label_name: str = "label", token_name: str = "t
     """Every column of a wide table to ``(label, token)`` rows, nulls dropped.
 
     Column names are stripped of surrounding blanks (labels arrive padded).
+    Columns are told apart by their place, so two that share a name once it is
+    stripped both give their rows.
     """
-    stripped = df.select(*[q(c).cast("string").alias(c.strip()) for c in df.columns])
-    long = stripped.unpivot([], [q(c) for c in stripped.columns], label_name, token_name)
-    return long.dropna(subset=[label_name, token_name])
+    labels = [c.strip() for c in df.columns]
+    if not labels:
+        return df.select(F.lit("").alias(label_name), F.lit("").alias(token_name)).where(F.lit(False))
+    placed = df.toDF(*[f"c{i}" for i in range(len(labels))])
+    long = (placed.select(*[F.col(c).cast("string") for c in placed.columns])
+                  .unpivot([], placed.columns, "place", token_name))
+    name = F.array(*[F.lit(x) for x in labels])[F.substring("place", 2, 10).cast("int")]
+    return long.select(name.alias(label_name), q(token_name)).dropna(subset=[token_name])

@@ -74,10 +74,13 @@ def yearly_average(df: DataFrame, date_col: str, group: str, value: str,
 
 def yearly_average_sql(spark: SparkSession, df: DataFrame, date_col: str, group: str, value: str,
                        start: int, end: int, out: str = "avg_value") -> DataFrame:
-    """``yearly_average`` in SQL, with the year taken in a derived table."""
+    """``yearly_average`` in SQL, with the year taken in a derived table.  The
+    range of years is also a range of dates there, which reaches the scan."""
+    start, end = int(start), int(end)
     text = (f"SELECT `{group}`, year, AVG(`{value}`) AS `{out}` FROM ("
             f"SELECT `{group}`, year(`{date_col}`) AS year, `{value}` FROM {{t}} "
-            f"WHERE `{value}` IS NOT NULL) AS tmp WHERE year BETWEEN {int(start)} AND {int(end)} "
+            f"WHERE `{value}` IS NOT NULL AND `{date_col}` >= make_date({start}, 1, 1) "
+            f"AND `{date_col}` < make_date({end + 1}, 1, 1)) AS tmp WHERE year BETWEEN {start} AND {end} "
             f"GROUP BY `{group}`, year ORDER BY `{group}`, year")
     return spark.sql(text, t=df)
 

@@ -52,7 +52,7 @@ def hot_keys(per_key: DataFrame, key: str, count_col: str, hot_rows: int = HOT_K
 def salted_lookup_join(big: DataFrame, per_key: DataFrame, big_key: str, key: str,
                        how: str = "inner", buckets: int = 16,
                        salt_from: list[str] | None = None, count_col: str | None = None,
-                       hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+                       hot_rows: int = HOT_KEY_ROWS, hot: DataFrame | None = None) -> DataFrame:
     """Join a large table to a table with one row per key, splitting hot keys.
 
     A hot key's rows on the large side get a salt from a hash of the
@@ -62,13 +62,15 @@ def salted_lookup_join(big: DataFrame, per_key: DataFrame, big_key: str, key: st
     carried by ``per_key``) only the keys of :func:`hot_keys` are split, each
     into as many parts as its rows ask for; their list is broadcast, every
     other key joins unsalted and nothing is replicated for it.  Without it
-    every key is salted and ``per_key`` grows by ``buckets``.
+    every key is salted and ``per_key`` grows by ``buckets``.  A list of hot
+    keys counted elsewhere may be given as ``hot``; ``per_key`` may then hold
+    several rows per key.
 
     Rows without a key match nothing and are spread by the hash alone.
     """
     row_hash = F.xxhash64(*[F.col(c) for c in (salt_from or big.columns)])
-    if count_col is not None:
-        hot = F.broadcast(hot_keys(per_key, key, count_col, hot_rows))
+    if count_col is not None or hot is not None:
+        hot = F.broadcast(hot_keys(per_key, key, count_col, hot_rows) if hot is None else hot)
         marked = big.join(hot, big[big_key] == F.col("_hot"), "left")
         salt = F.pmod(row_hash, F.coalesce("_parts", F.lit(1)))
         small = per_key.join(hot, per_key[key] == F.col("_hot"), "left").withColumn(
@@ -102,12 +104,23 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
 
     For an intermediate with several consumers: it is computed once, the
     consumers read columnar files (with column pruning), and the lineage is
-    cut, so a lost executor costs a file re-read, not a recomputation.
+    cut, so a lost executor costs a file re-read, not a recomputation.  The
+    folder stays until :func:`discard`, or to the end of the
+    :func:`cohortlab.session.scratch` block that it was written in.
     """
     from ..session import shared_dir
     path = shared_dir(df.sparkSession, purpose)
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_folder = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what :func:`materialize` wrote for ``df``, once nothing will read
+    it again (a step that the next one replaces, say)."""
+    from ..session import delete_folder
+    delete_folder(df.sparkSession, df.written_folder)
 
 
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:

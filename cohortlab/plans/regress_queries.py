@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from ..functions.columns import round_doubles
+from ..functions.columns import q, round_doubles
 from ..operators import persona as P
 from ..operators import regress as R
 from ..plans.guards import materialize
@@ -53,13 +52,9 @@ def q_fit_targets(spark, sf_dir):
 def q_fit_single_feature(spark, sf_dir):
     """Each target on its own community share, on the training part."""
     train, _ = _split(spark, sf_dir)
-    rows = []
-    for k in CATS:
-        data = R.assemble(train.select(F.col(R.LABEL + k), F.col(R.FEATURE + k)), [R.FEATURE + k], "f")
-        m = LinearRegression(featuresCol="f", labelCol=R.LABEL + k, solver="normal").fit(data)
-        rows.append((R.LABEL + k, float(m.coefficients[0]), float(m.intercept)))
-    out = spark.createDataFrame(rows, "target string, slope double, intercept double")
-    return round_doubles(out)
+    fits = [F.struct(F.lit(R.LABEL + k).alias("target"), F.regr_slope(q(R.LABEL + k), q(R.FEATURE + k)).alias("slope"),
+                     F.regr_intercept(q(R.LABEL + k), q(R.FEATURE + k)).alias("intercept")) for k in CATS]
+    return round_doubles(train.agg(F.array(*fits).alias("fits")).select(F.inline("fits")))
 
 
 def _forecast(spark, sf_dir):

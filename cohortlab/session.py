@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -64,4 +66,36 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="cohortlab-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir() or base
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end every folder that :func:`shared_dir` named within.
+
+    For whoever consumes a result: a DataFrame of this library is lazy and
+    reads its written intermediates until it has been written or collected, so
+    that must happen inside.  Scopes may be nested; an inner one deletes only
+    its own folders.
+
+        with scratch(spark):
+            persona(edges).write.parquet(target)
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever the path's scheme says it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

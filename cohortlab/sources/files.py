@@ -38,5 +38,12 @@ def write_parquet_gzip(df: DataFrame, path: str, mode: str = "errorifexists",
     return path
 
 
+def write_through(df: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
+    """Write ``df`` as gzip Parquet and go on with the written table, so it is
+    computed once."""
+    write_parquet_gzip(df, path, mode)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
