@@ -5,6 +5,8 @@ import random
 import pandas as pd
 import pytest
 
+from pyspark.sql import functions as F
+
 from cohortlab.operators import persona as P
 from cohortlab.plans.guards import plan_text
 
@@ -85,13 +87,20 @@ def _close(a, b):
     return math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-12)
 
 
+def _with_month_by_window(edges):
+    """The step-by-step definition: the first time of each user by a window."""
+    from pyspark.sql import Window
+    from cohortlab.functions.columns import lifetime_month
+    return edges.withColumn(P.MONTH, lifetime_month(P.TIME, F.min(P.TIME).over(Window.partitionBy(P.USER))))
+
+
 def test_lifetime_month_boundaries(spark):
     days = [0, 30, 31, 60, 61, 365]
     rows = [("a", "b", T0 + dt.timedelta(days=d, hours=d % 5), "Food") for d in days]
     e = P.with_lifetime_month(P.both_sides(spark.createDataFrame(rows, SCHEMA)))
     got = sorted(r.lifetime_month for r in e.where("user = 'a'").collect())
     assert got == [1, 1, 2, 2, 3, 12]
-    w = P.with_lifetime_month_window(P.both_sides(spark.createDataFrame(rows, SCHEMA)))
+    w = _with_month_by_window(P.both_sides(spark.createDataFrame(rows, SCHEMA)))
     assert sorted(r.lifetime_month for r in w.where("user = 'a'").collect()) == got
 
 
@@ -219,3 +228,35 @@ def test_within_user_lifetime_matches_row_by_row(spark, edges, start, end):
     assert set(got) == set(want)
     for u in want:
         assert all(_close(got[u]["c_" + k], want[u][k]) for k in CATS), u
+
+
+def test_hub_with_a_hundred_thousand_categories(spark):
+    """A hub's categories are rows, never one list."""
+    n = 100_000
+    hub = spark.range(n).select(F.lit("hub").alias("user1"), F.concat(F.lit("f"), (F.col("id") % 3).cast("string")).alias("user2"),
+                                F.lit("2020-01-01 00:00:00").cast("timestamp").alias("transaction_time"),
+                                F.concat(F.lit("cat"), F.col("id").cast("string")).alias("selected_match_type"))
+    edges = P.both_sides(hub)
+    got = P.friend_activity(edges, hot_rows=10_000)
+    per = {r.user: (r.rows, r.total) for r in got.where("friend = 'hub'").groupBy("user")
+           .agg(F.count("*").alias("rows"), F.sum("n").alias("total")).collect()}
+    mine = {r.user2: r["count"] for r in hub.groupBy("user2").count().collect()}
+    # every transaction of a pair has the same time, so each is a first-contact row
+    assert per == {u: (n - k, k * (n - k)) for u, k in mine.items()}
+    assert "collect_list" not in plan_text(got)
+
+
+def test_written_persona_is_read_back(spark, edges, tmp_path):
+    out = P.persona(edges, 1, 12, CATS, path=str(tmp_path / "p"))
+    assert str(tmp_path) in out.inputFiles()[0]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, P.persona(edges, 1, 12, CATS).collect()), key=str)
+
+
+def test_nine_categories_with_a_slash(spark):
+    """The labelled payments' own category names, one of which holds a slash."""
+    import datetime as dt
+    rows = [(f"u{i % 5}", f"u{(i * 3 + 1) % 7}", dt.datetime(2020, 1, 1) + dt.timedelta(days=i % 300), P.CATEGORIES[i % 9]) for i in range(200)]
+    t = spark.createDataFrame(rows, "user1 string, user2 string, transaction_time timestamp, selected_match_type string")
+    out = P.calculate_persona(t)
+    assert "c_Illegal/Sarcasm" in out.columns and len(out.columns) == 19
+    assert all(abs(sum(r[k] for k in P.CATEGORIES) - 1) < 1e-9 for r in out.collect())

@@ -133,7 +133,7 @@ def test_within_lifetime_with_hub_matches_brute_force(spark):
     rows = _hub_rows()
     edges = P.both_sides(spark.createDataFrame(rows, SCHEMA))
     want = _brute_within(rows, 1, 12)
-    got = {r.user: r for r in P.community_persona(edges, 1, 12, CATS, salt=4,
+    got = {r.user: r for r in P.community_persona(edges, 1, 12, CATS,
                                                   within_user_lifetime=True).collect()}
     assert set(got) == set(want)
     for u in want:
@@ -146,7 +146,7 @@ def test_within_lifetime_salted_branch(spark, monkeypatch):
     rows = _hub_rows()
     edges = P.both_sides(spark.createDataFrame(rows, SCHEMA))
     want = _brute_within(rows, 1, 12)
-    got = {r.user: r for r in P.community_persona(edges, 1, 12, CATS, salt=4,
+    got = {r.user: r for r in P.community_persona(edges, 1, 12, CATS,
                                                   within_user_lifetime=True).collect()}
     assert set(got) == set(want)
     for u in want:
@@ -160,3 +160,28 @@ def test_spread_if_narrow(spark):
     assert spread_if_narrow(narrow).rdd.getNumPartitions() == target
     wide = spark.range(100).repartition(target + 3)
     assert spread_if_narrow(wide) is wide
+
+
+def test_scratch_leaves_the_shared_folder_empty(spark, tmp_path):
+    import os
+    import __spark_entry__ as E
+    from cohortlab.session import scratch
+    from conftest import SF_SMALL
+    base = spark.sparkContext.getCheckpointDir() or materialize(spark.range(1), "x") and spark.sparkContext.getCheckpointDir()
+    folder = base.replace("file:", "")
+    for key in ("persona", "friend_activity", "label_documents_join_path", "forecast", "model_roundtrip"):
+        before = set(os.listdir(folder))
+        with scratch(spark):
+            rows = E.queries()[key](spark, SF_SMALL).count()
+            assert rows and set(os.listdir(folder)) > before
+        assert set(os.listdir(folder)) == before, key
+
+
+def test_discard_deletes_one_step(spark):
+    import os
+    from cohortlab.plans.guards import discard
+    step = materialize(spark.range(3), "step")
+    place = step.written_folder.replace("file:", "")
+    assert os.path.isdir(place)
+    discard(step)
+    assert not os.path.exists(place)

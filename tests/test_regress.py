@@ -65,3 +65,54 @@ def test_coefficients_do_not_depend_on_partitioning(spark):
 
 def test_model_paths_differ():
     assert len({R._safe(x) for x in ("a/b", "a_b", "a_-b", "a__b", "a_/b")}) == 5
+
+
+def _features(spark, n=300):
+    import random
+    rnd = random.Random(5)
+    rows = []
+    for i in range(n):
+        x = [rnd.random(), rnd.gauss(2, 1), rnd.random() * 1e-3]
+        rows.append((f"u{i}", *x, x[0] * 2 - x[1] + rnd.random(), x[2] * 500 + rnd.random(), 3.0))
+    return R.assemble(spark.createDataFrame(rows, "user string, a double, b double, c double, label_p double, label_q double, label_r double"),
+                      ["a", "b", "c"])
+
+
+def test_one_pass_equals_one_fit_per_target(spark):
+    from pyspark.ml.regression import LinearRegression
+    train, targets = _features(spark), ["label_p", "label_q", "label_r"]
+    models = R.fit_targets(train, targets)
+    for t in targets:
+        ml = LinearRegression(featuresCol="features", labelCol=t, solver="normal", tol=1e-12).fit(train)
+        assert all(math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-9) for x, y in zip(models[t].coefficients, ml.coefficients))
+        assert math.isclose(models[t].intercept, ml.intercept, rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_a_far_off_feature_keeps_its_digits(spark):
+    import numpy as np
+    df = _features(spark).withColumn("b", F.col("b") + 1e4).drop("features")
+    got = R.fit_targets(R.assemble(df, ["a", "b", "c"]), ["label_p"])["label_p"]
+    x = np.array([[r.a, r.b, r.c, 1.0] for r in df.collect()])
+    y = np.array([r.label_p for r in df.collect()])
+    left = y - x @ np.append(got.coefficients.toArray(), got.intercept)
+    assert abs(left.sum()) < 1e-7 and np.abs((x[:, :3] - x[:, :3].mean(axis=0)).T @ left).max() < 1e-7
+
+
+def test_jobs_do_not_grow_with_the_targets(spark):
+    train = _features(spark).cache()
+    train.count()
+    sc, jobs = spark.sparkContext, []
+    for targets in (["label_p"], ["label_p", "label_q", "label_r"]):
+        sc.setJobGroup(f"fit-{len(targets)}", "")
+        R.fit_targets(train, targets)
+        jobs.append(len(sc.statusTracker().getJobIdsForGroup(f"fit-{len(targets)}")))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1]
+
+
+def test_dependent_and_constant_features(spark):
+    import pytest
+    df = _features(spark).withColumn("d", F.col("a") * 2 + F.col("c")).withColumn("one", F.lit(1.0)).drop("features")
+    with pytest.raises(ValueError, match="depend"):
+        R.fit_targets(R.assemble(df, ["a", "c", "d"]), ["label_p"])
+    assert R.fit_targets(R.assemble(df, ["a", "one"]), ["label_p"])["label_p"].coefficients[1] == 0

@@ -76,3 +76,24 @@ def test_sql_twins(spark):
     assert y1 == y2
     first = series.row_at_max(df, "value", ["dt", "country"]).collect()
     assert [(r.country, r.value) for r in first] == [("B", 9.0)]   # earliest date, then country
+
+
+def test_years_reach_the_scan_as_dates(spark, tmp_path):
+    from cohortlab.operators import series as S
+    from cohortlab.plans.guards import plan_text
+    spark.sql("select date'1995-03-01' as dt, 'a' as country, 1.0D as value union all select date'2003-01-01', 'a', 2.0D").write.parquet(str(tmp_path / "t"))
+    t = spark.read.parquet(str(tmp_path / "t"))
+    for df in (S.yearly_average(t, "dt", "country", "value", 1995, 2001),
+               S.yearly_average_sql(spark, t, "dt", "country", "value", 1995, 2001)):
+        pushed = next(line for line in plan_text(df).splitlines() if "PushedFilters" in line)
+        assert "GreaterThanOrEqual(dt,1995-01-01)" in pushed and "LessThan(dt,2002-01-01)" in pushed
+        assert [tuple(r) for r in df.collect()] == [("a", 1995, 1.0)]
+
+
+def test_wide_columns_with_one_stripped_name(spark):
+    from cohortlab.operators.reshape import wide_to_pairs
+    wide = spark.createDataFrame([("pizza", "taco", None), ("rice", None, 7)], "`Food` string, `Food ` string, ` Cash` int")
+    got = sorted(tuple(r) for r in wide_to_pairs(wide).collect())
+    assert got == [("Cash", "7"), ("Food", "pizza"), ("Food", "rice"), ("Food", "taco")]
+    twice = wide.toDF("Food", "Food", "Cash")
+    assert sorted(tuple(r) for r in wide_to_pairs(twice).collect()) == got
