@@ -91,7 +91,7 @@ QUERIES = {f.__name__: f for f in (op1_mix, op2_secrets, op3_near_lines, op4_ngr
 
 
 def _spans_sql(rule: secrets.Rule, order: int) -> str:
-    regex = rule.regex.replace("'", "''")
+    regex = rule.simple.replace("'", "''")
     return f"""
     select doc_id, start, {order} as ord, stop, '{rule.kind}' as kind from (
       select doc_id, sized[i] as sized, list_sum(list_transform(gaps[1:i], lambda x: length(x)))

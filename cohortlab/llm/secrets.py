@@ -19,15 +19,26 @@ from pyspark.sql import functions as F
 from cohortlab.llm.common import join_rows, keyed
 
 MAX_STRINGS = 64      # alternatives that the derivation keeps apart
+CHUNK = 128           # matches of a text whose places are added up at a time
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``group`` of a match must have ``least`` characters or more (0: the whole match)."""
+    """``group`` of a match must have ``least`` characters or more (0: the whole
+    match); what group ``lead`` holds, at the match's beginning, is not part of
+    the span.  No regex repeats a group or starts again within a run of
+    characters that it has tried: time grows with the text, whatever it holds.
+    ``plain`` says the same without possessive and atomic parts."""
     kind: str
     regex: str
     group: int = 0
     least: int = 0
+    lead: int = 0
+    plain: str = ""
+
+    @property
+    def simple(self) -> str:
+        return self.plain or self.regex
 
 
 # The base kinds in their order.
@@ -38,12 +49,16 @@ BASE = (
     Rule("hex", r"[0-9a-f]{24,}", 0, 24),
 )
 EXTRA = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    # one class that loops without recursion, in place of repeated groups
+    Rule("private_key", r"-----BEGIN (?:[A-Z ]* )?PRIVATE KEY-----"),
     Rule("bearer", r"(?i:bearer)\x20+[A-Za-z0-9_.~+/-]{16,}=*"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
+    # only the first eyJ of a run can begin a match: later ones see the same dots
+    Rule("jwt", r"(?<![A-Za-z0-9_-])(?>([A-Za-z0-9_-]*?)eyJ)[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]++", lead=1,
+         plain=r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
     Rule("git_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("url_login", r"[a-z]+://[^\x20\x09-\x0D/:@]+:[^\x20\x09-\x0D/:@]+@"),
+    Rule("url_login", r"(?<![a-z])[a-z]++://[^\x20\x09-\x0D/:@]++:[^\x20\x09-\x0D/:@]++@",
+         plain=r"[a-z]+://[^\x20\x09-\x0D/:@]+:[^\x20\x09-\x0D/:@]+@"),
 )
 
 
@@ -133,7 +148,7 @@ def postings(docs: DataFrame, trigrams: list[str], text_col: str = "text") -> Da
 
 def candidates(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     """``doc_id, k, rule_<i>`` for documents that satisfy some rule's query."""
-    queries = {i: trigram_query(r.regex) for i, r in enumerate(rules)}
+    queries = {i: trigram_query(r.simple) for i, r in enumerate(rules)}
     grams = sorted({t for q in queries.values() for alt in q for t in alt})
     place = {t: i for i, t in enumerate(grams)}
     # The intersection: each document's postings meet in bit sets, a task's part first.
@@ -174,20 +189,32 @@ def spans_of(text: Column, rule: Rule, order: int) -> Column:
     gaps = F.split(text, rule.regex, -1)
     # at: end of the previous match; out: spans so far
     empty = F.expr("cast(array() as array<struct<start:bigint,ord:int,end:bigint,kind:string>>)")
-    steps = F.arrays_zip(matches.alias("m"), sized.alias("s"), F.slice(gaps, 1, F.size(matches)).alias("g"))
+    if rule.lead:
+        before = F.transform(F.regexp_extract_all(text, regex, F.lit(rule.lead)), F.length)
+    else:
+        before = F.transform(matches, lambda m: F.lit(0))
+    steps = F.arrays_zip(matches.alias("m"), sized.alias("s"), F.slice(gaps, 1, F.size(matches)).alias("g"), before.alias("b"))
 
     def step(state, x):
-        start = state["at"] + F.length(x["g"])
-        end = start + F.length(x["m"])
+        begin = state["at"] + F.length(x["g"])
+        start, end = begin + x["b"], begin + F.length(x["m"])
         span = F.struct(start.cast("long").alias("start"), F.lit(order).alias("ord"),
                         end.cast("long").alias("end"), F.lit(rule.kind).alias("kind"))
         return F.struct(end.cast("long").alias("at"),
                         F.when(F.length(x["s"]) >= rule.least, F.array_append(state["out"], span))
                         .otherwise(state["out"]).alias("out"))
 
-    start = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("out"))
+    # in chunks: appending to one long list would copy it for every match
+    begin = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("out"))
+
+    def placed(all_):
+        chunks = F.transform(F.sequence(F.lit(0), F.size(all_) - 1, F.lit(CHUNK)), lambda i: F.slice(all_, i + 1, CHUNK))
+        return F.aggregate(chunks, F.array(begin), lambda state, x: F.array_append(state, F.aggregate(
+            x, F.struct(F.element_at(state, -1)["at"].alias("at"), empty.alias("out")), step)))
+
+    done = F.transform(F.array(steps), placed)[0]             # a name for the matches, found once
     # The capture that makes the decision is worth a look only where there is a match at all.
-    return F.when(F.regexp_like(text, regex), F.aggregate(steps, start, step, lambda s: s["out"])).otherwise(empty)
+    return F.when(F.regexp_like(text, regex), F.flatten(F.transform(done, lambda s: s["out"]))).otherwise(empty)
 
 
 def scan(docs: DataFrame, base: tuple = BASE, extra: tuple = EXTRA, id_col: str = "doc_id",
@@ -200,7 +227,7 @@ def scan(docs: DataFrame, base: tuple = BASE, extra: tuple = EXTRA, id_col: str
     repeated rows are scanned each; an empty table gives no rows.
     """
     rules = [*base, *extra]
-    pruned = [i for i, r in enumerate(rules) if frozenset() not in trigram_query(r.regex)]
+    pruned = [i for i, r in enumerate(rules) if frozenset() not in trigram_query(r.simple)]
     rows = keyed(docs, id_col, text_col)
     if pruned:
         hits = candidates(rows, [rules[i] for i in pruned])
