@@ -14,7 +14,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.plans.guards import materialize
+from cohortlab.plans.guards import discard, materialize
 
 # White space of every contract here: space, tab, \n, \v, \f, \r.
 SPACE = r"[\x20\x09-\x0D]"
@@ -112,9 +112,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .where("u <> v").distinct())
         down = large.groupBy("u").agg(F.min("v").alias("m"))
-        e = materialize(large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        last, e = e, materialize(large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                         .where("u <> v")
                         .unionByName(down.select("u", F.col("m").alias("v"))).distinct(), "cc-edges")
+        discard(last)
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             break

@@ -34,7 +34,9 @@ from cohortlab.plans.guards import materialize
 NUM, DEN = 85, 100            # link when DEN * intersection >= NUM * union
 SHINGLE = 4                   # words
 BAND = 1.35                   # sizes of a band: up to this factor
-SLICE = 1 << 22
+SLICE = 1 << 20               # bytes hashed at a time
+
+MET = 200_000                 # sets that a task remembers having met
 
 _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
@@ -175,6 +177,8 @@ def _emit(parts: int, size: int, num: int, den: int):
                 node = set_hashes(tokens)[0]
                 if node in met:
                     continue
+                if len(met) == MET:
+                    met.clear()                # it only saves work
                 met.add(node)
                 for scheme, v in signatures(tokens, num, den):
                     values.append(v)

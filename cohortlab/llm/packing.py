@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from cohortlab.llm.common import range_ranked
 from cohortlab.plans.guards import materialize
 
-CACHE_WORDS = 500_000            # words in each of the two generations a worker remembers (about 0.1 GB each)
+CACHE_BYTES = 24 << 20           # of words and ids in each of the two generations that a task remembers
+ENTRY_BYTES = 160                # that an entry takes besides its word and ids
 MAX_BROADCAST_RUNS = 200_000
 # How a tokenizer's file spells a run of punctuation; ASCII punctuation; letters and digits.
 PUNCTUATION_RUN = r"[^\\s\\p{L}\\p{N}]+"
@@ -66,8 +67,13 @@ class WordIds:
             self.tokenize = self.tokenizer.model.tokenize
             spell = self.tokenizer.pre_tokenizer.pre_tokenize_str
             self.spelling = {c: spell(chr(c))[0][0] for c in range(128, ord(LATIN_END)) if chr(c).isalpha()}
+        self.forget()
+
+    def forget(self) -> None:
+        """Words are remembered within a task; a reused worker holds the tokenizer alone."""
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.held = 0                # bytes of the young generation, about
 
     def __call__(self, text: str) -> bytes:
         data = text.encode("utf-8", "replace")
@@ -75,10 +81,12 @@ class WordIds:
         plain = not any(t in low for t in self.added)
         words = (low if plain and self.lowers else data).split()
         here = set(words)
-        if len(self.young) + len(here) > CACHE_WORDS:      # words in use move on, the others fade
-            self.young, self.old = {}, self.young
+        if self.held > CACHE_BYTES:      # words in use move on, the others fade
+            self.young, self.old, self.held = {}, self.young, 0
         cut, whole = [], []
-        for w in here.difference(self.young):
+        new = here.difference(self.young)
+        self.held += ENTRY_BYTES * len(new) + 3 * sum(map(len, new))
+        for w in new:
             ids = self.old.get(w)
             if ids is not None:
                 self.young[w] = ids
@@ -145,6 +153,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = 4096,
         if path not in _workers:
             _workers[path] = WordIds(path)
         encode = _workers[path]
+        encode.forget()
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
@@ -154,6 +163,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = 4096,
                     rows.append((doc_id, i, at // 4, len(part) // 4, zlib.crc32(part)))
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
             yield out.astype({"doc_id": "Int64"})
+        encode.forget()
 
     # ids travel as text so that nulls do not turn them into floats
     return (docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), F.col(text_col).alias("text"))

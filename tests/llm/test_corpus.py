@@ -416,3 +416,91 @@ def test_word_ids_equal_the_tokenizers_own():
     for t in texts:
         want = ids.tokenizer.encode(t, add_special_tokens=False).ids
         assert ids(t) == struct.pack(f"<{len(want)}I", *want), t
+
+
+LONG = 1_000_000
+ADVERSE = {
+    "private_key": ["-----BEGIN " + "ABC " * (LONG // 4) + "PRIVATE KEY-----", "-----BEGIN " * (LONG // 11), "-----BEGIN " + "A" * LONG],
+    "url_login": ["http://a:b@ " + "acgt" * (LONG // 4), "ab://" * (LONG // 5), "http://" + "x" * LONG + ":" + "y" * LONG],
+    "jwt": ["eyJ" * (LONG // 3), "eyJ" + "a" * LONG + "." + "a" * LONG, ("eyJ" + "a" * 9 + ".") * (LONG // 13)],
+    "bearer": ["bearer " + " " * LONG, "bearer " + "=a" * (LONG // 2)],
+    "git_token": ["ghp_" * (LONG // 4)],
+    "chat_token": ["xoxb-" * (LONG // 5)],
+    "assign": ["secret" + " " * LONG, "api_key" + " " * LONG + "=" + " " * LONG + "x" * LONG, ("token" + " " * 50) * (LONG // 55)],
+    "access": ["AKIA" * (LONG // 4)],
+    "hex": ["deadbeef" * (LONG // 8), "0123456789abcdef0123456 " * (LONG // 24)],
+}
+
+
+@pytest.mark.parametrize("kind", sorted(ADVERSE))
+def test_no_rule_takes_longer_than_the_text_asks_for(spark, kind):
+    """Long texts of what a rule nearly matches: some seconds each, and the session lives."""
+    import time
+    assert set(ADVERSE) == {r.kind for r in secrets.BASE + secrets.EXTRA}
+    for text in ADVERSE[kind]:
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string").cache()
+        df.count()
+        t0 = time.perf_counter()
+        assert secrets.scan(df).count() == 1
+        secrets.scan(df).select("spans").collect()
+        assert time.perf_counter() - t0 < 40, text[:30]          # a quadratic rule takes hours
+
+
+def test_rules_match_what_their_plain_forms_match(spark):
+    import random
+    import re
+    rng = random.Random(4)
+    bits = ["eyJ", "eyJabcdefgh", ".", "abcdefghij", "-----BEGIN ", "RSA ", "PRIVATE KEY-----", "http", "://", "u", ":", "p", "@", " ", "é", "x-"]
+    docs = [(i, "".join(rng.choice(bits) for _ in range(rng.randint(1, 25)))) for i in range(400)]
+    got = {r["doc_id"]: r["spans"] for r in secrets.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    kinds = {r.kind: re.compile(r.simple) for r in secrets.EXTRA if r.kind in ("jwt", "private_key", "url_login")}
+    for i, text in docs:
+        want = sorted(f"{k}:{m.start()}:{m.end()}" for k, rx in kinds.items() for m in rx.finditer(text))
+        assert sorted(s for s in got[i].split(",") if s.split(":")[0] in kinds) == want, text
+
+
+def test_many_matches_in_one_text(spark):
+    text = "AKIA" + "A" * 16 + " "
+    got = secrets.scan(spark.createDataFrame([(1, text * 1000)], "doc_id long, text string")).first()
+    assert got["n_access"] == 1000
+    assert got["spans"] == ",".join(f"access:{21 * i}:{21 * i + 20}" for i in range(1000))
+
+
+def test_pipeline_against_a_plain_version(spark, tmp_path):
+    import corpus_pipeline
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    docs = []
+    for i in range(60):
+        words = [rng.choice(vocabulary) for _ in range(rng.randint(60, 160))]
+        docs.append((len(docs), " ".join(words)))
+        if i % 3 == 0:
+            docs.append((len(docs), "  ".join(words) + "\n"))                    # equal, white space apart
+        if i % 4 == 0:
+            docs.append((len(docs), " ".join(words[:-1] + ["changed"])))          # near
+        if i % 10 == 0:
+            docs += [(len(docs), " ".join(words[:20])), (len(docs) + 1, "again and again " * 40)]     # fail the base rules
+    docs += [(len(docs), None), (len(docs) + 1, "")]
+    rows = [(i, t, "en", rng.choice(["a", "b", None]), len(t or "")) for i, t in docs]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "documents.parquet"))
+    got = Counter(r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).where("piece = 0").collect())
+
+    good = {r["doc_id"] for r in quality.quality(spark.createDataFrame(rows, schema)).where("kept").collect()}
+    assert good == {i for i, t in docs if len((t or "").split()) >= 50 and "again and" not in t}
+    groups = {}
+    for r in rows:
+        if r[0] in good:
+            groups.setdefault("".join(r[1].split()), []).append(r)
+    left = [min(g, key=lambda r: (-len(r[1]), r[0])) for g in groups.values()]
+    sets = {r[0]: {tuple(r[1].lower().split()[i:i + 5]) for i in range(len(r[1].split()) - 4)} for r in left}
+    lead = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                low = min(lead[a], lead[b])
+                lead = {k: low if v in (lead[a], lead[b]) else v for k, v in lead.items()}
+    left = [r for r in left if lead[r[0]] == r[0]]
+    assert len(left) < len(groups) < len(good)
+    plan = mixing.mix(spark.createDataFrame(left, schema)).collect()
+    assert got == Counter({r["doc_id"]: r["copies"] for r in plan if r["copies"]})
