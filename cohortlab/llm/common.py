@@ -93,6 +93,26 @@ def range_ranked(df: DataFrame, order: list, purpose: str) -> DataFrame:
             .drop("_p", "_at", "_seq"))
 
 
+MOST_CLASHES = 1_000_000
+
+
+def part_clashes(rows: DataFrame, purpose: str) -> tuple[DataFrame, frozenset]:
+    """``rows`` with ``node, check`` (two halves of a 128-bit hash) so that a
+    node stands for one hash, and the nodes that stood for several: those take
+    the other half.  They are a few in 1e10 different hashes, and counted
+    before they are taken to the driver."""
+    twice = rows.groupBy("node").agg(F.min("check").alias("lo"), F.max("check").alias("hi")).where("lo <> hi").select("node")
+    apart = frozenset(r["node"] for r in twice.take(MOST_CLASHES + 1))
+    if not apart:
+        return rows, apart
+    if len(apart) > MOST_CLASHES:
+        raise RuntimeError("more equal halves of hashes than a 64-bit hash can give")
+    clash = rows.sparkSession.createDataFrame([(n,) for n in apart], "_clash long")
+    parted = (rows.join(F.broadcast(clash), F.col("node") == F.col("_clash"), "left")
+              .withColumn("node", F.when(F.col("_clash").isNull(), F.col("node")).otherwise(F.col("check"))).drop("_clash"))
+    return materialize(parted, purpose), apart
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Distributed union-find: ``node, component`` (smallest node reachable)
     for every node of ``edges`` (``a, b`` long).

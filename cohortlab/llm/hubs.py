@@ -8,7 +8,7 @@ that does not link with the hub.  Such a pair must share tokens of their
 differences from the hub, as |x - hub| + |y - hub| exceeds what the two may
 differ in.  Those tokens, rarest first and only as many as the bound asks for,
 are the next buckets.  When they are small, or after ``rounds`` of this, the
-remaining pairs across components are all verified.  Buckets of up to ``FEW``
+remaining pairs across components are all verified.  Buckets of few
 members need no hub: their pairs are verified at the end, where components
 still differ.  No pair that shares a bucket and links is lost: it ends in one
 component.
@@ -37,21 +37,28 @@ WIDTH = 4096              # tokens that are compared at a time
 
 
 def link_components(buckets: DataFrame, sets: DataFrame, num: int, den: int, rounds: int = 3, small: int = 1000,
-                    expand: Callable[[Column], Column] = lambda c: c) -> DataFrame:
+                    expand: Callable[[Column], Column] = lambda c: c, few: int = FEW, strays: bool = False,
+                    compare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``buckets``: ``bucket, node``; ``sets``: ``node, n, body`` with one row
     per node, where ``expand(body)`` is the array of the set's ``n`` tokens.
     Sets link when ``den * intersection >= num * union``.
 
+    With ``strays`` the hub is a member of its bucket, and where at most
+    ``few`` members do not link with it, these are compared with the whole
+    bucket, ``few`` pairs a member at most, in place of further buckets.
+    ``compare`` turns ``a, b, x, y, nx, ny`` (pairs and their bodies) into
+    ``a, b, link``, where the bodies need not be expanded for that.
+
     Returns ``node, component`` for all nodes of ``buckets``.
     """
     score = materialize(buckets.groupBy("node").agg(F.count("*").alias("score")), "link-scores")
     part = score.select("node", F.col("node").alias("component"))
     links, final = None, False
-    few = None
+    tiny, sizes = None, sets.select("node", "n")
 
     def join_up(pairs):
         nonlocal links
-        found = materialize(_verify(pairs, sets, num, den, expand), "link-verified")
+        found = materialize(_verify(pairs, sets, num, den, expand, compare), "link-verified")
         new = found.where("link").select("a", "b")
         links = new if links is None else links.unionByName(new)
         part = score.select("node").join(components(links), "node", "left").select(
@@ -62,13 +69,20 @@ def link_components(buckets: DataFrame, sets: DataFrame, num: int, den: int, rou
         if final:
             _, part = join_up(_pairs_left(buckets, num, den))
             break
-        hubs = materialize(_hubs(buckets.select("bucket", "node"), score), "link-hubs")
+        hubs = materialize(_hubs(buckets.select("bucket", "node"), score, strays), "link-hubs")
         placed = buckets.select("bucket", "node").join(hubs, "bucket")
-        tiny = placed.where(F.col("size") <= FEW).select("bucket", "node")
-        few = tiny if few is None else few.unionByName(tiny)
-        member = placed.where((F.col("size") > FEW) & (F.col("node") != F.col("hub")))
+        now = placed.where(F.col("size") <= few).select("bucket", "node", F.lit(True).alias("lead"))
+        tiny = now if tiny is None else tiny.unionByName(now)
+        member = placed.where((F.col("size") > few) & (F.col("node") != F.col("hub")))
         pairs = member.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
         found, part = join_up(pairs)
+        if strays:
+            apart = found.where("not link").select(F.col("a").alias("hub"), F.col("b").alias("node"), F.lit(True).alias("lead"))
+            marked = materialize(member.join(apart, ["hub", "node"], "left"), "link-strays")
+            near = materialize(marked.groupBy("bucket").agg(F.count("lead").alias("apart")).where(F.col("apart") <= few)
+                               .select("bucket"), "link-nearly-whole")
+            tiny = tiny.unionByName(marked.join(near, "bucket").select("bucket", "node", F.coalesce("lead", F.lit(False)).alias("lead")))
+            member = member.join(near, "bucket", "left_anti")
         # open: members of buckets that still hold several components
         hub_part = part.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
         spread = member.join(part, "node").join(hub_part, "hub")
@@ -85,10 +99,12 @@ def link_components(buckets: DataFrame, sets: DataFrame, num: int, den: int, rou
             break
         largest = buckets.groupBy("bucket").count().agg(F.max("count").alias("m")).first()["m"]
         final = largest <= small or turn == rounds - 1
-    apart = few.join(part, "node")
-    one = apart.select("bucket", F.col("node").alias("a"), F.col("component").alias("ca"))
-    two = apart.select("bucket", F.col("node").alias("b"), F.col("component").alias("cb"))
-    _, part = join_up(one.join(two, "bucket").where("a < b and ca <> cb").select("a", "b").distinct())
+    rest = tiny.join(part, "node").join(sizes, "node")
+    one = rest.where("lead").select("bucket", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"))
+    two = rest.select("bucket", F.col("node").alias("y"), F.col("component").alias("cy"), F.col("n").alias("ny"), "lead")
+    once = ~F.col("lead") | (F.col("x") < F.col("y"))
+    _, part = join_up(one.join(two, "bucket").where(once & (F.col("cx") != F.col("cy")) & _fits("nx", "ny", num, den))
+                      .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
     return part
 
 
@@ -181,21 +197,25 @@ def _count_links(num: int, den: int):
     return run
 
 
-def _hubs(buckets: DataFrame, score: DataFrame) -> DataFrame:
-    """Each bucket's hub: the member that is in most buckets, or a better one
-    that this member meets elsewhere.  A hub is only a set to compare with and
-    need not be in the bucket, so buckets of one cluster should agree on it."""
+def _hubs(buckets: DataFrame, score: DataFrame, inside: bool) -> DataFrame:
+    """Each bucket's hub: the member that is in most buckets, or, unless it
+    has to be ``inside``, a better one that this member meets elsewhere.  A hub
+    is only a set to compare with, so buckets of one cluster should agree on it."""
     best = materialize(buckets.join(score, "node").groupBy("bucket")
                        .agg(F.max(F.struct("score", "node")).alias("best"), F.count("*").alias("size")), "link-best")
+    if inside:
+        return best.select("bucket", F.col("best.node").alias("hub"), "size")
     lead = buckets.join(best, "bucket").groupBy("node").agg(F.max("best").alias("lead"))
     return (best.join(lead, F.col("best.node") == F.col("node"))
             .select("bucket", F.col("lead.node").alias("hub"), "size"))
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int, expand) -> DataFrame:
+def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int, expand, compare=None) -> DataFrame:
     """``a, b, link`` for distinct pairs, on the whole sets."""
     one = sets.select(F.col("node").alias("a"), F.col("body").alias("x"), F.col("n").alias("nx"))
     two = sets.select(F.col("node").alias("b"), F.col("body").alias("y"), F.col("n").alias("ny"))
+    if compare:
+        return compare(pairs.join(one, "a").join(two, "b"))
     both = F.size(F.array_intersect(expand(F.col("x")), expand(F.col("y")))).cast("long")
     joined = pairs.join(one, "a").join(two, "b").withColumn(
         "both", F.when(_fits("nx", "ny", num, den), both).otherwise(F.lit(0).cast("long")))

@@ -10,15 +10,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlab.llm import packed, rolling
-from cohortlab.llm.common import join_rows, keyed, partitions
+from cohortlab.llm.common import join_rows, keyed, part_clashes, partitions
 from cohortlab.llm.hubs import link_components
 from cohortlab.plans.guards import materialize
 
 NUM, DEN = 80, 100            # near: DEN * intersection >= NUM * union
 SHINGLE = 5                   # characters
 ROWS, BANDS = 5, 14           # a pair at 0.8 shares a band with probability 0.996
-BLOCK = 1 << 20               # characters hashed at a time
+BLOCK = 1 << 20               # characters signed at a time
+CHARS = 1 << 16               # characters hashed at a time
+FEW = 16                      # members of a bucket whose pairs are all compared
+MET = 200_000                 # lines that a task remembers having met
 _u = np.uint64
+_weights = rolling.BYTE[:SHINGLE]
 _EMPTY = np.iinfo(np.uint64).max
 
 
@@ -36,19 +40,79 @@ def line_hash(line: str) -> tuple[int, int]:
 def _joined(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of every shingle of all lines, and each shingle's line.  A line
     shorter than a shingle is one shingle."""
-    short = np.array([len(x) < SHINGLE for x in lines])
-    padded = [x.ljust(SHINGLE, "\0") if s else x for x, s in zip(lines, short)]
+    hashes, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for at, end in _cut([len(x) for x in lines]):
+        h, line = _hashed(lines[at:end])
+        hashes.append(h)
+        owner.append(line + at)
+    return np.concatenate(hashes), np.concatenate(owner)
+
+
+def _hashed(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    padded = [x if len(x) >= SHINGLE else x.ljust(SHINGLE, "\0") for x in lines]
     codes = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    sizes = np.array([len(x) for x in padded])
-    value = rolling.mix(codes + _u(0x1234567)) | _u(1)
-    p, inv = rolling.powers(len(codes) + 1)
-    pre = np.zeros(len(codes) + 1, np.uint64)
-    np.cumsum(value * p[:-1], out=pre[1:])
     n = len(codes) - SHINGLE + 1
-    hashes = rolling.mix((pre[SHINGLE:] - pre[:n]) * inv[:n])
-    line = np.repeat(np.arange(len(lines)), sizes)
+    total = codes[:n] * _weights[0]
+    for i in range(1, SHINGLE):
+        total += codes[i:n + i] * _weights[i]
+    line = np.repeat(np.arange(len(lines)), [len(x) for x in padded])
     whole = line[SHINGLE - 1:] == line[:n]            # not over a line's end
-    return hashes[whole], line[:n][whole]
+    return rolling.mix(total[whole]), line[:n][whole]
+
+
+def _distinct(lines: list[str]) -> tuple[np.ndarray, int]:
+    """Every different shingle of each line, sorted, the line's number in the
+    upper bits of its hash; and how many bits that takes."""
+    hashes, line = _joined(lines)
+    bits = max(len(lines) - 1, 1).bit_length()
+    keys = np.sort((line.astype(np.uint64) << _u(64 - bits)) | (hashes >> _u(bits)))
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = keys[1:] != keys[:-1]
+    return keys[fresh], bits
+
+
+def sizes(lines: list[str]) -> np.ndarray:
+    """Number of different shingles of each line."""
+    out = [np.zeros(0, np.int64)]
+    for at, end in _cut([len(x) for x in lines]):
+        keys, bits = _distinct(lines[at:end])
+        out.append(np.bincount((keys >> _u(64 - bits)).astype(np.int64), minlength=end - at))
+    return np.concatenate(out)
+
+
+def overlaps(x: list[str], y: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different shingles of each ``x``, of each ``y``, and of both."""
+    out = [np.zeros((3, 0), np.int64)]
+    for at, end in _cut([len(a) + len(b) for a, b in zip(x, y)]):
+        n = end - at
+        keys, bits = _distinct(x[at:end] + y[at:end])
+        line = (keys >> _u(64 - bits)).astype(np.int64)
+        size = np.bincount(line, minlength=2 * n)
+        keys[line >= n] -= _u(n) << _u(64 - bits)
+        keys.sort()
+        same = keys[1:][keys[1:] == keys[:-1]]
+        both = np.bincount((same >> _u(64 - bits)).astype(np.int64), minlength=n)
+        out.append(np.array([size[:n], size[n:], both]))
+    return tuple(np.concatenate(out, axis=1))
+
+
+def _cut(lengths: list[int]):
+    """Ranges of items with about ``CHARS`` characters together, or one item."""
+    at = size = 0
+    for i, n in enumerate(lengths):
+        if i > at and size + n > CHARS:
+            yield at, i
+            at, size = i, 0
+        size += n
+    if at < len(lengths):
+        yield at, len(lengths)
+
+
+def node_of(line: str, apart: frozenset = frozenset()) -> int:
+    """A line's node: half of its hash, or the other half for the few halves
+    that stand for two lines."""
+    lo, hi = line_hash(line)
+    return hi if lo in apart else lo
 
 
 def tokens(line: str) -> np.ndarray:
@@ -97,7 +161,7 @@ def _rows():
     return run
 
 
-def _bands(parts: int):
+def _bands(parts: int, apart: frozenset):
     def run(batches):
         met = set()
 
@@ -111,8 +175,10 @@ def _bands(parts: int):
             for text in b.column(0).to_pylist():
                 for line in text.split("\n"):
                     line = normal(line)
-                    node = line_hash(line)[0]
+                    node = node_of(line, apart)
                     if line and node not in met:
+                        if len(met) == MET:
+                            met.clear()           # it only saves work
                         met.add(node)
                         lines.append(line)
                         nodes.append(node)
@@ -129,19 +195,26 @@ def _texts():
     """The lines asked for: one row per wanted line of each document."""
     def run(batches):
         for b in batches:
-            nodes, ns, bodies = [], [], []
+            nodes, bodies = [], []
             for text, wanted in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 lines = text.split("\n")
-                for w in wanted:
-                    line = normal(lines[w["line"]])
-                    nodes.append(w["node"])
-                    ns.append(len(tokens(line)))
-                    bodies.append(line)
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(ns, pa.int64()), pa.array(bodies, pa.string())],
+                nodes += [w["node"] for w in wanted]
+                bodies += [normal(lines[w["line"]]) for w in wanted]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sizes(bodies), pa.int64()), pa.array(bodies, pa.string())],
                                              names=["node", "n", "body"])
     return run
 
 
+def _linked(num: int, den: int):
+    """``a, b, link`` of pairs of lines, by the exact Jaccard of their shingles."""
+    def run(batches):
+        for b in batches:
+            nx, ny, both = overlaps(b.column("x").to_pylist(), b.column("y").to_pylist())
+            link = both * den >= (nx + ny - both) * num
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(link)], names=["a", "b", "link"])
+    return run
+
+
 def _expand(lines: Column) -> Column:
     @F.pandas_udf("array<long>")
     def sets(batch: pd.Series) -> pd.Series:
@@ -149,6 +222,10 @@ def _expand(lines: Column) -> Column:
     return sets(lines)
 
 
+def _compare(joined: DataFrame) -> DataFrame:
+    return joined.select("a", "b", "x", "y").mapInArrow(_linked(NUM, DEN), "a long, b long, link boolean")
+
+
 def near_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3,
                small: int = 1000) -> DataFrame:
     """One row per line with a word: ``doc_id, k, line`` (number from 0),
@@ -164,10 +241,9 @@ def near_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n = partitions(docs)
     rows = materialize(base.mapInArrow(_rows(), "doc_id long, k long, line int, node long, check long"), "line-rows")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line", "k"))
-    nodes = materialize(rows.groupBy("node").agg(first.alias("first"), F.min("check").alias("lo"), F.max("check").alias("hi")), "line-nodes")
-    if not nodes.where("lo <> hi").isEmpty():
-        raise RuntimeError("two different lines share a 64-bit hash")
-    dealt = base.select("text").mapInArrow(_bands(4 * n), packed.SCHEMA)
+    rows, apart = part_clashes(rows, "line-rows")
+    nodes = materialize(rows.groupBy("node").agg(first.alias("first")), "line-nodes")
+    dealt = base.select("text").mapInArrow(_bands(4 * n, apart), packed.SCHEMA)
     buckets = materialize(packed.shared(dealt, n).select("bucket", "node"), "line-buckets")
     wanted = (nodes.join(buckets.select("node").distinct(), "node")
               .select("first.doc_id", "first.k", F.struct("first.line", "node").alias("w"))
@@ -177,7 +253,7 @@ def near_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bodies = materialize(bodies, "line-texts")
     if bodies.count() > bodies.select("node").distinct().count():
         bodies = materialize(bodies.dropDuplicates(["node"]), "line-texts")
-    part = link_components(buckets, bodies, NUM, DEN, rounds, small, _expand)
+    part = link_components(buckets, bodies, NUM, DEN, rounds, small, _expand, FEW, True, _compare)
     placed = nodes.join(part, "node", "left").select(
         "node", "first", F.coalesce("component", "node").alias("component"))
     placed = materialize(placed, "line-placed")

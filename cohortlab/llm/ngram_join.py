@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlab.llm import packed, rolling
-from cohortlab.llm.common import partitions, text_of
+from cohortlab.llm.common import part_clashes, partitions, text_of
 from cohortlab.llm.hubs import link_components, link_counts
 from cohortlab.plans.guards import materialize
 
@@ -86,6 +86,12 @@ def set_hashes(tokens: np.ndarray) -> tuple[int, int]:
     return int(out[0]), int(out[1])
 
 
+def node_of(hashes: tuple[int, int], apart: frozenset = frozenset()) -> int:
+    """A set's node: half of its hash, or the other half for the few halves
+    that stand for two sets."""
+    return hashes[1] if hashes[0] in apart else hashes[0]
+
+
 # --- allocation
 
 @lru_cache
@@ -163,7 +169,7 @@ def _sets(size: int):
     return run
 
 
-def _emit(parts: int, size: int, num: int, den: int):
+def _emit(parts: int, size: int, num: int, den: int, apart: frozenset):
     """Signatures dealt into ``parts`` by value, as packed arrays: a row per
     batch and part.  A set that the task has met already adds nothing."""
     def run(batches):
@@ -174,7 +180,7 @@ def _emit(parts: int, size: int, num: int, den: int):
                 tokens = shingles(t.as_py(), size)
                 if not len(tokens):
                     continue
-                node = set_hashes(tokens)[0]
+                node = node_of(set_hashes(tokens), apart)
                 if node in met:
                     continue
                 if len(met) == MET:
@@ -227,11 +233,8 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, rounds: int, small: int
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     marked = base.select("doc_id", "text", F.xxhash64("text").alias("k"))
     rows = materialize(marked.mapInArrow(_sets(size), "doc_id long, n long, node long, check long, k long"), "ngram-sets")
-    clash = (rows.groupBy("node").agg(F.min("check").alias("lo"), F.max("check").alias("hi"), F.min("n").alias("a"), F.max("n").alias("z"))
-             .where("lo <> hi or a <> z"))
-    if not clash.isEmpty():
-        raise RuntimeError("two different sets share a 64-bit hash; change the salt in set_hashes")
-    linked, sets = _links(base, rows, rounds, small, size, num, den)
+    rows, apart = part_clashes(rows, "ngram-sets")
+    linked, sets = _links(base, rows, rounds, small, size, num, den, apart)
     return rows, linked, sets
 
 
@@ -245,9 +248,9 @@ def _named(rows: DataFrame, linked: DataFrame) -> DataFrame:
 
 
 def _links(base: DataFrame, rows: DataFrame, rounds: int, small: int, size: int, num: int,
-           den: int) -> tuple[DataFrame, DataFrame]:
+           den: int, apart: frozenset) -> tuple[DataFrame, DataFrame]:
     n = partitions(base)
-    dealt = base.select("text").mapInArrow(_emit(4 * n, size, num, den), packed.SCHEMA)
+    dealt = base.select("text").mapInArrow(_emit(4 * n, size, num, den, apart), packed.SCHEMA)
     slack = F.element_at(F.array(*[F.lit(allocation(b, num, den)[1]) for b in range(len(bands(num, den)[0]))]), F.col("tag") + 1)
     shared = materialize(packed.shared(dealt, n).withColumn("slack", slack), "ngram-shared")
     dear = Window.partitionBy("node", "tag").orderBy(F.col("cost").desc(), F.col("bucket"))
@@ -258,14 +261,14 @@ def _links(base: DataFrame, rows: DataFrame, rounds: int, small: int, size: int,
     reps = (rows.join(wanted, F.col("node") == F.col("_n"), "left_semi")
             .groupBy("node").agg(F.min("doc_id").alias("_d")))
     sets = (reps.join(base, F.col("_d").eqNullSafe(F.col("doc_id")))
-            .select("node", "text").mapInArrow(_own_arrays(size), "node long, n long, body array<long>"))
+            .select("node", "text").mapInArrow(_own_arrays(size, apart), "node long, n long, body array<long>"))
     sets = materialize(sets, "ngram-tokens")
     if sets.count() > sets.select("node").distinct().count():      # repeated rows gave a set twice
         sets = materialize(sets.dropDuplicates(["node"]), "ngram-tokens")
     return link_components(buckets, sets, num, den, rounds, small), sets
 
 
-def _own_arrays(size: int):
+def _own_arrays(size: int, apart: frozenset):
     """Tokens of the rows whose set is the node asked for (an id may stand for several texts)."""
     def run(batches):
         met = set()
@@ -273,7 +276,7 @@ def _own_arrays(size: int):
             nodes, ns, rows = [], [], []
             for node, t in zip(b.column(0).to_pylist(), b.column(1)):
                 tokens = shingles(t.as_py(), size)
-                if node in met or set_hashes(tokens)[0] != node:
+                if node in met or node_of(set_hashes(tokens), apart) != node:
                     continue
                 met.add(node)
                 nodes.append(node)
