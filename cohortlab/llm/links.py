@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.plans.guards import materialize
+from cohortlab.llm.common import partitions
+from cohortlab.plans.guards import broadcast_if_bounded, discard, hot_keys, materialize, salted_lookup_join
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Fixed values: (host, path, verdict).
@@ -35,12 +36,12 @@ def host_rules(hosts: DataFrame, rules: tuple) -> DataFrame:
     parents = F.transform(F.sequence(F.lit(1), F.size(labels)),
                           lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     return (hosts.select("host", F.explode(parents).alias("rule_host"))
-            .join(F.broadcast(table), "rule_host")            # as long as the caller's list
+            .join(broadcast_if_bounded(table), "rule_host")
             .groupBy("host").agg(F.sort_array(F.collect_list(F.struct("n", "rule", "rule_path", "verdict")), asc=False).alias("fits")))
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-6,
-              max_steps: int = 100) -> DataFrame:
+              max_steps: int = 400) -> DataFrame:
     """Personalised PageRank for several personalisations at once:
     ``kind, host, score``, where ``score = start + damping * inflow``.
 
@@ -49,11 +50,13 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, toleran
     a seed of start 1 without inflow, whatever the number of seeds and hosts:
     only what links to a host, near or far, moves its score.  Every step is
     one join and one sum over the host edges, written to the shared folder;
-    steps end when no host's score moves by ``tolerance``.
+    steps end when no host's score moves by ``tolerance``, of a score above 1
+    by that part.  What moves shrinks by ``damping`` a step, so more than
+    ``max_steps`` is an error.
     """
     edges = materialize(edges, "pagerank-edges")
     seeds = materialize(seeds, "pagerank-seeds")
-    rank = seeds.select("kind", "host", F.col("start").alias("score"))
+    rank, both_before = seeds.select("kind", "host", F.col("start").alias("score")), None
     for _ in range(max_steps):
         flow = (rank.withColumnRenamed("host", "src").join(edges, ["kind", "src"])
                 .groupBy("kind", F.col("dst").alias("host"))
@@ -63,25 +66,28 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, toleran
                 .select("kind", "host", (F.lit(damping) * F.coalesce("in", F.lit(0.0))
                                          + F.coalesce("start", F.lit(0.0))).alias("score"),
                         F.coalesce("old", F.lit(0.0)).alias("old")))
-        both = materialize(both, "pagerank-flow")
-        moved = both.agg(F.max(F.abs(F.col("score") - F.col("old"))).alias("d")).first()["d"] or 0.0
-        rank = both.select("kind", "host", "score")
+        last, both = both_before, materialize(both, "pagerank-flow")
+        moved = both.agg(F.max(F.abs(F.col("score") - F.col("old")) / F.greatest("score", F.lit(1.0))).alias("d")).first()["d"] or 0.0
+        rank, both_before = both.select("kind", "host", "score"), both
+        if last is not None:
+            discard(last)
         if moved < tolerance:
-            break
-    return rank
+            return rank
+    raise RuntimeError(f"scores still move after {max_steps} steps")
 
 
-def judge_urls(pages: DataFrame, rules: tuple = RULES, damping: float = 0.85,
+def judge_urls(pages: DataFrame, rules: tuple = RULES, damping: float = 0.85, threshold: float = 0.5,
                id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: ``page_id, host, path, rule, verdict, trust, distrust``.
 
     The longest rule that fits the url decides.  For the others trust flows
     from hosts with allowed pages along links, distrust from hosts with
     blocked pages against them (who links to the blocked is distrusted); a
-    host is blocked when its distrust is above its trust.  Each seed host
-    starts with the blocked, or allowed, share of its pages under a rule, and
-    both scores are in units of a host with all of them under one verdict, so
-    neither the number of hosts nor that of a host's pages counts.
+    host is blocked when its distrust exceeds its trust by ``threshold`` or
+    more.  Each seed host starts with the blocked, or allowed, share of all its
+    pages, and both scores are in units of a host with all of them under one
+    verdict, so neither the number of hosts nor that of a host's pages counts,
+    and a rule on few of a host's pages does not condemn the others.
 
     Null urls and urls without ``://`` have empty host and path, fit no rule
     and are allowed; null html has no links; repeated rows are judged alike;
@@ -89,18 +95,25 @@ def judge_urls(pages: DataFrame, rules: tuple = RULES, damping: float = 0.85,
     """
     url, html = F.coalesce(F.col(url_col), F.lit("")), F.col(html_col)
     urls = pages.select(F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
-    per_path = host_rules(urls.select("host").distinct(), rules)
+    # hosts with more than a task's share of the pages are split
+    per_host = materialize(urls.groupBy("host").agg(F.count("*").alias("pages")), "url-pages")
+    total = per_host.agg(F.sum("pages").alias("n")).first()["n"] or 0
+    hot = materialize(hot_keys(per_host, "host", "pages", max(1, total // partitions(pages))), "url-hot")
+
+    def of_host(rows, table):
+        return salted_lookup_join(rows, table.withColumnRenamed("host", "_host"), "host", "_host", "left",
+                                  salt_from=rows.columns, hot=hot).drop("_host")
+    per_path = materialize(host_rules(per_host.select("host"), rules), "url-rules")
     rule = F.get(F.filter("fits", lambda r: F.startswith(F.col("path"), r["rule_path"])), F.lit(0))
-    placed = urls.groupBy("host", "path").agg(F.count("*").alias("pages")).join(per_path, "host", "left").withColumn("r", rule)
-    judged = placed.groupBy("host").agg(
+    placed = of_host(urls.groupBy("host", "path").agg(F.count("*").alias("pages")), per_path)
+    judged = placed.withColumn("r", rule).groupBy("host").agg(
         F.sum(F.when(F.col("r.verdict") == "allow", F.col("pages")).otherwise(0)).alias("allowed"),
         F.sum(F.when(F.col("r.verdict") == "block", F.col("pages")).otherwise(0)).alias("blocked"),
-        F.max("fits").alias("fits"))
+        F.sum("pages").alias("all"), F.max("fits").alias("fits"))
     judged = materialize(judged, "url-hosts")
-    ruled = F.col("allowed") + F.col("blocked")
-    kinds = F.explode(F.array(F.struct(F.lit("trust").alias("kind"), (F.col("allowed") / ruled).alias("start")),
-                              F.struct(F.lit("distrust").alias("kind"), (F.col("blocked") / ruled).alias("start"))))
-    seeds = (judged.where((F.col("host") != "") & (ruled > 0)).select("host", kinds.alias("s"))
+    kinds = F.explode(F.array(F.struct(F.lit("trust").alias("kind"), (F.col("allowed") / F.col("all")).alias("start")),
+                              F.struct(F.lit("distrust").alias("kind"), (F.col("blocked") / F.col("all")).alias("start"))))
+    seeds = (judged.where(F.col("host") != "").select("host", kinds.alias("s"))
              .where("s.start > 0").select("s.kind", "host", "s.start"))
     to = F.explode(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(LINK), F.lit(1)))
     target = F.col("to")
@@ -121,9 +134,8 @@ def judge_urls(pages: DataFrame, rules: tuple = RULES, damping: float = 0.85,
     known = materialize(judged.select("host", "fits").join(score, "host", "left")
                         .select("host", "fits", F.coalesce("trust", F.lit(0.0)).alias("trust"),
                                 F.coalesce("distrust", F.lit(0.0)).alias("distrust")), "url-scores")
-    bad = F.col("distrust") > F.col("trust") * (1 + 1e-9)      # equal but for the order of a sum
-    # one row per host: the lookup splits a hot host's pages (AQE) or is sent whole when small
-    return (urls.join(known, "host").withColumn("r", rule)
+    bad = F.col("distrust") - F.col("trust") >= threshold - 1e-9      # equal but for the order of a sum
+    return (of_host(urls, known).withColumn("r", rule)
             .select("page_id", "host", "path", F.col("r.rule").alias("rule"),
                     F.coalesce(F.col("r.verdict"), F.when(bad, "block").otherwise("allow")).alias("verdict"),
                     "trust", "distrust"))

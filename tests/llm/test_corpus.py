@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortlab.llm import exact, lines, links, mixing, ngram_join, packing, quality, secrets, suffix, surrogates
 
@@ -359,9 +360,73 @@ def test_url_verdicts_do_not_depend_on_the_size_of_the_web(spark):
         return {(r.host, r.path): (r.verdict, round(r.trust, 9), round(r.distrust, 9)) for r in links.judge_urls(pages, rules).collect()}
     small, large = judge(3), judge(12_000)
     assert {v[0] for k, v in large.items() if k[0].endswith(".bad")} == {"block"}
-    assert all(large[k] == v for k, v in small.items())
-    assert large["friend.org", "/"] == ("block", 0.0, 0.85) and large["known.org", "/"][:2] == ("allow", 0.85)
-    assert large["far.org", "/"] == ("block", 0.0, 0.7225)
+    hot = {"h1.bad", "friend.org", "far.org"}      # the blocked share of the hot host's pages: 10 of 11, 36,001 of 36,002
+    assert all(large[k][0] == v[0] and (k[0] in hot or large[k] == v) for k, v in small.items())
+    assert small["friend.org", "/"] == ("block", 0.0, round(0.85 * 10 / 11, 9)) and large["known.org", "/"][:2] == ("allow", 0.85)
+    assert large["far.org", "/"] == ("block", 0.0, round(0.7225 * 36_001 / 36_002, 9))
+
+
+def test_one_rule_does_not_condemn_a_host(spark):
+    rows = [(i, f"http://www.example.com/{i}", None) for i in range(1000)] + [(1000, "http://www.example.com/de/", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit("x")).withColumn("fits", F.lit(1))
+    got = links.judge_urls(pages).collect()
+    assert sorted(r.page_id for r in got if r.verdict == "block") == [1000] and len(got) == 1001
+    assert {r.page_id for r in links.judge_urls(pages, threshold=0.0005).collect() if r.verdict == "block"} == set(range(1001))
+    assert links.judge_urls(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_propagation_against_plain_pagerank(spark, seed):
+    """Random host graphs with loops, dead ends, repeated and relative links: scores and verdicts by a plain power iteration."""
+    rnd = random.Random(seed)
+    rules = (("bad", "/", "block"), ("good", "/", "allow"), ("mixed.org", "/x", "block"))
+    hosts = [f"h{i}.bad" for i in range(6)] + [f"h{i}.good" for i in range(6)] + [f"u{i}.org" for i in range(25)] + ["mixed.org"]
+    pages, counted = [], Counter()
+    for i in range(160):
+        src = hosts[i] if i < len(hosts) else rnd.choice(hosts)
+        to = [rnd.choice(hosts + ["unseen.net"]) for _ in range(rnd.choice((0, 1, 1, 2, 5)))]
+        html = " ".join(f"<a {rnd.choice(('href', 'HREF'))}={rnd.choice(('http:', 'https:', ''))}//{t}/p>z</a>" for t in to) + "<a href='/own'>"
+        pages.append((i, f"http://{src}{rnd.choice(('/x', '/y'))}", html if i % 7 else html + " "))
+        for t in to:
+            if t != src:
+                counted[src, t] += 1
+    every = set(hosts) | {"unseen.net"}
+
+    def verdict(url):
+        host, _, path = url.partition("://")[2].partition("/")
+        fit = [(h, p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and ("/" + path).startswith(p)]
+        return max(fit, key=lambda r: len(r[0] + r[1]))[2] if fit else None
+
+    def plain(edges, want):
+        out, start = Counter(), {}
+        for (a, _), n in edges.items():
+            out[a] += n
+        for h in every:
+            mine = [verdict(u) for _, u, _ in pages if u.partition("://")[2].split("/")[0] == h]
+            start[h] = sum(v == want for v in mine) / len(mine) if mine else 0.0
+        score = dict(start)
+        for _ in range(300):
+            flow = Counter()
+            for (a, b), n in edges.items():
+                flow[b] += score[a] * n / out[a]
+            score = {h: start[h] + 0.85 * flow[h] for h in every}
+        return score
+    trust = plain(counted, "allow")
+    distrust = plain({(b, a): n for (a, b), n in counted.items()}, "block")
+    got = links.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string"), rules).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        assert r.trust == pytest.approx(trust[r.host], abs=1e-4) and r.distrust == pytest.approx(distrust[r.host], abs=1e-4)
+        known = verdict(f"http://{r.host}{r.path}")
+        assert r.verdict == (known or ("block" if distrust[r.host] - trust[r.host] >= 0.5 else "allow"))
+    assert {r.verdict for r in got if r.rule is None} == {"allow", "block"}
+
+
+def test_scores_that_do_not_settle_are_an_error(spark):
+    edges = spark.createDataFrame([("trust", "a", "b", 1.0), ("trust", "b", "a", 1.0)], "kind string, src string, dst string, share double")
+    seeds = spark.createDataFrame([("trust", "a", 1.0)], "kind string, host string, start double")
+    with pytest.raises(RuntimeError, match="still move"):
+        links.propagate(edges, seeds, max_steps=3)
 
 
 def test_near_lines(spark):
