@@ -12,6 +12,8 @@ case, so equal entities stay equal and different ones different.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,11 +49,31 @@ NO_MAIL = r"(?=[0-9+(\p{Lu}])(?:" + "|".join(f"(?:{r})" for k, r in KINDS.items(
 
 # Letters by kind: a letter is replaced by one of its own row.
 ALPHABETS = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "áàâäãéèêëíìîïóòôöõúùûü", "ñçßøåœæ",
-             "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ")
+             "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ",
+             "šžčćřňťďłńśźżğşșț", "ąęėįųūőűāēīōăů", "ёіїєґўјљњћџђ", "άέήίόύώ")
+
+
+def _other_rows() -> tuple:
+    """Rows of all other small letters that have a capital, one row a script
+    (the first word of a letter's Unicode name)."""
+    rows, listed = {}, set("".join(ALPHABETS))
+    for c in map(chr, range(0x80, 0x20000)):
+        if unicodedata.category(c) == "Ll" and c not in listed and len(c.upper()) == 1 and c.upper().lower() == c:
+            rows.setdefault(unicodedata.name(c, "?").split()[0], []).append(c)
+    return tuple("".join(r) for r in rows.values())
+
+
+ROWS = ALPHABETS + _other_rows()
+PLAIN = ALPHABETS[2]       # for letters of no row
 SPARE = 8          # draws with the same length; later ones grow by a character each
 MOST_DRAWS = 200
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, also where ``use`` needs it within a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def luhn_digit(digits: Column) -> Column:
     """Check digit for the digits before it."""
     def double(i):
@@ -65,17 +87,19 @@ def surrogate(kind: Column, value: Column, draw: Column, key: str) -> Column:
     """The surrogate of a part at its ``draw``-th drawing."""
     digest = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, value, draw.cast("string")), 512)
 
-    def number(i):
+    def number(i, digest=digest):
         return F.conv(F.substring(digest, (i * 2) % 120 + 1, 4), 16, 10).cast("int")
 
-    def letter(i):
-        c = F.substring(value, i, 1)
-        out = c
-        for row in reversed(ALPHABETS):
-            out = F.when(F.contains(F.lit(row), c), F.substring(F.lit(row), number(i) % len(row) + 1, 1)).otherwise(out)
+    def letter(c, i, digest):
+        def drawn(row):
+            return F.substring(F.lit(row), number(i, digest) % len(row) + 1, 1)
+        out = F.when(F.rlike(c, F.lit(r"\p{L}")), drawn(PLAIN)).otherwise(c)
+        for row in reversed(ROWS):
+            out = F.when(F.contains(F.lit(row), c), drawn(row)).otherwise(out)
         return out
 
-    plain = F.array_join(F.transform(F.sequence(F.lit(1), F.length(value)), letter), "")
+    plain = _bound(F.struct(F.split(value, "").alias("c"), digest.alias("d")),
+                   lambda s: F.array_join(F.transform(s["c"], lambda c, i: letter(c, i + 1, s["d"])), ""))
     head = F.substring(plain, F.lit(1), F.length(plain) - 1)
     cyrillic, greek = F.rlike(value, F.lit("[а-я]")), F.rlike(value, F.lit("[α-ω]"))
     female = F.concat(head, F.when(cyrillic, "а").when(greek, "α").otherwise("a"))
@@ -92,15 +116,21 @@ def surrogate(kind: Column, value: Column, draw: Column, key: str) -> Column:
 
 def overlay(raw: Column, letters: Column) -> Column:
     """``raw`` with its letters and digits replaced in order, its case and punctuation kept."""
-    def step(s, i):
-        c = F.substring(raw, i, 1)
-        new = F.substring(letters, s["at"], F.lit(1))
+    def step(s, c):
+        new = F.coalesce(F.get(s["new"], s["at"]), F.lit(""))
         held = F.rlike(c, F.lit(r"[\p{L}\p{N}]"))
         return F.struct((s["at"] + held.cast("int")).alias("at"),
-                        F.concat(s["out"], F.when(held, F.when(c != F.lower(c), F.upper(new)).otherwise(new)).otherwise(c)).alias("out"))
-    start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
-    return F.aggregate(F.sequence(F.lit(1), F.length(raw)), start, step,
-                       lambda s: F.concat(s["out"], F.substring(letters, s["at"], F.length(letters))))
+                        F.concat(s["out"], F.when(held, F.when(c != F.lower(c), F.upper(new)).otherwise(new)).otherwise(c)).alias("out"),
+                        s["new"].alias("new"))
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"), F.split(letters, "").alias("new"))
+    return F.aggregate(F.split(raw, ""), start, step,
+                       lambda s: F.concat(s["out"], F.array_join(F.slice(s["new"], s["at"] + 1, F.size(s["new"])), "")))
+
+
+def _alike(kind: Column, value: Column, other: Column) -> Column:
+    """More than half of the letters and digits are still in their places."""
+    same = F.zip_with(F.split(value, ""), F.split(other, ""), lambda x, y: x.eqNullSafe(y))
+    return (kind != "ip") & (F.size(F.filter(same, lambda x: x)) * 2 > F.length(value))
 
 
 def _parts(raw: Column) -> Column:
@@ -148,7 +178,8 @@ def _parts(raw: Column) -> Column:
 
 def surrogate_table(parts: DataFrame, key: str) -> DataFrame:
     """``kind, value, surrogate`` for distinct parts; no two values of a kind
-    share a surrogate and no surrogate is a value of its kind."""
+    share a surrogate, no surrogate is a value of its kind, and none keeps more
+    than half of its value's letters in place."""
     # dealt by hand: the parts are few bytes, which Spark would leave to one task, but each takes a hash per letter
     table = materialize(parts.repartition(partitions(parts), "kind", "value").distinct().withColumn("draw", F.lit(0))
                         .withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), F.col("draw"), key)), "pii-table")
@@ -156,7 +187,7 @@ def surrogate_table(parts: DataFrame, key: str) -> DataFrame:
     for _ in range(MOST_DRAWS):
         # drawn first, then by value: the earlier keeps its surrogate
         place = F.row_number().over(Window.partitionBy("kind", "surrogate").orderBy("draw", "value"))
-        bad = (F.col("place") > 1) | F.col("_v").isNotNull()
+        bad = (F.col("place") > 1) | F.col("_v").isNotNull() | _alike(F.col("kind"), F.col("value"), F.col("surrogate"))
         seen = (table.withColumn("place", place)
                 .join(originals, (F.col("kind") == F.col("_k")) & (F.col("surrogate") == F.col("_v")), "left")
                 .withColumn("bad", bad).drop("place", "_k", "_v"))

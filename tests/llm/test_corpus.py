@@ -449,6 +449,25 @@ def test_surrogates(spark):
     assert got[6].text == "long " * 3000 and got[1].text == "" and got[50].n_entities == 4
 
 
+def test_letters_of_every_cased_script_are_replaced(spark):
+    import unicodedata
+    small = [c for c in map(chr, range(0x61, 0x1E944)) if unicodedata.category(c) == "Ll" and len(c.upper()) == 1
+             and c.upper().lower() == c and unicodedata.category(c.upper()) == "Lu" and ord(c) < 0xAB00]
+    by_script = {}
+    for c in small:
+        by_script.setdefault(unicodedata.name(c).split()[0], []).append(c)
+    rows = [("surname", "".join(r[i:i + 6])) for r in by_script.values() for i in range(0, len(r) - 5, 6)]
+    rows += [("surname", "šžč"), ("given_m", "łőž"), ("surname", "ąžuolas"), ("surname", "𝐚𝐛𝐜"), ("given_f", "հայկ")]
+    got = surrogates.surrogate_table(spark.createDataFrame(rows, "kind string, value string"), "k").collect()
+    assert len(got) == len(set(rows)) and len({(r.kind, r.surrogate) for r in got}) == len(got) and len(by_script) > 5
+    for r in got:
+        assert 2 * sum(x == y for x, y in zip(r.value, r.surrogate)) <= len(r.value), r
+        assert unicodedata.name(r.value[0]).split()[0] in (unicodedata.name(r.surrogate[0]).split()[0], "MATHEMATICAL")
+    docs = frame(spark, [(1, "Frau Šžč and Mr Łőž, Mr " + "Ab" + "c" * 20_000)])
+    text = surrogates.replace_entities(docs).first().text
+    assert not re.search("[šžčłőŠŁ][žő]", text) and len(text) >= 20_000 and text.startswith("Frau ")
+
+
 def test_names_found_once_are_replaced_everywhere(spark):
     rows = [(1, "Mr John Smith came. SMITH said that John's Smithy, and Smith again; John.Smith@mail.example.com"),
             (2, "Smith is not named here, nor John"), (None, "Prof. Dr. Anna Meier; Frau Anna Meier (Anna, Meier)"),
