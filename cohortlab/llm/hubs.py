@@ -8,7 +8,8 @@ that does not link with the hub.  Such a pair must share tokens of their
 differences from the hub, as |x - hub| + |y - hub| exceeds what the two may
 differ in.  Those tokens, rarest first and only as many as the bound asks for,
 are the next buckets.  When they are small, or after ``rounds`` of this, the
-remaining pairs across components are all verified.  Buckets of few
+remaining pairs across components are all verified.  A caller with a finer
+signature may split such buckets by it before any tokens are written.  Buckets of few
 members need no hub: their pairs are verified at the end, where components
 still differ.  No pair that shares a bucket and links is lost: it ends in one
 component.
@@ -38,7 +39,8 @@ WIDTH = 4096              # tokens that are compared at a time
 
 def link_components(buckets: DataFrame, sets: DataFrame, num: int, den: int, rounds: int = 3, small: int = 1000,
                     expand: Callable[[Column], Column] = lambda c: c, few: int = FEW, strays: bool = False,
-                    compare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                    compare: Callable[[DataFrame], DataFrame] | None = None,
+                    finer: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``buckets``: ``bucket, node``; ``sets``: ``node, n, body`` with one row
     per node, where ``expand(body)`` is the array of the set's ``n`` tokens.
     Sets link when ``den * intersection >= num * union``.
@@ -49,6 +51,10 @@ def link_components(buckets: DataFrame, sets: DataFrame, num: int, den: int, rou
     ``compare`` turns ``a, b, x, y, nx, ny`` (pairs and their bodies) into
     ``a, b, link``, where the bodies need not be expanded for that.
 
+    ``finer`` gives new buckets for the members (``node, body``) of those first
+    buckets that still hold several components, most of whose pairs are far
+    from linking; tokens then serve only where these buckets stay open too.
+
     Returns ``node, component`` for all nodes of ``buckets``.
     """
     score = materialize(buckets.groupBy("node").agg(F.count("*").alias("score")), "link-scores")
@@ -65,7 +71,8 @@ def link_components(buckets: DataFrame, sets: DataFrame, num: int, den: int, rou
             "node", F.coalesce("component", "node").alias("component"))
         return found, materialize(part, "link-components")
 
-    for turn in range(rounds + 1):
+    last = rounds + (finer is not None)
+    for turn in range(last + 1):
         if final:
             _, part = join_up(_pairs_left(buckets, num, den))
             break
@@ -94,11 +101,17 @@ def link_components(buckets: DataFrame, sets: DataFrame, num: int, den: int, rou
         spread = materialize(spread.join(open_, "bucket").select("hub", "node", "component").distinct(), "link-open")
         if spread.isEmpty():
             break
+        if finer is not None and turn == 0:
+            members = spread.select("node").unionByName(spread.select(F.col("hub").alias("node"))).distinct()
+            buckets = materialize(finer(members.join(sets, "node").select("node", "body")), "link-finer")
+            if buckets.isEmpty():
+                break
+            continue
         buckets = materialize(_refine(spread, found, sets, num, den, expand), "link-refined")
         if buckets.isEmpty():
             break
         largest = buckets.groupBy("bucket").count().agg(F.max("count").alias("m")).first()["m"]
-        final = largest <= small or turn == rounds - 1
+        final = largest <= small or turn == last - 1
     rest = tiny.join(part, "node").join(sizes, "node")
     one = rest.where("lead").select("bucket", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"))
     two = rest.select("bucket", F.col("node").alias("y"), F.col("component").alias("cy"), F.col("n").alias("ny"), "lead")

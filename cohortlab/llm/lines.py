@@ -17,6 +17,7 @@ from cohortlab.plans.guards import materialize
 NUM, DEN = 80, 100            # near: DEN * intersection >= NUM * union
 SHINGLE = 5                   # characters
 ROWS, BANDS = 5, 14           # a pair at 0.8 shares a band with probability 0.996
+FINE_ROWS, FINE_BANDS = 10, 64        # 0.999, for the members of buckets that hold several components
 BLOCK = 1 << 20               # characters signed at a time
 CHARS = 1 << 16               # characters hashed at a time
 FEW = 16                      # members of a bucket whose pairs are all compared
@@ -119,11 +120,11 @@ def tokens(line: str) -> np.ndarray:
     return np.unique(_joined([line])[0])
 
 
-def band_keys(lines: list[str]) -> np.ndarray:
-    """``len(lines) x BANDS`` keys.  One permutation: a line's shingles fall
-    into ROWS * BANDS bins, each bin keeps its least hash, and an empty bin
+def band_keys(lines: list[str], rows: int = ROWS, bands: int = BANDS) -> np.ndarray:
+    """``len(lines) x bands`` keys.  One permutation: a line's shingles fall
+    into ``rows * bands`` bins, each bin keeps its least hash, and an empty bin
     borrows from the first filled one of a fixed pseudo-random sequence."""
-    bins = ROWS * BANDS
+    bins = rows * bands
     hashes, line = _joined(lines)
     sig = np.full(len(lines) * bins, _EMPTY, np.uint64)
     bin_ = ((hashes >> _u(32)) * _u(bins) >> _u(32)).astype(np.int64)
@@ -139,10 +140,10 @@ def band_keys(lines: list[str]) -> np.ndarray:
         ok = got != _EMPTY
         filled[row[ok], at[ok]] = rolling.mix(got[ok] + _u(turn))
         row, at = row[~ok], at[~ok]
-    keys = np.zeros((len(lines), BANDS), np.uint64)
-    for r in range(ROWS):
-        keys = rolling.mix(keys * _u(31) + filled[:, r::ROWS])
-    return rolling.mix(keys + np.arange(BANDS, dtype=np.uint64) * _u(0x9E3779B97F4A7C15))
+    keys = np.zeros((len(lines), bands), np.uint64)
+    for r in range(rows):
+        keys = rolling.mix(keys * _u(31) + filled[:, r::rows])
+    return rolling.mix(keys + np.arange(bands, dtype=np.uint64) * _u(0x9E3779B97F4A7C15))
 
 
 def _rows():
@@ -191,6 +192,17 @@ def _bands(parts: int, apart: frozenset):
     return run
 
 
+def _fine_bands(parts: int):
+    def run(batches):
+        for b in batches:
+            nodes, lines = b.column(0).to_numpy(), b.column(1).to_pylist()
+            for at, end in _cut([FINE_ROWS * FINE_BANDS + len(x) for x in lines]):
+                keys = band_keys(lines[at:end], FINE_ROWS, FINE_BANDS)
+                node = np.repeat(nodes[at:end], FINE_BANDS)
+                yield packed.deal(keys.ravel(), node, np.zeros(len(node), np.uint8), parts)
+    return run
+
+
 def _texts():
     """The lines asked for: one row per wanted line of each document."""
     def run(batches):
@@ -253,7 +265,10 @@ def near_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bodies = materialize(bodies, "line-texts")
     if bodies.count() > bodies.select("node").distinct().count():
         bodies = materialize(bodies.dropDuplicates(["node"]), "line-texts")
-    part = link_components(buckets, bodies, NUM, DEN, rounds, small, _expand, FEW, True, _compare)
+
+    def finer(members):
+        return packed.shared(members.mapInArrow(_fine_bands(4 * n), packed.SCHEMA), n).select("bucket", "node")
+    part = link_components(buckets, bodies, NUM, DEN, rounds, small, _expand, FEW, True, _compare, finer)
     placed = nodes.join(part, "node", "left").select(
         "node", "first", F.coalesce("component", "node").alias("component"))
     placed = materialize(placed, "line-placed")
