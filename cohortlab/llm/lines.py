@@ -128,9 +128,10 @@ def band_keys(lines: list[str], rows: int = ROWS, bands: int = BANDS) -> np.ndar
     hashes, line = _joined(lines)
     sig = np.full(len(lines) * bins, _EMPTY, np.uint64)
     bin_ = ((hashes >> _u(32)) * _u(bins) >> _u(32)).astype(np.int64)
-    np.minimum.at(sig, line * bins + bin_, rolling.mix(hashes + _u(0x51ED)))
+    np.minimum.at(sig, line * bins + bin_, hashes)        # uniform within a bin
     sig = sig.reshape(len(lines), bins)
     row, at = np.nonzero(sig == _EMPTY)
+    sig = np.where(sig == _EMPTY, _EMPTY, rolling.mix(sig + _u(0x51ED)))
     filled = sig.copy()
     turn = 0
     while len(row):

@@ -31,6 +31,17 @@ def deal(value: np.ndarray, node: np.ndarray, tag: np.ndarray, parts: int) -> pa
         names=["part", "value", "node", "tag"])
 
 
+def _repeated(v: np.ndarray) -> np.ndarray:
+    """Places, ascending, of the values that occur twice or more: most do not,
+    and need no sort by node."""
+    order = np.argsort(v)
+    same = v[order[1:]] == v[order[:-1]]
+    several = np.zeros(len(v), bool)
+    several[order[1:][same]] = True
+    several[order[:-1][same]] = True
+    return np.flatnonzero(several)
+
+
 def _gather(batches):
     got = [[], [], []]
     for b in batches:
@@ -40,6 +51,10 @@ def _gather(batches):
         return
     v, node, tag = (np.concatenate(x) for x in got)
     got.clear()
+    pick = _repeated(v)
+    v, node, tag = v[pick], node[pick], tag[pick]
+    if not len(v):
+        return
     order = np.lexsort((node, v))
     v, node, tag = v[order], node[order], tag[order]
     fresh = np.concatenate(([True], (v[1:] != v[:-1]) | (node[1:] != node[:-1])))
