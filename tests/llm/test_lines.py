@@ -79,7 +79,31 @@ def test_one_band_of_many_different_lines(spark, monkeypatch):
     assert report(spark, rows) == sorted(brute(rows))
 
 
-def test_recall_of_the_bands():
+def test_finer_bands_split_what_the_first_leave_together(spark, monkeypatch):
+    """Lines of one small vocabulary: many share a band by chance, few link."""
+    monkeypatch.setattr(lines, "FEW", 2)
+    rnd = random.Random(11)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(3, 8))) for _ in range(40)]
+    every = []
+    for _ in range(60):
+        base = rnd.sample(words, 28)
+        every.append(" ".join(base))
+        if rnd.random() < .5:
+            base[rnd.randrange(28)] = "zzz"
+            every.append(" ".join(base))
+    rows = [(i, "\n".join(every[i::6])) for i in range(6)]
+    split, asked = lines.packed.shared, []
+
+    def shared(dealt, n):
+        asked.append(n)
+        return split(dealt, n)
+    monkeypatch.setattr(lines.packed, "shared", shared)
+    assert report(spark, rows) == sorted(brute(rows))
+    assert len(asked) == 2
+
+
+@pytest.mark.parametrize("rows, bands", [(lines.ROWS, lines.BANDS), (lines.FINE_ROWS, lines.FINE_BANDS)])
+def test_recall_of_the_bands(rows, bands):
     """Pairs of Jaccard 0.80 to 0.86 of lines of 14 to 300 characters share a band."""
     rnd = random.Random(3)
     met = tried = 0
@@ -95,7 +119,7 @@ def test_recall_of_the_bands():
             if 0.8 <= len(x & y) / len(x | y) <= 0.86:
                 left.append(a)
                 right.append(b)
-        met += (lines.band_keys(left) == lines.band_keys(right)).any(axis=1).sum()
+        met += (lines.band_keys(left, rows, bands) == lines.band_keys(right, rows, bands)).any(axis=1).sum()
         tried += len(left)
     assert met / tried > 0.99, met / tried
 
