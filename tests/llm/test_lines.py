@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortlab.llm import common, lines, ngram_join
+from cohortlab.llm import common, lines, ngram_join, packed
 
 
 def grams(line):
@@ -92,12 +92,12 @@ def test_finer_bands_split_what_the_first_leave_together(spark, monkeypatch):
             base[rnd.randrange(28)] = "zzz"
             every.append(" ".join(base))
     rows = [(i, "\n".join(every[i::6])) for i in range(6)]
-    split, asked = lines.packed.shared, []
+    split, asked = packed.shared, []
 
     def shared(dealt, n):
         asked.append(n)
         return split(dealt, n)
-    monkeypatch.setattr(lines.packed, "shared", shared)
+    monkeypatch.setattr(packed, "shared", shared)
     assert report(spark, rows) == sorted(brute(rows))
     assert len(asked) == 2
 
@@ -167,3 +167,17 @@ def test_dropped_lines_are_cut_and_other_columns_stay(spark):
     assert got == {(1, "a"): rows[0][1], (2, "b"): "\nlast", (None, "c"): None, (None, None): "", (3, "d"): ""}
     assert lines.drop_near_lines(docs).columns == docs.columns
     assert lines.drop_near_lines(docs.limit(0)).count() == 0
+
+
+def test_gathered_values_are_those_of_two_nodes():
+    """Packed values against a plain count, repeated nodes of a value included."""
+    rnd = np.random.default_rng(2)
+    value = rnd.integers(0, 300, 500).astype(np.uint64) << np.uint64(50)
+    node, tag = rnd.integers(-4, 4, 500), (value >> np.uint64(50)).astype(np.uint8)
+    got = [b for b in packed._gather([packed.deal(value[:200], node[:200], tag[:200], 1), packed.deal(value[200:], node[200:], tag[200:], 1)])]
+    rows = sorted(r for b in got for r in zip(*(c.to_pylist() for c in b.columns)))
+    nodes = {}
+    for v, n in zip(value.view(np.int64).tolist(), node.tolist()):
+        nodes.setdefault(v, set()).add(n)
+    assert rows == sorted((v, n, (v >> 50) % 256, len(s)) for v, s in nodes.items() for n in s if len(s) > 1)
+    assert not list(packed._gather([])) and not list(packed._gather([packed.deal(value[:1], node[:1], tag[:1], 1)]))
