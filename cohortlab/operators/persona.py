@@ -98,31 +98,43 @@ def first_contacts(edges_m: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- pair aggregates
-def day_cube(edges: DataFrame) -> DataFrame:
-    """``user, friend, day, category, n``: the one reduction of the edges that
-    the personas, the first days and the first contacts derive from.  Written
-    to the shared folder, so the edges are computed once; rows without a user
-    are left out, those without a friend or a category are kept."""
-    return materialize(edges.where(F.col(USER).isNotNull())
-                            .groupBy(USER, FRIEND, F.to_date(TIME).alias("day"), CAT).agg(F.count(F.lit(1)).alias("n")), "edge-days")
+def edge_days(edges: DataFrame) -> DataFrame:
+    """``user, friend, day, category``: the transactions behind ``edges``, each
+    from the end whose user comes first, written once to the shared folder.
+    What the personas derive from it is aggregated from this end and turned
+    round afterwards (:func:`both_ways`), so half as much is mixed.  Rows
+    without a user are left out, those without a friend or a category are kept."""
+    user, friend = F.col(USER), F.col(FRIEND)
+    one_end = edges.where(user.isNotNull() & (friend.isNull() | (user <= friend)))
+    return materialize(one_end.select(USER, FRIEND, F.to_date(TIME).alias("day"), CAT), "edge-days")
 
 
-def _cat_sum(k: str) -> Column:
-    return F.sum(F.when(F.col(CAT) == F.lit(k), F.col("n")).otherwise(F.lit(0)))
+def both_ways(one_end: DataFrame) -> DataFrame:
+    """Rows of one end of each pair from both ends.  A user's dealings with
+    itself are there from both already, and a missing friend has no end."""
+    there = F.struct(F.col(USER).alias(USER), F.col(FRIEND).alias(FRIEND))
+    back = F.struct(F.col(FRIEND).alias(USER), F.col(USER).alias(FRIEND))
+    ends = F.when(F.col(USER) < F.col(FRIEND), F.array(there, back)).otherwise(F.array(there))
+    return one_end.select(F.inline(ends), *[q(c) for c in one_end.columns if c not in (USER, FRIEND)])
 
 
-def pair_table(cube: DataFrame, categories: Sequence[str]) -> DataFrame:
-    """One row per (user, friend) of a :func:`day_cube`: first-contact day
+def _cat_count(k: str) -> Column:
+    return F.count(F.when(F.col(CAT) == F.lit(k), 1))
+
+
+def pair_table(days: DataFrame, categories: Sequence[str]) -> DataFrame:
+    """One row per (user, friend) of :func:`edge_days`: first-contact day
     ``d0``, the pair's count per category and in total (all times).  Rows
     without a friend form the (user, null) row, which only counts towards the
     user's first day.  Both ends of a pair see the same counts, because
-    ``both_sides`` emits every transaction in both orientations."""
-    return cube.groupBy(USER, FRIEND).agg(F.min("day").alias("d0"), *[_cat_sum(k).alias(k) for k in categories],
-                                          F.sum("n").alias("_all"))
+    ``both_sides`` emits every transaction in both orientations; the row is
+    that of the end in ``days`` (:func:`both_ways` gives the other)."""
+    return days.groupBy(USER, FRIEND).agg(F.min("day").alias("d0"), *[_cat_count(k).alias(k) for k in categories],
+                                          F.count(F.lit(1)).alias("_all"))
 
 
 def user_stats(pairs: DataFrame, categories: list[str]) -> DataFrame:
-    """One row per user from the pair table: first active day (rows without a
+    """One row per user from the pair table (from both ends): first active day (rows without a
     friend included), count per category and in total over all partners, and
     the number of partners ``_pairs`` (which, pairs being symmetric, is also
     the user's row count on either side of a pair lookup)."""
@@ -134,7 +146,7 @@ def user_stats(pairs: DataFrame, categories: list[str]) -> DataFrame:
 
 
 def friend_shares(edges: DataFrame | None, categories: Sequence[str] = CATEGORIES,
-                  start: int | None = None, end: int | None = None, cube: DataFrame | None = None) -> DataFrame:
+                  start: int | None = None, end: int | None = None, days: DataFrame | None = None) -> DataFrame:
     """``user, friend, lifetime_month`` + the friend's category shares over
     the friend's transactions with anyone but the user.
 
@@ -145,10 +157,10 @@ def friend_shares(edges: DataFrame | None, categories: Sequence[str] = CATEGORIE
 
     The pair table and the per-user statistics each feed several consumers
     (lookups and their hot-key checks) and are written to the shared folder.
-    ``cube`` is the :func:`day_cube` of ``edges`` where it is there already.
+    ``days`` is the :func:`edge_days` of ``edges`` where it is there already.
     """
     cats = list(categories)
-    pairs = materialize(pair_table(day_cube(edges) if cube is None else cube, cats), "pairs")
+    pairs = both_ways(materialize(pair_table(edge_days(edges) if days is None else days, cats), "pairs"))
     stats = materialize(user_stats(pairs, cats), "user-stats")
     first = stats.select(F.col(USER).alias("_fu"), "first_day", "_pairs")
     known = pairs.where(F.col(FRIEND).isNotNull())
@@ -184,7 +196,7 @@ def _friend_window_counts(daily: DataFrame, queries: DataFrame, cats: list[str])
     ``[lo, hi]`` of each query row (``user, friend, lo, hi``).
 
     An as-of lookup into per-friend prefix sums without a range join: the
-    friend's daily rows and the query bounds are unioned and ordered by day
+    friend's daily rows (``daily``: one per user and day) and the query bounds are unioned and ordered by day
     within ``(friend, salt)``; a running sum over the daily rows gives each
     bound its prefix count.  Friends with more window bounds than
     ``HOT_KEY_ROWS`` (a bounded, broadcast list) are split into as many parts
@@ -198,8 +210,7 @@ def _friend_window_counts(daily: DataFrame, queries: DataFrame, cats: list[str])
     def mark(df):
         return df.join(hot, df["_f"] == F.col("_hot"), "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
 
-    data = mark(daily.groupBy(F.col(USER).alias("_f"), F.col("day").alias("_x"))
-                     .agg(*[F.sum(q(k)).alias(k) for k in cols]))
+    data = mark(daily.select(F.col(USER).alias("_f"), F.col("day").alias("_x"), *[q(k) for k in cols]))
     data = (data.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
                 .select("_f", "_x", *[q(k) for k in cols], F.lit(0).alias("_t"),
                         F.lit(None).cast("string").alias("_u"), F.lit(None).cast("int").alias("_b"), "_salt"))
@@ -220,15 +231,15 @@ def _friend_window_counts(daily: DataFrame, queries: DataFrame, cats: list[str])
 
 
 def friend_shares_within_lifetime(edges: DataFrame | None, categories: Sequence[str] = CATEGORIES,
-                                  start: int = 1, end: int = 12, cube: DataFrame | None = None) -> DataFrame:
+                                  start: int = 1, end: int = 12, days: DataFrame | None = None) -> DataFrame:
     """``friend_shares`` counting only the friend's transactions whose
     lifetime month on the *user's* clock (days since the user's first day)
     lies in ``[start, end]``, as the reference's comment intends (its code
     computes that month but never filters on it).  The user's clock starts at
     the user's first transaction."""
     cats = list(categories)
-    cube = day_cube(edges) if cube is None else cube
-    pairs = materialize(pair_table(cube, cats), "pairs")
+    days = edge_days(edges) if days is None else days
+    pairs = both_ways(materialize(pair_table(days, cats), "pairs"))
     stats = materialize(user_stats(pairs, cats), "user-stats")
     first = stats.select(F.col(USER).alias("_fu"), "first_day", "_pairs")
     known = pairs.where(F.col(FRIEND).isNotNull())
@@ -239,12 +250,17 @@ def friend_shares_within_lifetime(edges: DataFrame | None, categories: Sequence[
           .select(USER, FRIEND, MONTH, F.date_add("first_day", xlo).alias("lo"),
                   F.date_add("first_day", xhi).alias("hi")))
     pm = materialize(pm, "pair-windows")
-    counts = [_cat_sum(k).alias(k) for k in cats] + [F.sum("n").alias("_all")]
-    daily = materialize(cube.where(F.col(FRIEND).isNotNull()).groupBy(USER, FRIEND, "day").agg(*counts), "pair-days")
-    # the pair's own days inside its window (pair rows are the same from both ends)
-    own = (daily.join(pm, [USER, FRIEND])
-                .where(F.col("day").between(F.col("lo"), F.col("hi")))
-                .groupBy(USER, FRIEND).agg(*[F.sum(q(k)).alias("_o_" + k) for k in cats + ["_all"]]))
+    counts = [_cat_count(k).alias(k) for k in cats] + [F.count(F.lit(1)).alias("_all")]
+    met = days.where(F.col(FRIEND).isNotNull())
+    # the pair's own days inside its window: days and windows meet at one end of the pair, frequent pairs in parts
+    pair = F.struct(F.least(USER, FRIEND).alias("a"), F.greatest(USER, FRIEND).alias("b"))
+    hot = hot_keys(known.select(pair.alias("_p"), "_all").distinct(), "_p", "_all")
+    own = (salted_lookup_join(met.select(pair.alias("_pd"), "day", CAT), pm.select(USER, FRIEND, "lo", "hi", pair.alias("_pw")),
+                              "_pd", "_pw", salt_from=["day", CAT], hot=hot)
+           .where(F.col("day").between(F.col("lo"), F.col("hi")))
+           .groupBy(USER, FRIEND).agg(*counts))
+    own = own.select(USER, FRIEND, *[q(k).alias("_o_" + k) for k in cats + ["_all"]])
+    daily = both_ways(met).groupBy(USER, "day").agg(*counts)
     friend = _friend_window_counts(daily, pm, cats)
     j = (pm.join(friend, [USER, FRIEND], "left").join(own, [USER, FRIEND], "left")
            .fillna(0, subset=cats + ["_all"] + ["_o_" + k for k in cats + ["_all"]]))
@@ -262,19 +278,22 @@ def friend_activity(edges: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame
     transactions, without materialising that join).
 
     All inputs come from one reduction to (user, friend, time, category)
-    counts, written once to the shared folder.  A pair meets its friend's
+    counts at one end of each pair, written once to the shared folder.  A pair meets its friend's
     categories as rows, however many there are: a friend with more than
     ``hot_rows`` rows of the result is split into parts of about so many, and
     the pair's own counts are taken off by a second equi-join.
     """
-    base = materialize(edges.where(F.col(USER).isNotNull() & F.col(FRIEND).isNotNull())
+    base = materialize(edges.where(F.col(USER) <= F.col(FRIEND))
                             .groupBy(USER, FRIEND, TIME, CAT).agg(F.count(F.lit(1)).alias("c")),
                        "edge-counts")
-    ties = (base.where(F.col(TIME).isNotNull())
-                .groupBy(USER, FRIEND, TIME).agg(F.sum("c").alias("ct"))
-                .groupBy(USER, FRIEND).agg(F.min_by("ct", TIME).alias("ties")))
-    ties = materialize(ties, "first-contact-ties")
-    own = materialize(base.groupBy(USER, FRIEND, CAT).agg(F.sum("c").alias("own")), "pair-categories")
+    # per category its rows and how many of them are the earliest; a pair has no more rows here than categories
+    own = materialize(base.groupBy(USER, FRIEND, CAT).agg(F.sum("c").alias("own"), F.min(TIME).alias("_t0"),
+                                                          F.min_by("c", TIME).alias("ct")), "pair-categories")
+    ties = (own.where(F.col("_t0").isNotNull())
+               .groupBy(USER, FRIEND, "_t0").agg(F.sum("ct").alias("ct"))
+               .groupBy(USER, FRIEND).agg(F.min_by("ct", "_t0").alias("ties")))
+    ties = both_ways(materialize(ties, "first-contact-ties"))
+    own = both_ways(own.select(USER, FRIEND, CAT, "own"))
     each = materialize(own.groupBy(F.col(USER).alias("_fu"), F.col(CAT).alias("category")).agg(F.sum("own").alias("all")),
                        "user-categories")
     met = ties.groupBy(F.col(FRIEND).alias("_f")).agg(F.count(F.lit(1)).alias("pairs"))
@@ -290,37 +309,41 @@ def friend_activity(edges: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame
 
 
 # ---------------------------------------------------------------- self persona
-def self_persona(edges: DataFrame | None, start: int = 1, end: int = 12,
-                 categories: Sequence[str] = CATEGORIES, cube: DataFrame | None = None) -> DataFrame:
-    """``user`` + share of each category among the user's transactions whose
-    lifetime month lies in ``[start, end]`` (null shares for a zero total).
+def _daily_months(edges: DataFrame | None, categories: Sequence[str], days: DataFrame | None) -> DataFrame:
+    """``user, day, <k>.., lifetime_month``: a user's counts by day.
 
     Rows are first reduced to (user, day) counts, combined map-side, so a hot
     user's volume never reaches one task.  The first day is a window over
     those rows: a user has at most one row per active day, so the window
     partitions stay bounded whatever the user's volume, and no join is needed.
     """
-    if cube is None:
-        counts = [F.count(F.when(F.col(CAT) == F.lit(k), 1)).alias(k) for k in categories]
-        daily = edges.where(F.col(USER).isNotNull()).groupBy(USER, F.to_date(TIME).alias("day")).agg(*counts)
+    if days is None:
+        rows = edges.where(F.col(USER).isNotNull()).withColumn("day", F.to_date(TIME))
     else:
-        daily = cube.groupBy(USER, "day").agg(*[_cat_sum(k).alias(k) for k in categories])
-    first = F.min("day").over(Window.partitionBy(USER))
-    dm = daily.withColumn(MONTH, month_expr("day", first)).where(F.col(MONTH).between(start, end))
+        rows = both_ways(days)
+    daily = rows.groupBy(USER, "day").agg(*[_cat_count(k).alias(k) for k in categories])
+    return daily.withColumn(MONTH, month_expr("day", F.min("day").over(Window.partitionBy(USER))))
+
+
+def self_persona(edges: DataFrame | None, start: int = 1, end: int = 12,
+                 categories: Sequence[str] = CATEGORIES, days: DataFrame | None = None) -> DataFrame:
+    """``user`` + share of each category among the user's transactions whose
+    lifetime month lies in ``[start, end]`` (null shares for a zero total)."""
+    dm = _daily_months(edges, categories, days).where(F.col(MONTH).between(start, end))
     sums = dm.groupBy(USER).agg(*[F.sum(q(k)).alias(k) for k in categories])
     return reshape.shares(sums, categories)
 
 
 def community_persona(edges: DataFrame | None, start: int = 1, end: int = 12,
                       categories: Sequence[str] = CATEGORIES, prefix: str = "c_",
-                      cube: DataFrame | None = None, within_user_lifetime: bool = False) -> DataFrame:
+                      days: DataFrame | None = None, within_user_lifetime: bool = False) -> DataFrame:
     """``user`` + ``c_<category>``: mean over the user's months (of first
     contact, within ``[start, end]``) of the mean over friends met that month
     of the friend's shares.  Both means are unweighted; nulls are skipped.
     ``within_user_lifetime`` counts only the friends' transactions that fall
     in months ``[start, end]`` of the user's lifetime."""
     shares = friend_shares_within_lifetime if within_user_lifetime else friend_shares
-    fs = shares(edges, categories, start, end, cube)
+    fs = shares(edges, categories, start, end, days)
     monthly = fs.groupBy(USER, MONTH).agg(*[F.avg(q(k)).alias(k) for k in categories])
     return monthly.groupBy(USER).agg(*[F.avg(q(k)).alias(prefix + k) for k in categories])
 
@@ -329,11 +352,11 @@ def persona(edges: DataFrame, start: int = 1, end: int = 12,
             categories: Sequence[str] = CATEGORIES, path: str | None = None,
             mode: str = "errorifexists") -> DataFrame:
     """Self persona left-joined with the community persona, gaps as 0, both
-    from one reduction of the edges.  With ``path`` the result is written as
+    from one reading of the edges.  With ``path`` the result is written as
     gzip Parquet and the written table returned."""
-    cube = day_cube(edges)
-    selfp = self_persona(None, start, end, categories, cube)
-    comm = community_persona(None, start, end, categories, cube=cube)
+    days = edge_days(edges)
+    selfp = self_persona(None, start, end, categories, days)
+    comm = community_persona(None, start, end, categories, days=days)
     out = selfp.join(comm, USER, "left").fillna(0)
     return write_through(out, path, mode) if path else out
 
@@ -342,11 +365,15 @@ def persona_before_after(edges: DataFrame, start: int, end: int, categories: Seq
                          path: str | None = None, mode: str = "errorifexists") -> DataFrame:
     """Self persona up to month ``start`` beside (``c_`` prefixed) the self
     persona of months ``(start, end]``; users absent afterwards get 0.
-    ``path`` as in :func:`persona`."""
-    cube = day_cube(edges)
-    before = self_persona(None, 1, start, categories, cube)
-    after = reshape.prefix_columns(self_persona(None, start + 1, end, categories, cube), "c_", [USER])
-    out = before.join(after, USER, "left").fillna(0)
+    Both come from one pass over a user's days.  ``path`` as in :func:`persona`."""
+    dm = _daily_months(edges, categories, None)
+    before, after = F.col(MONTH).between(1, start), F.col(MONTH).between(start + 1, end)
+    later = [f"c_{k}" for k in categories]
+    sums = (dm.groupBy(USER).agg(*[F.sum(F.when(before, q(k))).alias(k) for k in categories],
+                                 *[F.sum(F.when(after, q(k))).alias(c) for k, c in zip(categories, later)],
+                                 F.count(F.when(before, 1)).alias("_days"))
+              .where(F.col("_days") > 0).drop("_days"))
+    out = reshape.shares(reshape.shares(sums, categories), later).select(USER, *[q(c) for c in (*categories, *later)]).fillna(0)
     return write_through(out, path, mode) if path else out
 
 
