@@ -260,3 +260,46 @@ def test_nine_categories_with_a_slash(spark):
     out = P.calculate_persona(t)
     assert "c_Illegal/Sarcasm" in out.columns and len(out.columns) == 19
     assert all(abs(sum(r[k] for k in P.CATEGORIES) - 1) < 1e-9 for r in out.collect())
+
+
+def test_pairs_are_reduced_from_one_end(spark, edges):
+    """Personas keep and mix one row per transaction, not one per end."""
+    rows = _random_edges()
+    days = P.edge_days(edges)
+    loops = sum(a == b for a, b, _, _ in rows)
+    assert days.count() == len(rows) + loops
+    pairs = P.pair_table(days, CATS)
+    assert pairs.count() == len({tuple(sorted((a, b), key=str)) for a, b, _, _ in rows})
+    ends = P.both_ways(days)
+    want = edges.where("user is not null").select("user", "friend", F.to_date("transaction_time").alias("day"), "selected_match_type")
+    assert ends.exceptAll(want).count() == 0 and want.exceptAll(ends).count() == 0
+
+
+def test_before_and_after_come_from_one_pass(spark, edges):
+    """Two exchanges, by day and by user, for both ranges of months."""
+    plan = plan_text(P.persona_before_after(edges, 2, 12, CATS), "simple")
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+
+
+def test_windows_count_frequent_pairs_in_parts(spark, monkeypatch):
+    """A pair's own days meet its windows as they come; frequent pairs are split."""
+    from cohortlab.plans import guards
+    edges = P.both_sides(spark.createDataFrame(_random_edges(11, 500, 4), SCHEMA))
+    want = {tuple(r) for r in P.friend_shares_within_lifetime(edges, CATS, 1, 2).collect()}
+    monkeypatch.setattr(guards.hot_keys, "__defaults__", (3, guards.MAX_HOT_KEYS))
+    got = P.friend_shares_within_lifetime(edges, CATS, 1, 2).collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want and want
+    assert "pair-days" not in plan_text(P.friend_shares_within_lifetime(edges, CATS, 1, 2))
+
+
+def test_activity_keeps_one_end(spark, edges, monkeypatch):
+    """The counts behind it are of one end of each pair."""
+    named, write = {}, P.materialize
+
+    def noted(df, purpose):
+        named[purpose] = write(df, purpose)
+        return named[purpose]
+    monkeypatch.setattr(P, "materialize", noted)
+    P.friend_activity(edges).collect()
+    kept = named["edge-counts"]
+    assert kept.where("user > friend").count() == 0 and kept.count() > 0
