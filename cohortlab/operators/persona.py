@@ -271,7 +271,12 @@ def friend_shares_within_lifetime(edges: DataFrame | None, categories: Sequence[
     return out.where(F.col("_others") > 0).drop("_others")
 
 
-def friend_activity(edges: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+# A pair of at most so many categories carries its own counts with it, as a list
+# that this bounds; the counts of the others stay rows.
+CARRIED_CATEGORIES = 16
+
+
+def friend_activity(edges: DataFrame, hot_rows: int = HOT_KEY_ROWS, carried: int = CARRIED_CATEGORIES) -> DataFrame:
     """``user, friend, category, n``: how many transactions of each category
     the friend made with others, counted once per first-contact row of the
     pair (the row count of joining first contacts to the friend's other
@@ -280,8 +285,10 @@ def friend_activity(edges: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame
     All inputs come from one reduction to (user, friend, time, category)
     counts at one end of each pair, written once to the shared folder.  A pair meets its friend's
     categories as rows, however many there are: a friend with more than
-    ``hot_rows`` rows of the result is split into parts of about so many, and
-    the pair's own counts are taken off by a second equi-join.
+    ``hot_rows`` rows of the result is split into parts of about so many.  A
+    pair of up to ``carried`` categories brings its own counts along, so the
+    rows of the result are not mixed again; for the other pairs the own counts
+    are taken off by a second equi-join.
     """
     base = materialize(edges.where(F.col(USER) <= F.col(FRIEND))
                             .groupBy(USER, FRIEND, TIME, CAT).agg(F.count(F.lit(1)).alias("c")),
@@ -289,23 +296,35 @@ def friend_activity(edges: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame
     # per category its rows and how many of them are the earliest; a pair has no more rows here than categories
     own = materialize(base.groupBy(USER, FRIEND, CAT).agg(F.sum("c").alias("own"), F.min(TIME).alias("_t0"),
                                                           F.min_by("c", TIME).alias("ct")), "pair-categories")
-    ties = (own.where(F.col("_t0").isNotNull())
-               .groupBy(USER, FRIEND, "_t0").agg(F.sum("ct").alias("ct"))
-               .groupBy(USER, FRIEND).agg(F.min_by("ct", "_t0").alias("ties")))
-    ties = both_ways(materialize(ties, "first-contact-ties"))
-    own = both_ways(own.select(USER, FRIEND, CAT, "own"))
-    each = materialize(own.groupBy(F.col(USER).alias("_fu"), F.col(CAT).alias("category")).agg(F.sum("own").alias("all")),
+    pair = Window.partitionBy(USER, FRIEND)
+    few = F.col("_cats") <= carried
+    pairs = (own.withColumn("_first", F.min("_t0").over(pair)).withColumn("_cats", F.count(F.lit(1)).over(pair))
+                .where(F.col("_first").isNotNull())
+                .groupBy(USER, FRIEND).agg(
+                    F.sum(F.when(F.col("_t0") == F.col("_first"), F.col("ct"))).alias("ties"), F.max("_cats").alias("_cats"),
+                    F.collect_list(F.when(few, F.struct(F.col(CAT).alias("c"), F.col("own").alias("n")))).alias("mine")))
+    pairs = both_ways(materialize(pairs, "activity-pairs"))
+    own = own.select(USER, FRIEND, CAT, "own")
+    each = materialize(both_ways(own).groupBy(F.col(USER).alias("_fu"), F.col(CAT).alias("category")).agg(F.sum("own").alias("all")),
                        "user-categories")
-    met = ties.groupBy(F.col(FRIEND).alias("_f")).agg(F.count(F.lit(1)).alias("pairs"))
+    met = pairs.groupBy(F.col(FRIEND).alias("_f")).agg(F.count(F.lit(1)).alias("pairs"))
     size = (each.groupBy("_fu").agg(F.count(F.lit(1)).alias("cats")).join(met, F.col("_fu") == F.col("_f"))
                 .select("_fu", (F.col("pairs") * F.col("cats")).alias("_rows")))
     hot = hot_keys(materialize(size, "activity-sizes"), "_fu", "_rows", hot_rows)
-    expanded = salted_lookup_join(ties, each, FRIEND, "_fu", salt_from=[USER, FRIEND], hot=hot).drop("_fu")
-    mine = own.select(F.col(USER).alias("_u"), F.col(FRIEND).alias("_f"), F.col(CAT).alias("_c"), "own")
-    same = (F.col(USER) == F.col("_u")) & (F.col(FRIEND) == F.col("_f")) & F.col("category").eqNullSafe(F.col("_c"))
-    n = F.col("ties") * (F.col("all") - F.coalesce("own", F.lit(0)))
-    return (expanded.join(mine, same, "left").select(USER, FRIEND, "category", n.alias("n"))
-                    .where(F.col("n") > 0))
+
+    def expand(some):
+        return salted_lookup_join(some, each, FRIEND, "_fu", salt_from=[USER, FRIEND], hot=hot).drop("_fu")
+    known = F.aggregate("mine", F.lit(0).cast("bigint"),
+                        lambda got, x: got + F.when(x["c"].eqNullSafe(F.col("category")), x["n"]).otherwise(0))
+    n = F.col("ties") * (F.col("all") - known)
+    out = expand(pairs.where(few).drop("_cats")).select(USER, FRIEND, "category", n.alias("n"))
+    rest = pairs.where(~few).select(USER, FRIEND, "ties")
+    if not rest.isEmpty():
+        mine = both_ways(own).select(F.col(USER).alias("_u"), F.col(FRIEND).alias("_f"), F.col(CAT).alias("_c"), "own")
+        same = (F.col(USER) == F.col("_u")) & (F.col(FRIEND) == F.col("_f")) & F.col("category").eqNullSafe(F.col("_c"))
+        n = F.col("ties") * (F.col("all") - F.coalesce("own", F.lit(0)))
+        out = out.unionByName(expand(rest).join(mine, same, "left").select(USER, FRIEND, "category", n.alias("n")))
+    return out.where(F.col("n") > 0)
 
 
 # ---------------------------------------------------------------- self persona

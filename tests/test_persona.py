@@ -303,3 +303,21 @@ def test_activity_keeps_one_end(spark, edges, monkeypatch):
     P.friend_activity(edges).collect()
     kept = named["edge-counts"]
     assert kept.where("user > friend").count() == 0 and kept.count() > 0
+
+
+def test_activity_carries_a_pairs_own_counts(spark, edges):
+    """Pairs of few categories bring their own counts; the rows of the result meet no table of pairs again."""
+    want = {tuple(r) for r in P.friend_activity(edges).collect()}
+    for carried in (0, 1, 2):                    # the rest by the equi-join
+        got = [tuple(r) for r in P.friend_activity(edges, hot_rows=20, carried=carried).collect()]
+        assert len(got) == len(want) and set(got) == want and want
+    plan = plan_text(P.friend_activity(edges))
+    assert "user-categories" in plan and "pair-categories" not in plan
+    assert "pair-categories" in plan_text(P.friend_activity(edges, carried=1))
+
+
+def test_activity_without_a_first_contact(spark):
+    """Rows without a time count for the friend, never as a first contact; equal categories may be null."""
+    rows = [("a", "b", None, "Food"), ("b", "c", T0, None), ("b", "c", T0, None), ("c", "d", T0, "Cash")]
+    got = {tuple(r) for r in P.friend_activity(P.both_sides(spark.createDataFrame(rows, SCHEMA))).collect()}
+    assert got == {("c", "b", "Food", 2), ("b", "c", "Cash", 2), ("d", "c", None, 2)}
