@@ -192,13 +192,16 @@ def month_day_window(start: int, end: int) -> tuple[int, int]:
 
 
 def _friend_window_counts(daily: DataFrame, queries: DataFrame, cats: list[str]) -> DataFrame:
-    """``user, friend, <k>.., _all``: the friend's counts on days
-    ``[lo, hi]`` of each query row (``user, friend, lo, hi``).
+    """``user, friend, lifetime_month, <k>.., _all``: the friend's counts on days
+    ``[lo, hi]`` of each query row (``user, friend, lifetime_month, lo, hi`` and
+    the pair's own counts ``<k>.., _all`` on these days), less the own.
 
     An as-of lookup into per-friend prefix sums without a range join: the
     friend's daily rows (``daily``: one per user and day) and the query bounds are unioned and ordered by day
     within ``(friend, salt)``; a running sum over the daily rows gives each
-    bound its prefix count.  Friends with more window bounds than
+    bound its prefix count.  Both bounds of a query are in one part and are
+    met there, the own counts on the upper one, so nothing is mixed again.
+    Friends with more window bounds than
     ``HOT_KEY_ROWS`` (a bounded, broadcast list) are split into as many parts
     as their bounds ask for: their daily rows (at most one per active day) are
     repeated per part and their bounds spread over the parts by hash; every
@@ -213,21 +216,58 @@ def _friend_window_counts(daily: DataFrame, queries: DataFrame, cats: list[str])
     data = mark(daily.select(F.col(USER).alias("_f"), F.col("day").alias("_x"), *[q(k) for k in cols]))
     data = (data.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
                 .select("_f", "_x", *[q(k) for k in cols], F.lit(0).alias("_t"),
-                        F.lit(None).cast("string").alias("_u"), F.lit(None).cast("int").alias("_b"), "_salt"))
-    bounds = F.array(F.struct(F.lit(0).alias("b"), F.date_sub("lo", 1).alias("x")),
-                     F.struct(F.lit(1).alias("b"), F.col("hi").alias("x")))
-    qs = mark(queries.select(F.col(FRIEND).alias("_f"), F.col(USER).alias("_u"), F.explode(bounds).alias("_q")))
-    qs = qs.select("_f", F.col("_q.x").alias("_x"), *[F.lit(0).cast("bigint").alias(k) for k in cols],
-                   F.lit(1).alias("_t"), "_u", F.col("_q.b").alias("_b"),
+                        F.lit(None).cast("string").alias("_u"), F.lit(None).cast("int").alias(MONTH), "_salt"))
+    # the lower bound (_t 1) brings nothing, the upper one (_t 2) the pair's own counts
+    bounds = F.array(F.struct(F.lit(1).alias("t"), F.date_sub("lo", 1).alias("x")),
+                     F.struct(F.lit(2).alias("t"), F.col("hi").alias("x")))
+    qs = mark(queries.select(F.col(FRIEND).alias("_f"), F.col(USER).alias("_u"), MONTH, *[q(k) for k in cols],
+                             F.explode(bounds).alias("_q")))
+    qs = qs.select("_f", F.col("_q.x").alias("_x"),
+                   *[F.when(F.col("_q.t") == 2, q(k)).otherwise(F.lit(0).cast("bigint")).alias(k) for k in cols],
+                   F.col("_q.t").alias("_t"), "_u", MONTH,
                    F.pmod(F.xxhash64("_u", "_f"), F.col("_parts")).cast("int").alias("_salt"))
     w = (Window.partitionBy("_f", "_salt").orderBy("_x", "_t")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    so_far = [F.sum(F.when(F.col("_t") == 0, q(k)).otherwise(0)).over(w) for k in cols]
     run = (data.unionByName(qs)
-               .select("_f", "_u", "_b", "_t", *[F.sum(q(k)).over(w).alias(k) for k in cols])
-               .where("_t = 1"))
-    return run.groupBy(F.col("_u").alias(USER), F.col("_f").alias(FRIEND)).agg(
-        *[(F.sum(F.when(F.col("_b") == 1, q(k))) - F.sum(F.when(F.col("_b") == 0, q(k)))).alias(k)
-          for k in cols])
+               .select("_f", "_salt", "_u", MONTH, "_t",
+                       *[F.when(F.col("_t") == 2, s - q(k)).otherwise(-s).alias(k) for s, k in zip(so_far, cols)])
+               .where("_t > 0"))
+    return (run.groupBy("_f", "_salt", "_u", MONTH).agg(*[F.sum(q(k)).alias(k) for k in cols])
+               .select(F.col("_u").alias(USER), F.col("_f").alias(FRIEND), MONTH, *[q(k) for k in cols]))
+
+
+def _pair_windows(days: DataFrame, cats: list[str], start: int, end: int) -> DataFrame:
+    """``user, friend, lifetime_month, lo, hi, <k>.., _all``: the pairs first
+    met in months ``[start, end]`` of the user, the days of these months, and
+    the pair's own counts on them.
+
+    Every transaction takes the first days of both its ends, and one
+    aggregate at one end of the pair, combined map-side, counts for both."""
+    first = materialize(both_ways(days).groupBy(F.col(USER).alias("_fu")).agg(
+        F.min("day").alias("first_day"), F.count(F.lit(1)).alias("_rows")), "first-days")
+    rows = days.where(F.col(FRIEND).isNotNull())
+    for end_col, clock in ((USER, "_fd0"), (FRIEND, "_fd1")):
+        rows = salted_lookup_join(rows, first.withColumnRenamed("first_day", clock), end_col, "_fu", "inner",
+                                  salt_from=[USER, FRIEND, "day", CAT], count_col="_rows").drop("_fu", "_rows")
+    xlo, xhi = month_day_window(start, end)
+    kinds = [F.col(CAT) == F.lit(k) for k in cats] + [F.lit(True)]
+    cols = cats + ["_all"]
+
+    def counts(i):
+        inside = F.col("day").between(F.date_add(f"_fd{i}", xlo), F.date_add(f"_fd{i}", xhi))
+        return [F.count(F.when(inside & kind, 1)).alias(f"_n{i}_{k}") for k, kind in zip(cols, kinds)]
+    pairs = rows.groupBy(USER, FRIEND, "_fd0", "_fd1").agg(F.min("day").alias("d0"), *counts(0), *counts(1))
+
+    def side(user, friend, i):
+        return F.struct(F.col(user).alias(USER), F.col(friend).alias(FRIEND), F.col(f"_fd{i}").alias("first_day"),
+                        *[q(f"_n{i}_{k}").alias(k) for k in cols])
+    there, back = side(USER, FRIEND, 0), side(FRIEND, USER, 1)
+    ends = F.when(F.col(USER) < F.col(FRIEND), F.array(there, back)).otherwise(F.array(there))
+    return (pairs.select("d0", F.inline(ends)).withColumn(MONTH, month_expr("d0", "first_day"))
+                 .where(F.col(MONTH).between(start, end))
+                 .select(USER, FRIEND, MONTH, F.date_add("first_day", xlo).alias("lo"),
+                         F.date_add("first_day", xhi).alias("hi"), *[q(k) for k in cols]))
 
 
 def friend_shares_within_lifetime(edges: DataFrame | None, categories: Sequence[str] = CATEGORIES,
@@ -239,36 +279,11 @@ def friend_shares_within_lifetime(edges: DataFrame | None, categories: Sequence[
     the user's first transaction."""
     cats = list(categories)
     days = edge_days(edges) if days is None else days
-    pairs = both_ways(materialize(pair_table(days, cats), "pairs"))
-    stats = materialize(user_stats(pairs, cats), "user-stats")
-    first = stats.select(F.col(USER).alias("_fu"), "first_day", "_pairs")
-    known = pairs.where(F.col(FRIEND).isNotNull())
-    xlo, xhi = month_day_window(start, end)
-    pm = (salted_lookup_join(known, first, USER, "_fu", "inner", salt_from=[USER, FRIEND], count_col="_pairs")
-          .withColumn(MONTH, month_expr("d0", "first_day"))
-          .where(F.col(MONTH).between(start, end))
-          .select(USER, FRIEND, MONTH, F.date_add("first_day", xlo).alias("lo"),
-                  F.date_add("first_day", xhi).alias("hi")))
-    pm = materialize(pm, "pair-windows")
-    counts = [_cat_count(k).alias(k) for k in cats] + [F.count(F.lit(1)).alias("_all")]
-    met = days.where(F.col(FRIEND).isNotNull())
-    # the pair's own days inside its window: days and windows meet at one end of the pair, frequent pairs in parts
-    pair = F.struct(F.least(USER, FRIEND).alias("a"), F.greatest(USER, FRIEND).alias("b"))
-    hot = hot_keys(known.select(pair.alias("_p"), "_all").distinct(), "_p", "_all")
-    own = (salted_lookup_join(met.select(pair.alias("_pd"), "day", CAT), pm.select(USER, FRIEND, "lo", "hi", pair.alias("_pw")),
-                              "_pd", "_pw", salt_from=["day", CAT], hot=hot)
-           .where(F.col("day").between(F.col("lo"), F.col("hi")))
-           .groupBy(USER, FRIEND).agg(*counts))
-    own = own.select(USER, FRIEND, *[q(k).alias("_o_" + k) for k in cats + ["_all"]])
-    daily = both_ways(met).groupBy(USER, "day").agg(*counts)
-    friend = _friend_window_counts(daily, pm, cats)
-    j = (pm.join(friend, [USER, FRIEND], "left").join(own, [USER, FRIEND], "left")
-           .fillna(0, subset=cats + ["_all"] + ["_o_" + k for k in cats + ["_all"]]))
-    other = {k: q(k) - F.col("_o_" + k) for k in cats}
-    total = row_sum(other.values())
-    out = j.select(USER, FRIEND, MONTH, *[safe_div(other[k], total).alias(k) for k in cats],
-                   (F.col("_all") - F.col("_o__all")).alias("_others"))
-    return out.where(F.col("_others") > 0).drop("_others")
+    pm = materialize(_pair_windows(days, cats, start, end), "pair-windows")
+    daily = both_ways(days.where(F.col(FRIEND).isNotNull())).groupBy(USER, "day").agg(
+        *[_cat_count(k).alias(k) for k in cats], F.count(F.lit(1)).alias("_all"))
+    other = _friend_window_counts(daily, pm, cats).where(F.col("_all") > 0)
+    return other.select(USER, FRIEND, MONTH, *[safe_div(q(k), row_sum(cats)).alias(k) for k in cats])
 
 
 # A pair of at most so many categories carries its own counts with it, as a list

@@ -321,3 +321,11 @@ def test_activity_without_a_first_contact(spark):
     rows = [("a", "b", None, "Food"), ("b", "c", T0, None), ("b", "c", T0, None), ("c", "d", T0, "Cash")]
     got = {tuple(r) for r in P.friend_activity(P.both_sides(spark.createDataFrame(rows, SCHEMA))).collect()}
     assert got == {("c", "b", "Food", 2), ("b", "c", "Cash", 2), ("d", "c", None, 2)}
+
+
+def test_windows_are_met_where_they_are_counted(spark, edges):
+    """Beyond the days and the windows nothing is mixed: own counts come with
+    a window's upper bound, both bounds meet in their part.  The other two
+    exchanges count the bounds of a friend, for the list of frequent ones."""
+    plan = plan_text(P.friend_shares_within_lifetime(edges, CATS, 1, 2), "simple")
+    assert plan.count("Exchange hashpartitioning") == 4 and "SortMergeJoin" not in plan
