@@ -88,12 +88,14 @@ def first_contacts(edges_m: DataFrame) -> DataFrame:
 
     The pair minimum is an aggregate; rows are matched back on
     ``(user, friend, time)``, so a hot pair's rows spread over partitions by
-    their times and only tied rows share a key.
+    their times and only tied rows share a key.  ``edges_m`` is read twice:
+    the minimum needs no month, so it comes from what
+    :func:`with_lifetime_month` has written, without its join.
     """
-    clean = materialize(edges_m.where(F.col(USER).isNotNull() & F.col(FRIEND).isNotNull()), "edges-known")
+    clean = edges_m.where(F.col(USER).isNotNull() & F.col(FRIEND).isNotNull())
     mins = (clean.groupBy(USER, FRIEND).agg(F.min(TIME).alias("_t0"))
                  .withColumnRenamed(USER, "_u").withColumnRenamed(FRIEND, "_f"))
-    cond = [clean[USER] == mins["_u"], clean[FRIEND] == mins["_f"], clean[TIME] == mins["_t0"]]
+    cond = [F.col(USER) == F.col("_u"), F.col(FRIEND) == F.col("_f"), F.col(TIME) == F.col("_t0")]
     return clean.join(mins, cond, "inner").drop("_u", "_f", "_t0")
 
 

@@ -329,3 +329,15 @@ def test_windows_are_met_where_they_are_counted(spark, edges):
     exchanges count the bounds of a friend, for the list of frequent ones."""
     plan = plan_text(P.friend_shares_within_lifetime(edges, CATS, 1, 2), "simple")
     assert plan.count("Exchange hashpartitioning") == 4 and "SortMergeJoin" not in plan
+
+
+def test_first_contacts_write_nothing_more(spark, edges, monkeypatch):
+    """The rows are written once, by the lifetime month; the earliest times come from these."""
+    em = P.with_lifetime_month(edges)
+    monkeypatch.setattr(P, "materialize", lambda df, purpose: pytest.fail(f"writes {purpose}"))
+    got = sorted(map(tuple, P.first_contacts(em).collect()), key=str)
+    rows = [r for r in em.collect() if r.user is not None and r.friend is not None]
+    t0 = {}
+    for r in rows:
+        t0[r.user, r.friend] = min(t0.get((r.user, r.friend), r.transaction_time), r.transaction_time)
+    assert got == sorted((tuple(r) for r in rows if r.transaction_time == t0[r.user, r.friend]), key=str) and got
