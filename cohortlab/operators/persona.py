@@ -120,35 +120,65 @@ def both_ways(one_end: DataFrame) -> DataFrame:
     return one_end.select(F.inline(ends), *[q(c) for c in one_end.columns if c not in (USER, FRIEND)])
 
 
+def user_stats(days: DataFrame, categories: Sequence[str]) -> DataFrame:
+    """One row per user of :func:`edge_days`: first active day (rows without a
+    friend included), count per category and in total over all partners, and
+    the number of rows ``_rows`` (which bounds the user's rows on either side
+    of a lookup).  Combined map-side."""
+    known = F.col(FRIEND).isNotNull()
+    return both_ways(days).groupBy(USER).agg(
+        F.min("day").alias("first_day"),
+        *[F.count(F.when(known & (F.col(CAT) == F.lit(k)), 1)).alias(k) for k in categories],
+        F.count(F.when(known, 1)).alias("_all"), F.count(F.lit(1)).alias("_rows"))
+
+
+def with_clocks(days: DataFrame, first: DataFrame) -> DataFrame:
+    """:func:`edge_days` with the first days of both ends, ``_fd0`` the user's
+    and ``_fd1`` the friend's (null without a friend), from one row per user
+    ``_fu, first_day, _rows``.  Months are known at each row from then on, so
+    what lies outside a range is left out before anything is mixed by user."""
+    for end, clock in ((USER, "_fd0"), (FRIEND, "_fd1")):
+        days = salted_lookup_join(days, first.withColumnRenamed("first_day", clock), end, "_fu", "left",
+                                  salt_from=[USER, FRIEND, "day", CAT], count_col="_rows").drop("_fu", "_rows")
+    return days
+
+
+def clocked_days(edges: DataFrame, categories: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The transactions behind ``edges`` with the clocks of both ends, and the
+    statistics of their users, which are written to the shared folder."""
+    days = edge_days(edges)
+    stats = materialize(user_stats(days, categories), "user-stats")
+    return with_clocks(days, stats.select(F.col(USER).alias("_fu"), "first_day", "_rows")), stats
+
+
+def both_clocks(one_end: DataFrame) -> DataFrame:
+    """:func:`both_ways` of rows with the clocks of both ends: either end has
+    its own as ``first_day``."""
+    there = F.struct(F.col(USER).alias(USER), F.col(FRIEND).alias(FRIEND), F.col("_fd0").alias("first_day"))
+    back = F.struct(F.col(FRIEND).alias(USER), F.col(USER).alias(FRIEND), F.col("_fd1").alias("first_day"))
+    ends = F.when(F.col(USER) < F.col(FRIEND), F.array(there, back)).otherwise(F.array(there))
+    return one_end.select(F.inline(ends), *[q(c) for c in one_end.columns if c not in (USER, FRIEND, "_fd0", "_fd1")])
+
+
 def _cat_count(k: str) -> Column:
     return F.count(F.when(F.col(CAT) == F.lit(k), 1))
 
 
-def pair_table(days: DataFrame, categories: Sequence[str]) -> DataFrame:
+def pair_table(days: DataFrame, categories: Sequence[str], clocks: Sequence[str] = ()) -> DataFrame:
     """One row per (user, friend) of :func:`edge_days`: first-contact day
     ``d0``, the pair's count per category and in total (all times).  Rows
-    without a friend form the (user, null) row, which only counts towards the
-    user's first day.  Both ends of a pair see the same counts, because
+    without a friend form the (user, null) row.  Both ends of a pair see the
+    same counts, because
     ``both_sides`` emits every transaction in both orientations; the row is
-    that of the end in ``days`` (:func:`both_ways` gives the other)."""
-    return days.groupBy(USER, FRIEND).agg(F.min("day").alias("d0"), *[_cat_count(k).alias(k) for k in categories],
+    that of the end in ``days`` (:func:`both_ways` gives the other).
+    ``clocks`` are columns that are the same in all rows of a pair and stay."""
+    return days.groupBy(USER, FRIEND, *clocks).agg(F.min("day").alias("d0"), *[_cat_count(k).alias(k) for k in categories],
                                           F.count(F.lit(1)).alias("_all"))
 
 
-def user_stats(pairs: DataFrame, categories: list[str]) -> DataFrame:
-    """One row per user from the pair table (from both ends): first active day (rows without a
-    friend included), count per category and in total over all partners, and
-    the number of partners ``_pairs`` (which, pairs being symmetric, is also
-    the user's row count on either side of a pair lookup)."""
-    known = F.col(FRIEND).isNotNull()
-    return pairs.groupBy(USER).agg(
-        F.min("d0").alias("first_day"),
-        *[F.sum(F.when(known, q(k))).alias(k) for k in categories + ["_all"]],
-        F.count(F.when(known, 1)).alias("_pairs"))
-
-
 def friend_shares(edges: DataFrame | None, categories: Sequence[str] = CATEGORIES,
-                  start: int | None = None, end: int | None = None, days: DataFrame | None = None) -> DataFrame:
+                  start: int | None = None, end: int | None = None,
+                  clocked: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """``user, friend, lifetime_month`` + the friend's category shares over
     the friend's transactions with anyone but the user.
 
@@ -157,24 +187,20 @@ def friend_shares(edges: DataFrame | None, categories: Sequence[str] = CATEGORIE
     pair whose friend has no other transaction at all is dropped; one whose
     friend has others, none in ``categories``, keeps null shares.
 
-    The pair table and the per-user statistics each feed several consumers
-    (lookups and their hot-key checks) and are written to the shared folder.
-    ``days`` is the :func:`edge_days` of ``edges`` where it is there already.
+    Every transaction takes the first days of both its ends, so pairs know
+    their months where they are counted and only those of the range are mixed
+    again, for their friends' counts.  ``clocked`` is the
+    :func:`clocked_days` of ``edges`` where it is there already.
     """
     cats = list(categories)
-    pairs = both_ways(materialize(pair_table(edge_days(edges) if days is None else days, cats), "pairs"))
-    stats = materialize(user_stats(pairs, cats), "user-stats")
-    first = stats.select(F.col(USER).alias("_fu"), "first_day", "_pairs")
-    known = pairs.where(F.col(FRIEND).isNotNull())
-    pm = (salted_lookup_join(known, first, USER, "_fu", "inner", salt_from=[USER, FRIEND], count_col="_pairs")
-          .withColumn(MONTH, month_expr("d0", "first_day"))
-          .where(F.col(MONTH).isNotNull()))
+    days, stats = clocked_days(edges, cats) if clocked is None else clocked
+    pairs = pair_table(days.where(F.col(FRIEND).isNotNull()), cats, ("_fd0", "_fd1"))
+    pm = both_clocks(pairs).withColumn(MONTH, month_expr("d0", "first_day")).where(F.col(MONTH).isNotNull())
     if start is not None and end is not None:
         pm = pm.where(F.col(MONTH).between(start, end))
-    pm = pm.drop("_fu", "_pairs")
-    totals = stats.select(F.col(USER).alias("_fu2"), *[q(k).alias("_n_" + k) for k in cats + ["_all"]],
-                          "_pairs")
-    joined = salted_lookup_join(pm, totals, FRIEND, "_fu2", "inner", salt_from=[USER, FRIEND], count_col="_pairs")
+    totals = stats.select(F.col(USER).alias("_fu"), *[q(k).alias("_n_" + k) for k in cats + ["_all"]], "_rows")
+    joined = salted_lookup_join(pm.drop("first_day"), totals, FRIEND, "_fu", "inner", salt_from=[USER, FRIEND],
+                                count_col="_rows")
     other = {k: F.col("_n_" + k) - q(k) for k in cats}
     total = row_sum(other.values())
     out = joined.select(USER, FRIEND, MONTH,
@@ -248,10 +274,7 @@ def _pair_windows(days: DataFrame, cats: list[str], start: int, end: int) -> Dat
     aggregate at one end of the pair, combined map-side, counts for both."""
     first = materialize(both_ways(days).groupBy(F.col(USER).alias("_fu")).agg(
         F.min("day").alias("first_day"), F.count(F.lit(1)).alias("_rows")), "first-days")
-    rows = days.where(F.col(FRIEND).isNotNull())
-    for end_col, clock in ((USER, "_fd0"), (FRIEND, "_fd1")):
-        rows = salted_lookup_join(rows, first.withColumnRenamed("first_day", clock), end_col, "_fu", "inner",
-                                  salt_from=[USER, FRIEND, "day", CAT], count_col="_rows").drop("_fu", "_rows")
+    rows = with_clocks(days.where(F.col(FRIEND).isNotNull()), first)
     xlo, xhi = month_day_window(start, end)
     kinds = [F.col(CAT) == F.lit(k) for k in cats] + [F.lit(True)]
     cols = cats + ["_all"]
@@ -272,15 +295,15 @@ def _pair_windows(days: DataFrame, cats: list[str], start: int, end: int) -> Dat
                          F.date_add("first_day", xhi).alias("hi"), *[q(k) for k in cols]))
 
 
-def friend_shares_within_lifetime(edges: DataFrame | None, categories: Sequence[str] = CATEGORIES,
-                                  start: int = 1, end: int = 12, days: DataFrame | None = None) -> DataFrame:
+def friend_shares_within_lifetime(edges: DataFrame, categories: Sequence[str] = CATEGORIES,
+                                  start: int = 1, end: int = 12) -> DataFrame:
     """``friend_shares`` counting only the friend's transactions whose
     lifetime month on the *user's* clock (days since the user's first day)
     lies in ``[start, end]``, as the reference's comment intends (its code
     computes that month but never filters on it).  The user's clock starts at
     the user's first transaction."""
     cats = list(categories)
-    days = edge_days(edges) if days is None else days
+    days = edge_days(edges)
     pm = materialize(_pair_windows(days, cats, start, end), "pair-windows")
     daily = both_ways(days.where(F.col(FRIEND).isNotNull())).groupBy(USER, "day").agg(
         *[_cat_count(k).alias(k) for k in cats], F.count(F.lit(1)).alias("_all"))
@@ -345,7 +368,7 @@ def friend_activity(edges: DataFrame, hot_rows: int = HOT_KEY_ROWS, carried: int
 
 
 # ---------------------------------------------------------------- self persona
-def _daily_months(edges: DataFrame | None, categories: Sequence[str], days: DataFrame | None) -> DataFrame:
+def _daily_months(edges: DataFrame, categories: Sequence[str]) -> DataFrame:
     """``user, day, <k>.., lifetime_month``: a user's counts by day.
 
     Rows are first reduced to (user, day) counts, combined map-side, so a hot
@@ -353,33 +376,41 @@ def _daily_months(edges: DataFrame | None, categories: Sequence[str], days: Data
     those rows: a user has at most one row per active day, so the window
     partitions stay bounded whatever the user's volume, and no join is needed.
     """
-    if days is None:
-        rows = edges.where(F.col(USER).isNotNull()).withColumn("day", F.to_date(TIME))
-    else:
-        rows = both_ways(days)
+    rows = edges.where(F.col(USER).isNotNull()).withColumn("day", F.to_date(TIME))
     daily = rows.groupBy(USER, "day").agg(*[_cat_count(k).alias(k) for k in categories])
     return daily.withColumn(MONTH, month_expr("day", F.min("day").over(Window.partitionBy(USER))))
 
 
 def self_persona(edges: DataFrame | None, start: int = 1, end: int = 12,
-                 categories: Sequence[str] = CATEGORIES, days: DataFrame | None = None) -> DataFrame:
+                 categories: Sequence[str] = CATEGORIES, clocked: DataFrame | None = None) -> DataFrame:
     """``user`` + share of each category among the user's transactions whose
-    lifetime month lies in ``[start, end]`` (null shares for a zero total)."""
-    dm = _daily_months(edges, categories, days).where(F.col(MONTH).between(start, end))
-    sums = dm.groupBy(USER).agg(*[F.sum(q(k)).alias(k) for k in categories])
+    lifetime month lies in ``[start, end]`` (null shares for a zero total).
+    With ``clocked``, the transactions of :func:`clocked_days`, a user's rows
+    are counted as they come, combined map-side."""
+    inside = F.col(MONTH).between(start, end)
+    if clocked is None:
+        dm = _daily_months(edges, categories).where(inside)
+        sums = dm.groupBy(USER).agg(*[F.sum(q(k)).alias(k) for k in categories])
+    else:
+        rows = both_clocks(clocked).withColumn(MONTH, month_expr("day", "first_day")).where(inside)
+        sums = rows.groupBy(USER).agg(*[_cat_count(k).alias(k) for k in categories])
     return reshape.shares(sums, categories)
 
 
 def community_persona(edges: DataFrame | None, start: int = 1, end: int = 12,
                       categories: Sequence[str] = CATEGORIES, prefix: str = "c_",
-                      days: DataFrame | None = None, within_user_lifetime: bool = False) -> DataFrame:
+                      clocked: tuple[DataFrame, DataFrame] | None = None,
+                      within_user_lifetime: bool = False) -> DataFrame:
     """``user`` + ``c_<category>``: mean over the user's months (of first
     contact, within ``[start, end]``) of the mean over friends met that month
     of the friend's shares.  Both means are unweighted; nulls are skipped.
     ``within_user_lifetime`` counts only the friends' transactions that fall
-    in months ``[start, end]`` of the user's lifetime."""
-    shares = friend_shares_within_lifetime if within_user_lifetime else friend_shares
-    fs = shares(edges, categories, start, end, days)
+    in months ``[start, end]`` of the user's lifetime.  ``clocked`` as in
+    :func:`friend_shares`."""
+    if within_user_lifetime:
+        fs = friend_shares_within_lifetime(edges, categories, start, end)
+    else:
+        fs = friend_shares(edges, categories, start, end, clocked)
     monthly = fs.groupBy(USER, MONTH).agg(*[F.avg(q(k)).alias(k) for k in categories])
     return monthly.groupBy(USER).agg(*[F.avg(q(k)).alias(prefix + k) for k in categories])
 
@@ -388,11 +419,12 @@ def persona(edges: DataFrame, start: int = 1, end: int = 12,
             categories: Sequence[str] = CATEGORIES, path: str | None = None,
             mode: str = "errorifexists") -> DataFrame:
     """Self persona left-joined with the community persona, gaps as 0, both
-    from one reading of the edges.  With ``path`` the result is written as
+    from one reading of the edges, written once with the clocks of both ends.  With ``path`` the result is written as
     gzip Parquet and the written table returned."""
-    days = edge_days(edges)
+    days, stats = clocked_days(edges, categories)
+    days = materialize(days, "clocked-days")
     selfp = self_persona(None, start, end, categories, days)
-    comm = community_persona(None, start, end, categories, days=days)
+    comm = community_persona(None, start, end, categories, clocked=(days, stats))
     out = selfp.join(comm, USER, "left").fillna(0)
     return write_through(out, path, mode) if path else out
 
@@ -402,7 +434,7 @@ def persona_before_after(edges: DataFrame, start: int, end: int, categories: Seq
     """Self persona up to month ``start`` beside (``c_`` prefixed) the self
     persona of months ``(start, end]``; users absent afterwards get 0.
     Both come from one pass over a user's days.  ``path`` as in :func:`persona`."""
-    dm = _daily_months(edges, categories, None)
+    dm = _daily_months(edges, categories)
     before, after = F.col(MONTH).between(1, start), F.col(MONTH).between(start + 1, end)
     later = [f"c_{k}" for k in categories]
     sums = (dm.groupBy(USER).agg(*[F.sum(F.when(before, q(k))).alias(k) for k in categories],

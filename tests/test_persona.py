@@ -341,3 +341,40 @@ def test_first_contacts_write_nothing_more(spark, edges, monkeypatch):
     for r in rows:
         t0[r.user, r.friend] = min(t0.get((r.user, r.friend), r.transaction_time), r.transaction_time)
     assert got == sorted((tuple(r) for r in rows if r.transaction_time == t0[r.user, r.friend]), key=str) and got
+
+
+def test_personas_know_months_before_they_are_mixed(spark, edges, monkeypatch):
+    """The clocks of both ends go with every transaction, so neither pairs nor
+    days are mixed by user to learn their months; frequent users are split."""
+    from cohortlab.plans import guards
+    want = sorted(map(tuple, P.persona(edges, 1, 3, CATS).collect()), key=str)
+    named, write = {}, P.materialize
+
+    def noted(df, purpose):
+        named[purpose] = write(df, purpose)
+        return named[purpose]
+    monkeypatch.setattr(P, "materialize", noted)
+    out = P.persona(edges, 1, 3, CATS)
+    assert set(named) == {"edge-days", "user-stats", "clocked-days"} and "Window" not in plan_text(out)
+    first = {}
+    for r in edges.where("user is not null").collect():
+        first[r.user] = min(first.get(r.user, r.transaction_time.date()), r.transaction_time.date())
+    days = named["clocked-days"].collect()
+    assert len(days) == named["edge-days"].count() and any(r.friend is None for r in days)
+    assert all((r._fd0, r._fd1) == (first[r.user], first.get(r.friend)) for r in days)
+    monkeypatch.setattr(guards.hot_keys, "__defaults__", (3, guards.MAX_HOT_KEYS))
+    got = sorted(map(tuple, P.persona(edges, 1, 3, CATS).collect()), key=str)
+    assert [r[0] for r in got] == [r[0] for r in want] and want
+    assert all(_close(x, y) for g, w in zip(got, want) for x, y in zip(g[1:], w[1:]))
+
+
+def test_personas_of_rows_without_a_time_or_a_friend(spark):
+    """Rows without a time count among a friend's, in no month; a user known
+    from rows without a friend alone has a self persona and no community."""
+    rows = [("a", "b", T0, "Food"), ("a", "b", None, "Cash"), ("b", "c", T0, "Travel"), ("d", None, T0, "Cash"),
+            ("e", "b", None, "Food"), (None, "c", T0, "Food"), ("c", "c", T0, "Cash")]
+    got = {r.user: tuple(r)[1:] for r in P.persona(P.both_sides(spark.createDataFrame(rows, SCHEMA)), 1, 12, CATS).collect()}
+    assert set(got) == {"a", "b", "c", "d"}                      # e has no first day
+    assert got["d"] == (0, 0, 1, 0, 0, 0)
+    assert got["a"][:3] == (1, 0, 0) and got["a"][3:] == (0.5, 0.5, 0)     # of b, but for a: Travel and e's Food
+    assert got["c"][:3] == (0.25, 0.25, 0.5)
