@@ -294,14 +294,20 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     the smallest id (null last), then set, text and row by their hashes.  Rows
     without words link with nothing and all stay."""
     rows, linked, _ = _linked(docs, id_col, text_col, 3, 1000, size, num, den)
-    placed = (rows.where("n > 0").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k")).alias("row"))
+    each = rows.where("n > 0").groupBy("node", "doc_id", "k").agg(F.count("*").alias("times"))
+    placed = (each.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k", "times")).alias("row"))
               .join(linked, "node", "left").withColumn("component", F.coalesce("component", "node")))
     first = materialize(placed, "ngram-placed").groupBy("component").agg(
-        F.min(F.struct("row.no_id", "row.doc_id", "node", "row.k")).alias("first"))
-    keep = (first.select(F.col("first.doc_id").alias("_d"), F.col("first.k").alias("_kept"), F.lit(True).alias("words"))
-            .unionByName(rows.where("n = 0").select(F.col("doc_id").alias("_d"), F.col("k").alias("_kept"), F.lit(False).alias("words")).distinct()))
+        F.min(F.struct("row.no_id", "row.doc_id", "node", "row.k", "row.times")).alias("first"))
+    keep = (first.select(F.col("first.doc_id").alias("_d"), F.col("first.k").alias("_kept"), (F.col("first.times") > 1).alias("repeated"))
+            .unionByName(rows.where("n = 0").select(F.col("doc_id").alias("_d"), F.col("k").alias("_kept"), F.lit(False).alias("repeated")).distinct()))
+    keep = materialize(keep, "ngram-keep")
     row = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(F.encode(text_of(text_col), "UTF-8")).alias("_k"),
                       F.struct("*").alias("row"))
-    kept = materialize(row.join(keep, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_k") == F.col("_kept"))), "ngram-kept")
-    one = kept.where("words").groupBy("_id", "_k").agg(F.min_by("row", F.xxhash64("row")).alias("row"))    # repeated rows
-    return one.select("row.*").unionByName(kept.where("not words").select("row.*"))
+    kept = row.join(keep, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_k") == F.col("_kept")))
+    if keep.where("repeated").isEmpty():
+        return kept.select("row.*")
+    # only repeated rows are mixed again, with their texts
+    kept = materialize(kept, "ngram-kept")
+    one = kept.where("repeated").groupBy("_id", "_k").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return one.select("row.*").unionByName(kept.where("not repeated").select("row.*"))

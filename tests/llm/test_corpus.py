@@ -279,6 +279,21 @@ def test_one_row_per_component_and_source_of_a_mix(spark):
     assert mixing.mixed_rows(docs, weights=(1, 5)).count() == want
 
 
+def test_near_dedup_mixes_texts_again_only_for_repeated_rows(spark, monkeypatch):
+    """Texts are written and mixed once more only where an id and its text come twice."""
+    named, write = [], ngram_join.materialize
+
+    def noted(df, purpose):
+        named.append(purpose)
+        return write(df, purpose)
+    monkeypatch.setattr(ngram_join, "materialize", noted)
+    rows = [(i, " ".join(f"a{i // 3}x{j}" for j in range(40))) for i in range(30)] + [(40, None), (41, "two words"), (42, " ")]
+    alone = ngram_join.one_per_component(frame(spark, rows))
+    assert key(r.doc_id for r in alone.collect()) == [0, 12, 15, 18, 21, 24, 27, 3, 40, 41, 42, 6, 9] and "ngram-kept" not in named
+    twice = ngram_join.one_per_component(frame(spark, rows + [rows[0], rows[4], (40, None), rows[31]]))
+    assert key(r.doc_id for r in twice.collect()) == [0, 12, 15, 18, 21, 24, 27, 3, 40, 40, 41, 42, 6, 9] and "ngram-kept" in named
+
+
 def test_near_dedup_links_at_five_words(spark):
     """One word changed in 50: 41 of 51 five-word shingles, but only 43 of 51 four-word ones."""
     import corpus_pipeline
