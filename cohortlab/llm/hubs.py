@@ -47,7 +47,9 @@ def link_components(buckets: DataFrame, sets: DataFrame, num: int, den: int, rou
 
     With ``strays`` the hub is a member of its bucket, and where at most
     ``few`` members do not link with it, these are compared with the whole
-    bucket, ``few`` pairs a member at most, in place of further buckets.
+    bucket, ``few`` pairs a member at most, in place of further buckets.  After
+    the first buckets, whose members meet by chance too, so are up to
+    ``few * few`` members, and all in buckets of at most ``small``.
     ``compare`` turns ``a, b, x, y, nx, ny`` (pairs and their bodies) into
     ``a, b, link``, where the bodies need not be expanded for that.
 
@@ -84,12 +86,17 @@ def link_components(buckets: DataFrame, sets: DataFrame, num: int, den: int, rou
         pairs = member.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
         found, part = join_up(pairs)
         if strays:
-            apart = found.where("not link").select(F.col("a").alias("hub"), F.col("b").alias("node"), F.lit(True).alias("lead"))
-            marked = materialize(member.join(apart, ["hub", "node"], "left"), "link-strays")
-            near = materialize(marked.groupBy("bucket").agg(F.count("lead").alias("apart")).where(F.col("apart") <= few)
-                               .select("bucket"), "link-nearly-whole")
-            tiny = tiny.unionByName(marked.join(near, "bucket").select("bucket", "node", F.coalesce("lead", F.lit(False)).alias("lead")))
-            member = member.join(near, "bucket", "left_anti")
+            # a bucket all of whose members link with its hub is one component, and done
+            apart = found.where("not link").select(F.col("a").alias("hub"), F.col("b").alias("node"))
+            off = materialize(member.join(apart, ["hub", "node"]).select("bucket", "node", "size"), "link-strays")
+            # once the buckets are those of a finer signature, bounded ones are not taken apart any more
+            whole = F.col("apart") <= few if turn == 0 else (F.col("apart") <= few * few) | (F.col("size") <= small)
+            apart = off.groupBy("bucket").agg(F.count("*").alias("apart"), F.max("size").alias("size"))
+            apart = materialize(apart.select("bucket", whole.alias("whole")), "link-apart")
+            off = off.select("bucket", "node", F.lit(True).alias("lead"))
+            tiny = tiny.unionByName(member.join(apart.where("whole"), "bucket").join(off, ["bucket", "node"], "left")
+                                    .select("bucket", "node", F.coalesce("lead", F.lit(False)).alias("lead")))
+            member = member.join(apart.where("not whole"), "bucket", "left_semi")
         # open: members of buckets that still hold several components
         hub_part = part.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
         spread = member.join(part, "node").join(hub_part, "hub")
@@ -104,6 +111,9 @@ def link_components(buckets: DataFrame, sets: DataFrame, num: int, den: int, rou
         if finer is not None and turn == 0:
             members = spread.select("node").unionByName(spread.select(F.col("hub").alias("node"))).distinct()
             buckets = materialize(finer(members.join(sets, "node").select("node", "body")), "link-finer")
+            mixed = (buckets.join(part, "node").groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                     .where("lo <> hi").select("bucket"))
+            buckets = materialize(buckets.join(mixed, "bucket"), "link-finer-open")
             if buckets.isEmpty():
                 break
             continue

@@ -18,6 +18,13 @@ NUM, DEN = 80, 100            # near: DEN * intersection >= NUM * union
 SHINGLE = 5                   # characters
 ROWS, BANDS = 5, 14           # a pair at 0.8 shares a band with probability 0.996
 FINE_ROWS, FINE_BANDS = 10, 64        # 0.999, for the members of buckets that hold several components
+# Lines of many shingles look alike by chance, and the more so the more lines
+# there are.  Those that fill LONG or more of four times the bins get longer
+# bands (a pair at 0.8 shares one with probability 0.998); only those below BOTH
+# have the short ones too.  Sets at 0.8 of sizes that fill LONG and BOTH are rare
+# beyond four standard deviations.
+LONG_ROWS, LONG_BANDS = 8, 35
+LONG, BOTH = 170, 205
 BLOCK = 1 << 20               # characters signed at a time
 CHARS = 1 << 16               # characters hashed at a time
 FEW = 16                      # members of a bucket whose pairs are all compared
@@ -124,12 +131,34 @@ def band_keys(lines: list[str], rows: int = ROWS, bands: int = BANDS) -> np.ndar
     """``len(lines) x bands`` keys.  One permutation: a line's shingles fall
     into ``rows * bands`` bins, each bin keeps its least hash, and an empty bin
     borrows from the first filled one of a fixed pseudo-random sequence."""
-    bins = rows * bands
     hashes, line = _joined(lines)
-    sig = np.full(len(lines) * bins, _EMPTY, np.uint64)
+    return _keys(_least(hashes, line, len(lines), rows * bands), rows, bands)
+
+
+def line_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all bands of the lines, and each key's line: short bands, long
+    ones or both, by how many bins a line's shingles fill."""
+    hashes, line = _joined(lines)
+    sig = _least(hashes, line, len(lines), LONG_ROWS * LONG_BANDS)
+    full = (sig != _EMPTY).sum(axis=1)
+    few, many = np.flatnonzero(full < BOTH), np.flatnonzero(full >= LONG)
+    width = LONG_ROWS * LONG_BANDS // (ROWS * BANDS)      # bins of the long bands in one of the short ones
+    short = _keys(sig[few].reshape(len(few), ROWS * BANDS, width).min(axis=2), ROWS, BANDS)
+    long = rolling.mix(_keys(sig[many], LONG_ROWS, LONG_BANDS) + _u(0x10C6))
+    return (np.concatenate((short.ravel(), long.ravel())),
+            np.concatenate((np.repeat(few, BANDS), np.repeat(many, LONG_BANDS))))
+
+
+def _least(hashes: np.ndarray, line: np.ndarray, lines: int, bins: int) -> np.ndarray:
+    """``lines x bins``: the least hash that falls into each bin."""
+    sig = np.full(lines * bins, _EMPTY, np.uint64)
     bin_ = ((hashes >> _u(32)) * _u(bins) >> _u(32)).astype(np.int64)
     np.minimum.at(sig, line * bins + bin_, hashes)        # uniform within a bin
-    sig = sig.reshape(len(lines), bins)
+    return sig.reshape(lines, bins)
+
+
+def _keys(sig: np.ndarray, rows: int, bands: int) -> np.ndarray:
+    bins = rows * bands
     row, at = np.nonzero(sig == _EMPTY)
     sig = np.where(sig == _EMPTY, _EMPTY, rolling.mix(sig + _u(0x51ED)))
     filled = sig.copy()
@@ -141,7 +170,7 @@ def band_keys(lines: list[str], rows: int = ROWS, bands: int = BANDS) -> np.ndar
         ok = got != _EMPTY
         filled[row[ok], at[ok]] = rolling.mix(got[ok] + _u(turn))
         row, at = row[~ok], at[~ok]
-    keys = np.zeros((len(lines), bands), np.uint64)
+    keys = np.zeros((len(sig), bands), np.uint64)
     for r in range(rows):
         keys = rolling.mix(keys * _u(31) + filled[:, r::rows])
     return rolling.mix(keys + np.arange(bands, dtype=np.uint64) * _u(0x9E3779B97F4A7C15))
@@ -166,11 +195,18 @@ def _rows():
 def _bands(parts: int, apart: frozenset):
     def run(batches):
         met = set()
+        values, owners = [], []
 
         def send(lines, nodes):
-            keys = band_keys(lines)
-            node = np.repeat(np.array(nodes, np.int64), BANDS)
-            return packed.deal(keys.ravel(), node, np.zeros(len(node), np.uint8), parts)
+            node = np.array(nodes, np.int64)
+            for at, end in _cut([LONG_ROWS * LONG_BANDS + len(x) for x in lines]):
+                keys, line = line_keys(lines[at:end])
+                values.append(keys)
+                owners.append(node[at:end][line])
+            value, owner = np.concatenate(values), np.concatenate(owners)
+            values.clear()
+            owners.clear()
+            return packed.deal(value, owner, np.zeros(len(owner), np.uint8), parts, short=True)
 
         for b in batches:
             lines, nodes, size = [], [], 0
@@ -200,7 +236,7 @@ def _fine_bands(parts: int):
             for at, end in _cut([FINE_ROWS * FINE_BANDS + len(x) for x in lines]):
                 keys = band_keys(lines[at:end], FINE_ROWS, FINE_BANDS)
                 node = np.repeat(nodes[at:end], FINE_BANDS)
-                yield packed.deal(keys.ravel(), node, np.zeros(len(node), np.uint8), parts)
+                yield packed.deal(keys.ravel(), node, np.zeros(len(node), np.uint8), parts, short=True)
     return run
 
 
@@ -255,7 +291,7 @@ def near_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = materialize(base.mapInArrow(_rows(), "doc_id long, k long, line int, node long, check long"), "line-rows")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line", "k"))
     rows, apart = part_clashes(rows, "line-rows")
-    nodes = materialize(rows.groupBy("node").agg(first.alias("first")), "line-nodes")
+    nodes = materialize(rows.groupBy("node").agg(first.alias("first"), F.count("*").alias("copies")), "line-nodes")
     dealt = base.select("text").mapInArrow(_bands(4 * n, apart), packed.SCHEMA)
     buckets = materialize(packed.shared(dealt, n).select("bucket", "node"), "line-buckets")
     wanted = (nodes.join(buckets.select("node").distinct(), "node")
@@ -270,15 +306,18 @@ def near_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def finer(members):
         return packed.shared(members.mapInArrow(_fine_bands(4 * n), packed.SCHEMA), n).select("bucket", "node")
     part = link_components(buckets, bodies, NUM, DEN, rounds, small, _expand, FEW, True, _compare, finer)
-    placed = nodes.join(part, "node", "left").select(
-        "node", "first", F.coalesce("component", "node").alias("component"))
-    placed = materialize(placed, "line-placed")
-    lead = materialize(placed.groupBy("component").agg(F.min("first").alias("lead")), "line-first")
-    lead = placed.join(lead, "component").select(F.col("node").alias("_node"), "component", "lead")
-    lead = materialize(lead, "line-leads")
+    # a line that occurs once and links with none leads itself: only the others are looked up
+    several = part.groupBy("component").agg(F.count("*").alias("m")).where("m > 1").select("component")
+    linked = materialize(part.join(several, "component").join(nodes, "node").select("node", "component", "first"), "line-linked")
+    lead = linked.groupBy("component").agg(F.min("first").alias("lead"))
+    lead = linked.join(lead, "component").select("node", "component", "lead")
+    again = (nodes.where("copies > 1").join(linked.select("node"), "node", "left_anti")
+             .select("node", F.col("node").alias("component"), F.col("first").alias("lead")))
+    lead = materialize(lead.unionByName(again).withColumnRenamed("node", "_node"), "line-leads")
     here = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line", "k")
-    return (rows.join(lead, F.col("node") == F.col("_node"))
-            .select("doc_id", "k", "line", "component", here.eqNullSafe(F.col("lead")).alias("kept")))
+    return (rows.join(lead, F.col("node") == F.col("_node"), "left")
+            .select("doc_id", "k", "line", F.coalesce("component", "node").alias("component"),
+                    (F.col("lead").isNull() | here.eqNullSafe(F.col("lead"))).alias("kept")))
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -286,7 +325,7 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     and ``dropped`` (their numbers, ascending)."""
     base = keyed(docs, id_col, text_col).select("doc_id", "k")
     lines = (near_lines(docs, id_col, text_col).groupBy("doc_id", "k")
-             .agg(F.countDistinct("line").alias("n_lines"),
+             .agg(F.size(F.collect_set("line")).alias("n_lines"),          # one pass, where countDistinct takes two
                   F.array_sort(F.collect_set(F.when(~F.col("kept"), F.col("line")))).alias("dropped")))
     return (join_rows(base, lines, "left")
             .select("doc_id", F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"),

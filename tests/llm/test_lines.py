@@ -181,3 +181,62 @@ def test_gathered_values_are_those_of_two_nodes():
         nodes.setdefault(v, set()).add(n)
     assert rows == sorted((v, n, (v >> 50) % 256, len(s)) for v, s in nodes.items() for n in s if len(s) > 1)
     assert not list(packed._gather([])) and not list(packed._gather([packed.deal(value[:1], node[:1], tag[:1], 1)]))
+
+
+def test_long_lines_share_long_bands_and_meet_less_by_chance():
+    """Pairs at Jaccard 0.80 to 0.86 share a key whatever bands each has; unlike
+    long lines share fewer than the short bands alone would give them."""
+    rnd = random.Random(8)
+    met = tried = 0
+    for length in (60, 180, 220, 260, 320, 400, 900):
+        left, right = [], []
+        while len(left) < 60:
+            a = "".join(rnd.choice("abcdefghijklmnop ") for _ in range(length))
+            b = list(a)
+            for _ in range(rnd.randint(1, max(1, length // 40))):
+                b[rnd.randrange(length)] = rnd.choice("qrstu")
+            a, b = lines.normal(a), lines.normal("".join(b))
+            x, y = grams(a), grams(b)
+            if 0.8 <= len(x & y) / len(x | y) <= 0.86:
+                left.append(a)
+                right.append(b)
+        keys, line = lines.line_keys(left + right)
+        held = [set(keys[line == i].tolist()) for i in range(2 * len(left))]
+        met += sum(bool(held[i] & held[i + len(left)]) for i in range(len(left)))
+        tried += len(left)
+    assert met / tried > 0.99, met / tried
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(3, 6))) for _ in range(60)]
+    alike = [" ".join(rnd.choice(words) for _ in range(140)) for _ in range(150)]
+
+    def collisions(keys):
+        return len(keys) - len(np.unique(keys))
+    assert collisions(lines.line_keys(alike)[0]) < collisions(lines.band_keys(alike).ravel()) / 2
+
+
+def test_short_values_keep_what_they_share():
+    """Halves of values meet as the whole ones do, node by node."""
+    rnd = np.random.default_rng(4)
+    value = rnd.choice(rnd.integers(0, 2**64, 200, dtype=np.uint64), 600)
+    node, tag = rnd.integers(-9, 9, 600), np.zeros(600, np.uint8)
+
+    def groups(short):
+        dealt = packed.deal(value, node, tag, 8, short)
+        out = {}
+        for i in range(dealt.num_rows):
+            for b in packed._gather([dealt.slice(i, 1)]):
+                for v, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    out.setdefault((i, v), set()).add(n)
+        return sorted(map(sorted, out.values()))
+    assert groups(True) == groups(False) and groups(False)
+
+
+def test_buckets_beyond_small_are_taken_apart(spark, monkeypatch):
+    """Without the direct comparison of bounded buckets the same components come out."""
+    monkeypatch.setattr(lines, "FEW", 2)
+    rows = made(9, templates=2, variants=90)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def parts(small):
+        got = lines.near_lines(df, small=small).select("doc_id", "line", "component", "kept").collect()
+        return sorted(map(tuple, got))
+    assert parts(1) == parts(1000)
